@@ -1,12 +1,15 @@
 """Peer-group statistics and per-claim outlier features.
 
-Plan shape (claims C written once to the shared folder with a row key):
-  * provider / peer-group / code aggregates are partial (map-side) aggregations,
-    so a hot provider or code never lands whole in one task;
-  * those aggregates are small (provider or code grain), are materialized, and
-    are broadcast only after their row count is checked;
-  * claim-grain lookups (visit counts, code severity) are narrow frames keyed by
-    the row key and joined back, so C itself is shuffled once.
+Plan shape:
+  * claims C are deduplicated on claim_id (D18) — the one shuffle of the wide
+    claim rows — and checkpointed; the checkpoint keeps the hash partitioning
+    on claim_id, so the per-claim code-severity aggregate and its join back
+    run without another exchange;
+  * provider / peer-group / code aggregates are partial (map-side)
+    aggregations, so a hot provider or code never lands whole in one task;
+    they are small (provider or code grain), checkpointed, and broadcast only
+    after their row count is checked;
+  * visit counts are a narrow (claim_id, visits) frame joined back on claim_id.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import CLAIM_COLUMNS, FEATURE_COLS, PEER_STATS_COLUMNS
 from ..session import materialize
-from .joins import DEFAULT_BROADCAST_ROWS, Small, checked, write_table
+from .ingest import dedup_claims
+from .joins import DEFAULT_BROADCAST_ROWS, Small, checked
 
 PEER_KEY = ["provider_specialty", "claim_type"]
 PROVIDER_KEY = ["provider_specialty", "claim_type", "provider_id"]
@@ -90,7 +94,8 @@ def compute_peer_group_stats(claims: DataFrame, baseline: str = "provider") -> D
     peer = stats.groupBy(*PEER_KEY).agg(
         F.avg("avg_visit_freq_per_bene").alias("peer_avg_visit_freq"),
         _std("avg_visit_freq_per_bene").alias("peer_visit_freq_stddev"))
-    # provider grain: small, written once so the median subqueries read it cheaply
+    # provider grain: checkpointed once, so the (merged) median subqueries and
+    # the fill read it instead of re-running the aggregation chain
     base = materialize(stats.join(peer, PEER_KEY))
     return fill_std_with_median(base).select(*PEER_STATS_COLUMNS)
 
@@ -154,38 +159,44 @@ def provider_high_severity_share(claims: DataFrame, severity: Small,
         .alias("high_severity_code_pct"))
 
 
-def claim_code_severity(claims_rk: DataFrame, severity: Small,
+def claim_code_severity(claims: DataFrame, severity: Small,
                         max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """P16 per claim: max code severity. The exploded codes of one claim stay in
-    its partition, so the partial aggregate collapses them before the shuffle."""
+    """P16 per claim: max code severity. On claims partitioned by claim_id the
+    exploded codes stay in their partition and the aggregate needs no exchange."""
     sev = severity.df.select("code", "severity")
     sev = F.broadcast(sev) if severity.rows <= max_rows else sev
-    return (code_occurrences(claims_rk, ["_rk"]).join(sev, "code")
-            .groupBy("_rk").agg(F.max("severity").alias("_sev")))
+    return (code_occurrences(claims, ["claim_id"]).join(sev, "code")
+            .groupBy("claim_id").agg(F.max("severity").alias("_sev")))
+
+
+def prepare_claims(claims: DataFrame) -> DataFrame:
+    """D18 dedup on claim_id, checkpointed in the shared folder (lineage cut,
+    hash partitioning on claim_id kept for the joins back)."""
+    return materialize(dedup_claims(claims.select(*CLAIM_COLUMNS)))
 
 
 def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParams(),
                          peer_stats: DataFrame | None = None,
-                         code_weights: DataFrame | None = None) -> DataFrame:
-    """Claims → claims + the six model features.
+                         code_weights: DataFrame | None = None, prepared: bool = False) -> DataFrame:
+    """Claims → claims + the six model features (P13–P19), one row per claim_id.
 
-    ``peer_stats`` / ``code_weights`` may be passed in precomputed (reuse)."""
-    c = write_table(claims.select(*CLAIM_COLUMNS).withColumn("_rk", F.monotonically_increasing_id()),
-                    "claims")
+    ``peer_stats`` / ``code_weights`` may be passed in precomputed (reuse);
+    ``prepared=True`` when ``claims`` already came from :func:`prepare_claims`."""
+    c = claims if prepared else prepare_claims(claims)
     peer = checked(peer_stats if peer_stats is not None else compute_peer_group_stats(c, params.baseline))
     weights = code_weights if code_weights is not None else compute_code_reimbursement_weights(c)
     severity = checked(code_severity_table(materialize(weights)))
     share = checked(provider_high_severity_share(c, severity, params.broadcast_rows))
 
-    visits = c.select("_rk", *VISIT_KEY).join(visit_counts(c), VISIT_KEY, "left") \
-              .select("_rk", "visit_count")
+    visits = c.select("claim_id", *VISIT_KEY).join(visit_counts(c), VISIT_KEY, "left") \
+              .select("claim_id", "visit_count")
     sev = claim_code_severity(c, severity, params.broadcast_rows)
     ps = peer.df.select(*PROVIDER_KEY, "avg_reimbursement", "reimbursement_stddev",
                         "avg_length_of_stay", "los_stddev", "peer_avg_visit_freq", "peer_visit_freq_stddev")
     ps = F.broadcast(ps) if peer.rows <= params.broadcast_rows else ps
     sh = F.broadcast(share.df) if share.rows <= params.broadcast_rows else share.df
 
-    j = (c.join(visits, "_rk", "left").join(sev, "_rk", "left")
+    j = (c.join(sev, "claim_id", "left").join(visits, "claim_id", "left")
           .join(ps, PROVIDER_KEY, "left").join(sh, "provider_id", "left"))
     no_weights = severity.rows == 0
     rz = F.coalesce(F.try_divide(F.col("reimbursement_amt") - F.col("avg_reimbursement"),

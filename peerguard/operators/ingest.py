@@ -109,16 +109,19 @@ def reject_counts(normalized: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-# --- fixed values: dedup order for claims sharing an id (latest, largest first)
-DEDUP_ORDER = [F.col("claim_start_date").desc_nulls_last(), F.col("claim_end_date").desc_nulls_last(),
-               F.col("reimbursement_amt").desc_nulls_last(), F.col("length_of_stay_days").desc_nulls_last(),
-               F.col("beneficiary_id").asc_nulls_last(), F.col("provider_id").asc_nulls_last(),
-               F.col("claim_type").asc_nulls_last(), F.col("provider_specialty").asc_nulls_last()]
+# Dedup order for claims sharing an id: latest, largest first, then by ids.
+DEDUP_DESC = ["claim_start_date", "claim_end_date", "reimbursement_amt", "length_of_stay_days"]
+DEDUP_ASC = ["beneficiary_id", "provider_id", "claim_type", "provider_specialty"]
+
+
+def dedup_order() -> list[Column]:
+    return ([F.col(c).desc_nulls_last() for c in DEDUP_DESC]
+            + [F.col(c).asc_nulls_last() for c in DEDUP_ASC])
 
 
 def dedup_claims(claims: DataFrame, key: list[str] | None = None) -> DataFrame:
     """One row per key with the stated order. ``row_number() = 1`` lets
     Spark insert a partial per-partition limit before the shuffle."""
     key = key or ["claim_id"]
-    w = Window.partitionBy(*key).orderBy(*DEDUP_ORDER)
+    w = Window.partitionBy(*key).orderBy(*dedup_order())
     return claims.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

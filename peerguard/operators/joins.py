@@ -7,7 +7,7 @@ handling splits hot keys of the large side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
@@ -29,9 +29,11 @@ class Small:
 
 
 def checked(df: DataFrame) -> Small:
-    """Checkpoint ``df`` in the shared folder and count it (one small job)."""
-    m = materialize(df)
-    return Small(m, m.count())
+    """Checkpoint ``df`` in the shared folder; its exact row count is observed
+    during that same job (no extra count pass)."""
+    obs = Observation()
+    m = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return Small(m, int(obs.get["rows"]))
 
 
 def join_lookup(big: DataFrame, small: Small | DataFrame, on, how: str = "left",

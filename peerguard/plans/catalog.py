@@ -127,3 +127,116 @@ def q_claims_featured_reference_cut(spark, sf_dir):
 def q_claims_featured_peer_baseline(spark, sf_dir):
     """Z-scores against the specialty × claim-type group."""
     return feature_view(_featured(spark, sf_dir, baseline="peer_group"))
+
+
+# --- labels -----------------------------------------------------------------
+from ..operators import labels as lab  # noqa: E402
+from ..operators.joins import write_table  # noqa: E402
+from ..schemas import COARSE_GRID_K2, COARSE_GRID_K3, FINE_DELTAS, SIGNALS  # noqa: E402
+from .views import list_text  # noqa: E402
+
+LABEL_OUT = O.FEATURE_OUT + ", label_reasons, label"
+
+
+def _label_view(df: DataFrame) -> DataFrame:
+    return df.select(*[
+        "claim_id", "beneficiary_id", "provider_id", "provider_specialty", "claim_type",
+        F.date_format("claim_start_date", "yyyy-MM-dd").alias("claim_start_date"), "claim_year",
+        list_text("diagnosis_codes"), list_text("procedure_codes"), r6("reimbursement_amt"),
+        "length_of_stay_days", r6("reimbursement_zscore"), r6("los_zscore"), r6("visit_frequency_zscore"),
+        r6("code_severity_percentile"), r6("high_severity_code_pct"), "code_severity_outlier",
+        list_text("label_reasons"), "label"])
+
+
+def featured_table(spark: SparkSession, sf_dir: str, high_sev_cut: float = DRIVER_HIGH_SEV_CUT) -> DataFrame:
+    """Featured claims written once to the shared folder (K1), so calibration
+    and labeling read it instead of recomputing the features."""
+    return write_table(_featured(spark, sf_dir, high_sev_cut), "claims_featured")
+
+
+FEATURE_CHAIN = O.feature_chain(DRIVER_HIGH_SEV_CUT)
+CAL_ARGS = dict(ks=[2, 3], thresholds=lab.candidate_thresholds([2, 3]), coarse_k2=COARSE_GRID_K2,
+                coarse_k3=COARSE_GRID_K3, deltas=FINE_DELTAS)
+
+
+@register("claims_labeled_fixed",
+          FEATURE_CHAIN + "," + O.labeled("2.5", "2").strip("\n") + f"\nSELECT {LABEL_OUT} FROM labeled")
+def q_claims_labeled_fixed(spark, sf_dir):
+    """P20/P21 at the default threshold 2.5 and two signals."""
+    return _label_view(lab.inject_labels(_featured(spark, sf_dir), 2.5, 2))
+
+
+@register("label_signal_counts",
+          FEATURE_CHAIN + "," + O.labeled("2.5", "2").strip("\n") + """,
+counts AS (
+  SELECT count(*) AS n_claims,
+         sum(CAST(reimbursement_zscore > 2.5 AS INTEGER)) AS reimbursement_zscore,
+         sum(CAST(claim_type = 'inpatient' AND los_zscore > 2.5 AS INTEGER)) AS los_zscore,
+         sum(CAST(visit_frequency_zscore > 2.5 AS INTEGER)) AS visit_frequency_zscore,
+         sum(CAST(code_severity_outlier = 1 AS INTEGER)) AS code_severity_outlier,
+         sum(label) AS positive_label FROM labeled)
+SELECT metric, CAST(n AS BIGINT) AS n, round(CAST(n AS DOUBLE) / n_claims * 100, 6) AS pct FROM (
+  SELECT 'reimbursement_zscore' AS metric, reimbursement_zscore AS n, n_claims FROM counts
+  UNION ALL SELECT 'los_zscore', los_zscore, n_claims FROM counts
+  UNION ALL SELECT 'visit_frequency_zscore', visit_frequency_zscore, n_claims FROM counts
+  UNION ALL SELECT 'code_severity_outlier', code_severity_outlier, n_claims FROM counts
+  UNION ALL SELECT 'positive_label', positive_label, n_claims FROM counts)""")
+def q_label_signal_counts(spark, sf_dir):
+    """Signal firing counts, positives and rate (threshold 2.5, k=2)."""
+    sc = lab.signal_counts(lab.inject_labels(_featured(spark, sf_dir), 2.5, 2))
+    return sc.select("metric", "n", r6("pct"))
+
+
+@register("calibration_grid",
+          FEATURE_CHAIN + "," + O.calibration(**CAL_ARGS).strip("\n") +
+          "\nSELECT CAST(min_signals AS INTEGER) AS min_signals, threshold, CAST(n_positive AS BIGINT) AS n_positive, "
+          "round(CAST(n_positive AS DOUBLE) / n_claims, 6) AS positive_rate, n_claims FROM grid")
+def q_calibration_grid(spark, sf_dir):
+    """A13 grid: positive rate for every (k, threshold) the search can visit,
+    all from one aggregate over crit_k."""
+    g = lab.calibration_grid(_featured(spark, sf_dir))
+    return g.select("min_signals", "threshold", "n_positive", r6("positive_rate"), "n_claims")
+
+
+CALIBRATED = FEATURE_CHAIN + "," + O.calibration(**CAL_ARGS).strip("\n") + "," + \
+    O.labeled("ch.t", "ch.k", extra_from="CROSS JOIN chosen ch",
+              extra_cols=" ch.t, ch.k, ch.in_band,").strip("\n")
+
+
+@register("calibrated_threshold",
+          CALIBRATED + """
+SELECT CAST(any_value(t) AS DOUBLE) AS threshold, CAST(any_value(k) AS INTEGER) AS min_signals,
+       any_value(in_band) AS in_band, count(*) AS n_claims, CAST(sum(label) AS BIGINT) AS n_positive,
+       round(CAST(sum(label) AS DOUBLE) / count(*), 6) AS positive_rate,
+       CAST(sum(CAST(reimbursement_zscore > t AS INTEGER)) AS BIGINT) AS n_reimbursement_zscore,
+       CAST(sum(CAST(claim_type = 'inpatient' AND los_zscore > t AS INTEGER)) AS BIGINT) AS n_los_zscore,
+       CAST(sum(CAST(visit_frequency_zscore > t AS INTEGER)) AS BIGINT) AS n_visit_frequency_zscore,
+       CAST(sum(CAST(code_severity_outlier = 1 AS INTEGER)) AS BIGINT) AS n_code_severity_outlier
+FROM labeled""")
+def q_calibrated_threshold(spark, sf_dir):
+    """A13 choice + K11 summary: threshold, k, band, rate and signal counts."""
+    labeled, cal = lab.calibrate_threshold(featured_table(spark, sf_dir))
+    s = lab.labeling_summary(labeled, cal)
+    return s.select("threshold", "min_signals", "in_band", "n_claims", "n_positive", r6("positive_rate"),
+                    *[f"n_{x}" for x in SIGNALS])
+
+
+@register("claims_labeled", CALIBRATED + f"\nSELECT {LABEL_OUT} FROM labeled")
+def q_claims_labeled(spark, sf_dir):
+    """The flagship: features → one-pass calibration → labels at the choice."""
+    labeled, _ = lab.calibrate_threshold(featured_table(spark, sf_dir))
+    return _label_view(labeled)
+
+
+@register("spot_check_sample",
+          CALIBRATED + """
+SELECT claim_id, provider_id, claim_type, round(reimbursement_zscore, 6) AS reimbursement_zscore,
+       label_reasons, CASE WHEN n_signals >= 3 OR reimbursement_zscore > 3.0 THEN 'PLAUSIBLE'
+            WHEN n_signals = 2 AND reimbursement_zscore > 2.5 THEN 'POSSIBLY' ELSE 'BORDERLINE' END AS assessment
+FROM labeled WHERE label = 1 ORDER BY md5(claim_id), claim_id LIMIT 25""")
+def q_spot_check_sample(spark, sf_dir):
+    """T5 + P22: 25 positives by md5(claim_id), graded."""
+    labeled, _ = lab.calibrate_threshold(featured_table(spark, sf_dir))
+    s = lab.spot_check(labeled, 25)
+    return s.select("claim_id", "provider_id", "claim_type", r6("reimbursement_zscore"),
+                    list_text("label_reasons"), "assessment")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 # --- claims adapter (FIXTURES.md B1) -----------------------------------------
 CLAIMS = """
-claims AS (
+claims_raw AS (
   SELECT
     concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR),
               CAST(l.l_partkey AS VARCHAR), CAST(l.l_suppkey AS VARCHAR)) AS claim_id,
@@ -26,10 +26,10 @@ claims AS (
     [p.p_brand, p.p_type] AS diagnosis_codes,
     CASE WHEN l.l_linenumber = 1 THEN CAST([] AS VARCHAR[])
          ELSE ['Q' || CAST(CAST(floor(l.l_quantity / 10) AS BIGINT) AS VARCHAR),
-               'D' || CAST(CAST(CAST(l.l_discount AS DECIMAL(6,2)) * 100 AS INTEGER) AS VARCHAR)]
+               'D' || CAST(CAST(round(l.l_discount * 100) AS BIGINT) AS VARCHAR)]
     END AS procedure_codes,
-    CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(6,2)), 2)
-         AS DOUBLE) AS reimbursement_amt,
+    CAST((CAST(round(l.l_extendedprice * 100) AS BIGINT) * CAST(round(l.l_discount * 100) AS BIGINT) + 50)
+         // 100 AS DOUBLE) / 100.0 AS reimbursement_amt,
     CAST(CASE WHEN l.l_returnflag = 'A'
               THEN greatest(0, date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)))
               ELSE 0 END AS INTEGER) AS length_of_stay_days
@@ -39,6 +39,14 @@ claims AS (
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
   JOIN part p ON l.l_partkey = p.p_partkey
+),
+claims AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY
+      claim_start_date DESC NULLS LAST, claim_end_date DESC NULLS LAST, reimbursement_amt DESC NULLS LAST,
+      length_of_stay_days DESC NULLS LAST, beneficiary_id ASC NULLS LAST, provider_id ASC NULLS LAST,
+      claim_type ASC NULLS LAST, provider_specialty ASC NULLS LAST) AS rn
+    FROM claims_raw) WHERE rn = 1
 )"""
 
 
@@ -170,3 +178,71 @@ FEATURE_OUT = ("claim_id, beneficiary_id, provider_id, provider_specialty, claim
                "round(reimbursement_amt, 6) AS reimbursement_amt, length_of_stay_days, "
                + r6("reimbursement_zscore", "los_zscore", "visit_frequency_zscore",
                     "code_severity_percentile", "high_severity_code_pct") + ", code_severity_outlier")
+
+
+# --- labels ------------------------------------------------------------------
+def _sig_sum(t: str) -> str:
+    return (f"(CAST(reimbursement_zscore > {t} AS INTEGER)"
+            f" + CAST(claim_type = 'inpatient' AND los_zscore > {t} AS INTEGER)"
+            f" + CAST(visit_frequency_zscore > {t} AS INTEGER)"
+            f" + CAST(code_severity_outlier = 1 AS INTEGER))")
+
+
+def _reasons(t: str) -> str:
+    return (f"concat_ws('|', CASE WHEN reimbursement_zscore > {t} THEN 'reimbursement_zscore' END,"
+            f" CASE WHEN claim_type = 'inpatient' AND los_zscore > {t} THEN 'los_zscore' END,"
+            f" CASE WHEN visit_frequency_zscore > {t} THEN 'visit_frequency_zscore' END,"
+            f" CASE WHEN code_severity_outlier = 1 THEN 'code_severity_outlier' END)")
+
+
+def labeled(t: str = "2.5", k: str = "2", src: str = "featured", extra_from: str = "",
+            extra_cols: str = "") -> str:
+    """CTE ``labeled``: featured + label_reasons (text, '|') + n_signals + label.
+    ``t``/``k`` may be literals or columns of ``extra_from``."""
+    return f"""
+labeled AS (
+  SELECT f.*,{extra_cols} {_reasons(t)} AS label_reasons, {_sig_sum(t)} AS n_signals,
+         CAST({_sig_sum(t)} >= {k} AS INTEGER) AS label
+  FROM {src} f {extra_from})"""
+
+
+def calibration(ks: list[int], thresholds: list[float], coarse_k2: list[float], coarse_k3: list[float],
+                deltas: list[float], min_signals: int = 2, target: float = 0.025, lo: float = 0.02,
+                hi: float = 0.03, fine_min: float = 1.5) -> str:
+    """CTEs ``grid`` (brute force rates for every candidate) and ``chosen``
+    (the sequential search rule written as set logic)."""
+    cand = ", ".join(f"({k}, CAST({t!r} AS DOUBLE), {round(t * 100)})" for k in ks for t in thresholds)
+    seq = ", ".join([f"(1, {i}, {min_signals}, CAST({t!r} AS DOUBLE), {round(t * 100)})"
+                     for i, t in enumerate(coarse_k2)]
+                    + [f"(2, {i}, 3, CAST({t!r} AS DOUBLE), {round(t * 100)})" for i, t in enumerate(coarse_k3)])
+    dl = ", ".join(f"({i}, {round(d * 100)})" for i, d in enumerate(deltas))
+    return f"""
+cand AS (SELECT * FROM (VALUES {cand}) AS g(min_signals, threshold, tc)),
+grid AS (
+  SELECT g.min_signals, g.threshold, g.tc,
+         sum(CASE WHEN {_sig_sum('g.threshold')} >= g.min_signals THEN 1 ELSE 0 END) AS n_positive,
+         count(*) AS n_claims
+  FROM featured CROSS JOIN cand g GROUP BY g.min_signals, g.threshold, g.tc),
+seq AS (SELECT * FROM (VALUES {seq}) AS s(phase, ord, k, t, tc)),
+g1 AS (SELECT s.phase, s.ord, s.k, s.t, s.tc, CAST(gr.n_positive AS DOUBLE) / gr.n_claims AS r
+       FROM seq s JOIN grid gr ON gr.min_signals = s.k AND gr.tc = s.tc),
+hit1 AS (SELECT * FROM g1 WHERE phase = 1 AND r BETWEEN {lo} AND {hi} ORDER BY ord LIMIT 1),
+best1 AS (SELECT * FROM g1 WHERE phase = 1 ORDER BY abs(r - {target}), ord LIMIT 1),
+go2 AS (SELECT r > {hi} AS go FROM best1),
+hit2 AS (SELECT * FROM g1 WHERE phase = 2 AND (SELECT go FROM go2) AND r BETWEEN {lo} AND {hi}
+         ORDER BY ord LIMIT 1),
+best AS (SELECT * FROM g1 WHERE phase = 1 OR (phase = 2 AND (SELECT go FROM go2))
+         ORDER BY abs(r - {target}), phase, ord LIMIT 1),
+deltas AS (SELECT * FROM (VALUES {dl}) AS d(ord, dc)),
+fine AS (SELECT d.ord, b.tc + d.dc AS tc, b.k FROM best b CROSS JOIN deltas d),
+hit3 AS (SELECT gr.threshold AS t, f.k, CAST(gr.n_positive AS DOUBLE) / gr.n_claims AS r
+         FROM fine f JOIN grid gr ON gr.min_signals = f.k AND gr.tc = f.tc
+         WHERE f.tc >= {round(fine_min * 100)}
+           AND CAST(gr.n_positive AS DOUBLE) / gr.n_claims BETWEEN {lo} AND {hi}
+         ORDER BY f.ord LIMIT 1),
+chosen AS (
+  SELECT * FROM (
+    SELECT 1 AS pri, t, k, r, true AS in_band FROM hit1
+    UNION ALL SELECT 2, t, k, r, true FROM hit2
+    UNION ALL SELECT 3, t, k, r, true FROM hit3
+    UNION ALL SELECT 4, t, k, r, false FROM best) ORDER BY pri LIMIT 1)"""

@@ -23,6 +23,8 @@ def build_session(master: str | None = None, app: str = "peerguard",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

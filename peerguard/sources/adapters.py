@@ -49,15 +49,21 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(p, li.l_partkey == p.p_partkey))
 
 
+def _cents(c: str) -> Column:
+    """A 2-decimal double as exact integer hundredths."""
+    return F.rint(F.col(c) * 100).cast("bigint")
+
+
 def _amount() -> Column:
-    # exact decimal product, half-up to cents, then double
-    return F.round(F.col("l_extendedprice").cast("decimal(18,2)")
-                   * F.col("l_discount").cast("decimal(6,2)"), 2).cast("double")
+    """price × discount rounded half-up to cents, in exact integer arithmetic
+    (price and discount carry 2 decimals), then as a double."""
+    prod = _cents("l_extendedprice") * _cents("l_discount")  # 1/10000 units
+    return F.floor((prod + 50) / 100).cast("bigint") / 100.0
 
 
 def _procedure_codes() -> Column:
     q = F.concat(F.lit("Q"), F.floor(F.col("l_quantity") / 10).cast("bigint").cast("string"))
-    d = F.concat(F.lit("D"), (F.col("l_discount").cast("decimal(6,2)") * 100).cast("int").cast("string"))
+    d = F.concat(F.lit("D"), _cents("l_discount").cast("string"))
     return F.when(F.col("l_linenumber") == 1, F.array().cast("array<string>")).otherwise(F.array(q, d))
 
 
