@@ -24,8 +24,8 @@ def parse_compact_date(c: Column | str) -> Column:
     anything else, including impossible dates, gives NULL."""
     t = F.trim(F.col(c) if isinstance(c, str) else c)
     n = F.length(t)
-    return (F.when(n >= 8, F.try_to_date(F.substring(t, 1, 8), F.lit("yyyyMMdd")))
-             .when(n >= 6, F.try_to_date(F.concat(F.substring(t, 1, 6), F.lit("01")), F.lit("yyyyMMdd"))))
+    return (F.when(n >= 8, F.try_to_date(F.substring(t, 1, 8), "yyyyMMdd"))
+             .when(n >= 6, F.try_to_date(F.concat(F.substring(t, 1, 6), F.lit("01")), "yyyyMMdd")))
 
 
 def collect_codes(columns: Iterable[str]) -> Column:

@@ -24,7 +24,7 @@ def safe_int(c: Column | str, default: int = 0) -> Column:
 
 def iso_date(c: Column | str) -> Column:
     """A date, or a ``YYYY-MM-DD`` text; anything else is NULL."""
-    return F.try_to_date(_c(c).cast("string"), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_c(c).cast("string"), "yyyy-MM-dd")
 
 
 def list_json(c: Column | str) -> Column:

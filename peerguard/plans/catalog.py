@@ -240,3 +240,86 @@ def q_spot_check_sample(spark, sf_dir):
     s = lab.spot_check(labeled, 25)
     return s.select("claim_id", "provider_id", "claim_type", r6("reimbursement_zscore"),
                     list_text("label_reasons"), "assessment")
+
+
+# --- ingest through raw CSV files ---------------------------------------------
+from ..operators import ingest as ing  # noqa: E402
+from ..operators.profiles import build_beneficiary_profiles  # noqa: E402
+from ..schemas import CHRONIC_CONDITIONS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import adapters as ad  # noqa: E402
+from ..sources import csv_files  # noqa: E402
+from ..schemas import BENEFICIARY_FILE, CLAIM_FILES  # noqa: E402
+
+
+def write_raw_csvs(spark: SparkSession, sf_dir: str) -> str:
+    """Derive the raw claim and beneficiary CSV files from the driver tables
+    into a fresh folder under the shared checkpoint folder; returns it."""
+    base = scratch_path(spark, "raw_csv")
+    for ctype, df in ad.raw_claims_from_tpch(spark, sf_dir).items():
+        csv_files.write_text_csv(df, f"{base}/{CLAIM_FILES[ctype][0]}")
+    csv_files.write_text_csv(ad.raw_beneficiaries_from_tpch(spark, sf_dir), f"{base}/{BENEFICIARY_FILE}")
+    return base
+
+
+def _normalized_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = write_raw_csvs(spark, sf_dir)
+    return ing.normalize_claims(csv_files.read_claim_files(spark, base))
+
+
+def _ingest_view(df: DataFrame) -> DataFrame:
+    return df.select("claim_id", "beneficiary_id", "provider_id", "provider_specialty", "claim_type",
+                     F.date_format("claim_start_date", "yyyy-MM-dd").alias("claim_start_date"),
+                     F.date_format("claim_end_date", "yyyy-MM-dd").alias("claim_end_date"), "claim_year",
+                     "admit_diagnosis_cd", list_text("diagnosis_codes"), list_text("procedure_codes"),
+                     r6("reimbursement_amt"), "length_of_stay_days")
+
+
+@register("ingest_normalized_claims",
+          O.with_ctes(O.INGEST) + f"SELECT {O.INGEST_OUT} FROM normalized WHERE reject_reason IS NULL")
+def q_ingest_normalized_claims(spark, sf_dir):
+    """S2 + P1–P8, P10, P36, J1, U1: raw CSVs (all text) → accepted claims."""
+    return _ingest_view(ing.accepted(_normalized_from_csv(spark, sf_dir)))
+
+
+@register("ingest_reject_counts",
+          O.with_ctes(O.INGEST) +
+          "SELECT claim_type, coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n_rows "
+          "FROM normalized GROUP BY ALL")
+def q_ingest_reject_counts(spark, sf_dir):
+    """P9 + A18: accepted / dropped / malformed rows per claim type."""
+    return ing.reject_counts(_normalized_from_csv(spark, sf_dir))
+
+
+@register("ingest_rejected_rows",
+          O.with_ctes(O.INGEST) +
+          "SELECT claim_id, provider_id, claim_type, reject_reason FROM normalized WHERE reject_reason IS NOT NULL")
+def q_ingest_rejected_rows(spark, sf_dir):
+    """The explicit reject output with its reason."""
+    return ing.rejected(_normalized_from_csv(spark, sf_dir)).select(
+        "claim_id", "provider_id", "claim_type", "reject_reason")
+
+
+@register("provider_specialty_map",
+          O.with_ctes(O.LINES) + """,
+spec_map AS (
+  SELECT 'PRV' || CAST(l_suppkey AS VARCHAR) AS provider_id,
+         arg_min(r_name, CASE WHEN l_quantity = 13 THEN '' ELSE cid END || '|' || r_name) AS mapped_specialty
+  FROM lines WHERE ctype = 'carrier' AND l_quantity <> 17 AND l_linenumber <> 2 GROUP BY 1)
+SELECT provider_id, mapped_specialty FROM spec_map""")
+def q_provider_specialty_map(spark, sf_dir):
+    """First non-blank specialty per provider from the carrier file."""
+    base = write_raw_csvs(spark, sf_dir)
+    return ing.provider_specialty_map(csv_files.read_claim_files(spark, base)["carrier"])
+
+
+@register("beneficiary_profiles",
+          O.with_ctes(O.CLAIMS, O.beneficiaries(CHRONIC_CONDITIONS)) +
+          "SELECT beneficiary_id, birth_year, chronic_conditions, claim_count_ytd FROM bene_profile")
+def q_beneficiary_profiles(spark, sf_dir):
+    """S1 + P11, P12, A11, J8: profiles from the beneficiary CSV and claims."""
+    base = write_raw_csvs(spark, sf_dir)
+    bene = csv_files.read_beneficiaries(spark, base)
+    claims = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    p = build_beneficiary_profiles(bene, claims)
+    return p.select("beneficiary_id", "birth_year", list_text("chronic_conditions"), "claim_count_ytd")

@@ -246,3 +246,84 @@ chosen AS (
     UNION ALL SELECT 2, t, k, r, true FROM hit2
     UNION ALL SELECT 3, t, k, r, true FROM hit3
     UNION ALL SELECT 4, t, k, r, false FROM best) ORDER BY pri LIMIT 1)"""
+
+
+# --- raw-file ingest (FIXTURES.md B2 dirt rules) ------------------------------
+LINES = """
+lines AS (
+  SELECT l.*, o.o_custkey, o.o_orderdate, r.r_name, p.p_brand, p.p_type,
+         CAST(o.o_orderdate AS DATE) AS d_start, CAST(l.l_shipdate AS DATE) AS d_end,
+         concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR),
+                   CAST(l.l_partkey AS VARCHAR), CAST(l.l_suppkey AS VARCHAR)) AS cid,
+         CASE l.l_returnflag WHEN 'A' THEN 'inpatient' WHEN 'N' THEN 'outpatient'
+                             WHEN 'R' THEN 'carrier' END AS ctype,
+         CAST((CAST(round(l.l_extendedprice * 100) AS BIGINT) * CAST(round(l.l_discount * 100) AS BIGINT) + 50)
+              // 100 AS DOUBLE) / 100.0 AS amt
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+
+INGEST = LINES + """,
+spec_map AS (
+  SELECT 'PRV' || CAST(l_suppkey AS VARCHAR) AS provider_id,
+         arg_min(r_name, CASE WHEN l_quantity = 13 THEN '' ELSE cid END || '|' || r_name) AS mapped_specialty
+  FROM lines WHERE ctype = 'carrier' AND l_quantity <> 17 AND l_linenumber <> 2
+  GROUP BY 1),
+norm AS (
+  SELECT
+    CASE WHEN l_quantity = 13 THEN NULL ELSE cid END AS claim_id,
+    CASE WHEN l_quantity = 19 THEN NULL ELSE 'BENE' || CAST(o_custkey AS VARCHAR) END AS beneficiary_id,
+    CASE WHEN l_quantity = 17 THEN NULL ELSE 'PRV' || CAST(l_suppkey AS VARCHAR) END AS provider_id,
+    ctype AS claim_type,
+    CASE WHEN l_quantity = 41 THEN NULL
+         WHEN l_quantity = 37 THEN CAST(date_trunc('month', d_start) AS DATE) ELSE d_start END AS claim_start_date,
+    d_end AS claim_end_date,
+    p_brand AS admit_diagnosis_cd,
+    p_brand || '|' || p_type AS diagnosis_codes,
+    CASE WHEN l_linenumber = 1 THEN ''
+         ELSE 'Q' || CAST(CAST(floor(l_quantity / 10) AS BIGINT) AS VARCHAR) || '|D'
+              || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) END AS procedure_codes,
+    CASE WHEN l_quantity IN (29, 31) THEN 0.0 ELSE amt END AS reimbursement_amt,
+    CASE WHEN ctype <> 'inpatient' THEN 0
+         WHEN l_linenumber = 3 THEN greatest(0, date_diff('day',
+              CASE WHEN l_quantity = 37 THEN CAST(date_trunc('month', d_start) AS DATE) ELSE d_start END, d_end))
+         ELSE greatest(0, date_diff('day', d_start, d_end)) END AS length_of_stay_days,
+    CASE WHEN ctype = 'carrier' AND l_linenumber <> 2 THEN r_name END AS own_specialty,
+    CASE WHEN l_quantity IN (13, 17, 19) THEN 'dropped' WHEN l_quantity = 41 THEN 'malformed' END AS reject_reason
+  FROM lines),
+normalized AS (
+  SELECT norm.*, coalesce(own_specialty, m.mapped_specialty, 'Unknown') AS provider_specialty
+  FROM norm LEFT JOIN spec_map m USING (provider_id))"""
+
+INGEST_OUT = ("claim_id, beneficiary_id, provider_id, provider_specialty, claim_type, "
+              "strftime(claim_start_date, '%Y-%m-%d') AS claim_start_date, "
+              "strftime(claim_end_date, '%Y-%m-%d') AS claim_end_date, "
+              "CAST(year(claim_start_date) AS INTEGER) AS claim_year, admit_diagnosis_cd, diagnosis_codes, "
+              "procedure_codes, round(reimbursement_amt, 6) AS reimbursement_amt, "
+              "CAST(length_of_stay_days AS INTEGER) AS length_of_stay_days")
+
+
+def beneficiaries(conditions: list[str]) -> str:
+    """CTE ``bene`` with the adapter's rules, and ``bene_profile`` (needs claims)."""
+    rules = ["c_mktsegment = 'AUTOMOBILE'", "c_acctbal < 0", "c_mktsegment = 'BUILDING'",
+             "c_mktsegment = 'FURNITURE'", "c_mktsegment = 'HOUSEHOLD'", "c_mktsegment = 'MACHINERY'",
+             "c_acctbal > 5000", "c_acctbal < 1000", "c_nationkey < 5", "c_nationkey > 20"]
+    by_name = dict(zip(conditions, rules))
+    parts = ", ".join(f"CASE WHEN {by_name[n]} THEN '{n}' END" for n in sorted(conditions))
+    return f"""
+bene AS (
+  SELECT 'BENE' || CAST(c_custkey AS VARCHAR) AS beneficiary_id,
+         CASE WHEN c_acctbal < 0 AND c_mktsegment = 'MACHINERY' THEN 1940
+              ELSE CAST(1930 + c_custkey % 41 AS INTEGER) END AS birth_year,
+         concat_ws('|', {parts}) AS chronic_conditions
+  FROM customer),
+per_year AS (SELECT beneficiary_id, claim_year, count(*) AS n FROM claims GROUP BY 1, 2),
+latest AS (SELECT beneficiary_id, arg_max(n, claim_year) AS claim_count_ytd FROM per_year GROUP BY 1),
+bene_profile AS (
+  SELECT b.beneficiary_id, b.birth_year, b.chronic_conditions,
+         CAST(coalesce(l.claim_count_ytd, 0) AS INTEGER) AS claim_count_ytd
+  FROM bene b LEFT JOIN latest l USING (beneficiary_id))"""
