@@ -323,3 +323,158 @@ def q_beneficiary_profiles(spark, sf_dir):
     claims = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
     p = build_beneficiary_profiles(bene, claims)
     return p.select("beneficiary_id", "birth_year", list_text("chronic_conditions"), "claim_count_ytd")
+
+
+# --- scoring ------------------------------------------------------------------
+from ..operators import metrics as met  # noqa: E402
+from ..operators import ml  # noqa: E402
+from ..operators import scoring as sc  # noqa: E402
+from ..operators import serving as sv  # noqa: E402
+from ..operators.joins import checked  # noqa: E402
+from ..streaming import audit as au  # noqa: E402
+from ..streaming import scoring as ss  # noqa: E402
+
+SCORED_OUT = ("s.claim_id, round(s.score, 6) AS score, s.flagged, s.threshold, d.driver_features, "
+              "'Model not compiled; using heuristic score.' AS message")
+SCORED_SQL = FEATURE_CHAIN + "," + O.scored().strip("\n") + \
+    f"\nSELECT {SCORED_OUT} FROM scored s JOIN drivers d USING (claim_id)"
+
+
+def _scored_view(df: DataFrame) -> DataFrame:
+    return df.select("claim_id", r6("score"), "flagged", "threshold", list_text("driver_features"),
+                     F.lit(sc.HEURISTIC_MESSAGE).alias("message"))
+
+
+@register("scored_claims", SCORED_SQL)
+def q_scored_claims(spark, sf_dir):
+    """Heuristic score, clamp, flag at 0.5, top-3 drivers."""
+    return _scored_view(sc.score_claims(_featured(spark, sf_dir), 0.5))
+
+
+@register("scored_claims_peer_lookup",
+          FEATURE_CHAIN + "," + O.peer_stats().strip("\n").replace("visits AS", "visits2 AS", 0) + "" if False else
+          FEATURE_CHAIN + "," + O.scored().strip("\n") + """,
+legacy AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY provider_specialty, provider_id
+                                               ORDER BY claim_type DESC) AS rn FROM peer_stats) WHERE rn = 1)
+SELECT s.claim_id, round(s.score, 6) AS score, s.flagged, l.claim_type AS peer_claim_type,
+       CAST(l.n_claims AS INTEGER) AS peer_n_claims, round(l.avg_reimbursement, 6) AS peer_avg_reimbursement
+FROM scored s LEFT JOIN legacy l USING (provider_specialty, provider_id)""")
+def q_scored_claims_peer_lookup(spark, sf_dir):
+    """Scores enriched with the provider's peer stats read by
+    (specialty, provider), first row of the D11 one-row view."""
+    c = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    peer = checked(sv.peer_stats_legacy_one_row(sv.peer_stats_table(feat.compute_peer_group_stats(c))))
+    f = feat.compute_all_features(c, feat.FeatureParams(high_sev_cut=DRIVER_HIGH_SEV_CUT), prepared=True)
+    s = sc.with_peer_stats(sc.score_claims(f, 0.5), peer.df, sc.PEER_KEY_LEGACY, broadcast=peer.rows <= 2_000_000)
+    return s.select("claim_id", r6("score"), "flagged",
+                    F.col("provider_peer_stats.claim_type").alias("peer_claim_type"),
+                    F.col("provider_peer_stats.n_claims").alias("peer_n_claims"),
+                    F.round("provider_peer_stats.avg_reimbursement", 6).alias("peer_avg_reimbursement"))
+
+
+@register("flag_event_messages",
+          FEATURE_CHAIN + "," + O.scored().strip("\n") +
+          "\nSELECT s.claim_id, s.provider_id, round(s.score, 6) AS score, d.driver_features, "
+          "strftime(current_date, '%Y-%m-%d') AS flag_date FROM scored s JOIN drivers d USING (claim_id) "
+          "WHERE s.flagged")
+def q_flag_event_messages(spark, sf_dir):
+    """One JSON message per flagged claim, read back field by field."""
+    ev = sc.flag_events(sc.score_claims(_featured(spark, sf_dir), 0.5))
+    m = F.from_json("value", "claim_id string, provider_id string, score double, "
+                             "driver_features array<string>, flag_date string, timestamp string")
+    return ev.select(m.alias("m")).select("m.claim_id", "m.provider_id", F.round("m.score", 6).alias("score"),
+                                           F.array_join("m.driver_features", "|").alias("driver_features"),
+                                           "m.flag_date")
+
+
+# --- flag events → audit table (batch and stream) -------------------------------
+def _audit_view(df: DataFrame) -> DataFrame:
+    return df.select(F.date_format("flag_date", "yyyy-MM-dd").alias("flag_date"), r6("score"), "claim_id",
+                     "provider_id", "driver_features")
+
+
+AUDIT_SQL = O.with_ctes(O.EVENT_ROWS) + f"SELECT {O.AUDIT_OUT} FROM audit"
+REJECT_SQL = O.with_ctes(O.EVENT_ROWS) + \
+    "SELECT reject_reason, count(*) AS n_rows FROM event_rows WHERE reject_reason IS NOT NULL GROUP BY 1"
+
+
+@register("flagged_claims_from_events", AUDIT_SQL)
+def q_flagged_claims_from_events(spark, sf_dir):
+    """X2 (batch form) + P27, P28, K7 key dedup: messages → audit rows."""
+    rows = au.to_audit_rows(ad.flag_messages_from_events(spark, sf_dir))
+    return _audit_view(sv.last_write_wins(au.accepted_rows(rows), au.AUDIT_KEY, [F.col("provider_id")]))
+
+
+@register("flag_event_rejects", REJECT_SQL)
+def q_flag_event_rejects(spark, sf_dir):
+    """Rejected messages by reason (bad JSON, empty claim id)."""
+    rows = au.to_audit_rows(ad.flag_messages_from_events(spark, sf_dir))
+    return au.rejected_rows(rows).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _write_messages(spark: SparkSession, sf_dir: str) -> str:
+    src = scratch_path(spark, "flag_messages")
+    ad.flag_messages_from_events(spark, sf_dir).select("value").write.mode("overwrite").text(src)
+    return src
+
+
+@register("audit_stream_table", AUDIT_SQL)
+def q_audit_stream_table(spark, sf_dir):
+    """X2/X3/K7 streaming: JSON-lines source → availableNow micro-batches →
+    foreachBatch per-epoch sink → deduplicated audit table."""
+    src = _write_messages(spark, sf_dir)
+    table = scratch_path(spark, "audit_table")
+    au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
+    return _audit_view(au.read_audit_table(spark, table))
+
+
+@register("audit_stream_replay", AUDIT_SQL)
+def q_audit_stream_replay(spark, sf_dir):
+    """The same input consumed twice (a replay with a fresh checkpoint)
+    into the same table gives the same table."""
+    src = _write_messages(spark, sf_dir)
+    table = scratch_path(spark, "audit_table")
+    au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
+    au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
+    return _audit_view(au.read_audit_table(spark, table))
+
+
+@register("audit_stream_rejects", REJECT_SQL)
+def q_audit_stream_rejects(spark, sf_dir):
+    """X4 streaming: the reject output of the stream, by reason."""
+    src = _write_messages(spark, sf_dir)
+    table = scratch_path(spark, "audit_table")
+    au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
+    return au.read_audit_rejects(spark, table).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("audit_queue_top10", O.with_ctes(O.EVENT_ROWS) + """
+SELECT strftime(flag_date, '%Y-%m-%d') AS flag_date, rank, claim_id, round(score, 6) AS score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY flag_date ORDER BY score DESC, claim_id) AS INTEGER) AS rank
+  FROM audit) WHERE rank <= 10""")
+def q_audit_queue_top10(spark, sf_dir):
+    """Each day's 10 highest-scored flags (score desc, claim id asc)."""
+    rows = au.accepted_rows(au.to_audit_rows(ad.flag_messages_from_events(spark, sf_dir)))
+    q = sv.audit_queue(sv.last_write_wins(rows, au.AUDIT_KEY, [F.col("provider_id")]), 10)
+    return q.select(F.date_format("flag_date", "yyyy-MM-dd").alias("flag_date"), "rank", "claim_id", r6("score"))
+
+
+# --- streaming scoring ---------------------------------------------------------
+@register("scoring_stream_scores", SCORED_SQL.replace(
+    f"\nSELECT {SCORED_OUT} FROM scored s JOIN drivers d USING (claim_id)",
+    "\nSELECT s.claim_id, round(s.score, 6) AS score, s.flagged, s.threshold, "
+    "'Model not compiled; using heuristic score.' AS message FROM scored s"))
+def q_scoring_stream_scores(spark, sf_dir):
+    """Claim requests as JSON files → streaming score → responses (K9)."""
+    f = _featured(spark, sf_dir)
+    req_dir = scratch_path(spark, "score_requests")
+    f.select(*[c for c in f.columns if c not in ("claim_end_date", "claim_year", "admit_diagnosis_cd")]) \
+     .withColumn("claim_start_date", F.date_format("claim_start_date", "yyyy-MM-dd")) \
+     .write.mode("overwrite").json(req_dir)
+    c = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    peer = checked(sv.peer_stats_table(feat.compute_peer_group_stats(c)))
+    out = scratch_path(spark, "score_out")
+    ss.run_scoring_stream(spark, req_dir, peer.df, out, scratch_path(spark, "score_events"),
+                          scratch_path(spark, "score_ckpt"), 0.5)
+    return ss.read_scores(spark, out).select("claim_id", "score", "flagged", "threshold", "message")

@@ -327,3 +327,85 @@ bene_profile AS (
   SELECT b.beneficiary_id, b.birth_year, b.chronic_conditions,
          CAST(coalesce(l.claim_count_ytd, 0) AS INTEGER) AS claim_count_ytd
   FROM bene b LEFT JOIN latest l USING (beneficiary_id))"""
+
+
+# --- scoring -----------------------------------------------------------------
+DISPLAY = ["'Reimbursement z-score'", "'Length-of-stay z-score'", "'Visit-frequency z-score'",
+           "'Code severity percentile'", "'High-severity code %'", "'Code severity outlier'"]
+SCORE_EXPR = ("greatest(0.0, least(1.0, abs(reimbursement_zscore) * 0.3 + abs(los_zscore) * 0.2"
+              " + abs(visit_frequency_zscore) * 0.2 + code_severity_percentile * 0.15"
+              " + high_severity_code_pct / 100.0 * 0.1 + CAST(code_severity_outlier AS DOUBLE) * 0.05))")
+
+
+def scored(src: str = "featured", threshold: str = "0.5") -> str:
+    return f"""
+scored AS (
+  SELECT s.*, s.score >= {threshold} AS flagged, CAST({threshold} AS DOUBLE) AS threshold
+  FROM (SELECT f.*, {SCORE_EXPR} AS score FROM {src} f) s),
+drivers AS (
+  SELECT claim_id, string_agg(name, '|' ORDER BY v DESC, p) AS driver_features FROM (
+    SELECT claim_id, name, v, p, row_number() OVER (PARTITION BY claim_id ORDER BY v DESC, p) AS rn FROM (
+      SELECT claim_id,
+             unnest([abs(reimbursement_zscore), abs(los_zscore), abs(visit_frequency_zscore),
+                     CAST(code_severity_percentile AS DOUBLE), high_severity_code_pct / 100.0,
+                     CAST(code_severity_outlier AS DOUBLE)]) AS v,
+             unnest([{", ".join(DISPLAY)}]) AS name,
+             unnest([0, 1, 2, 3, 4, 5]) AS p
+      FROM scored)) WHERE rn <= 3 GROUP BY claim_id)"""
+
+
+# --- flag events from the events table (FIXTURES.md B2) ------------------------
+EVENT_ROWS = """
+event_rows AS (
+  SELECT CASE WHEN event_type = 'view' AND value < 5 THEN current_date ELSE CAST(ts AS DATE) END AS flag_date,
+         least(1.0, value / 200) AS score,
+         CASE WHEN event_type = 'signup' AND value < 5 THEN '' ELSE CAST(event_id AS VARCHAR) END AS claim_id,
+         CAST(user_id AS VARCHAR) AS provider_id,
+         '["' || event_type || '"]' AS driver_features,
+         CASE WHEN event_type = 'error' AND value < 5 THEN 'bad_json'
+              WHEN event_type = 'signup' AND value < 5 THEN 'empty_claim_id' END AS reject_reason
+  FROM events),
+audit AS (
+  SELECT flag_date, score, claim_id, any_value(provider_id) AS provider_id,
+         any_value(driver_features) AS driver_features
+  FROM event_rows WHERE reject_reason IS NULL GROUP BY flag_date, score, claim_id)"""
+
+AUDIT_OUT = ("strftime(flag_date, '%Y-%m-%d') AS flag_date, round(score, 6) AS score, claim_id, provider_id, "
+             "driver_features")
+
+
+# --- evaluation split and curves -------------------------------------------------
+def evaluation(src: str = "labeled", test_size: float = 0.2) -> str:
+    return f"""
+ev AS (SELECT claim_id, label, round({SCORE_EXPR}, 6) AS score FROM {src}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(claim_id), claim_id) AS rk,
+         count(*) OVER (PARTITION BY label) AS nl FROM ev),
+split AS (SELECT *, CASE WHEN rk <= round(nl * {test_size}) THEN 'test' ELSE 'train' END AS split FROM ranked),
+test AS (SELECT label, score FROM split WHERE split = 'test'),
+cnt AS (SELECT score AS threshold, sum(label) AS pos, sum(1 - label) AS neg FROM test GROUP BY score),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM cnt),
+cum AS (
+  SELECT threshold, pos, neg,
+         sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+  FROM cnt),
+pr AS (
+  SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision,
+         coalesce(CAST(tp AS DOUBLE) / nullif(P, 0), 1.0) AS recall
+  FROM cum CROSS JOIN tot),
+chosen_thr AS (
+  SELECT threshold FROM (
+    SELECT threshold, 0 AS pri, precision FROM pr WHERE recall >= 0.9
+    UNION ALL SELECT min(threshold), 1, NULL FROM pr)
+  ORDER BY pri, precision DESC, threshold LIMIT 1),
+pred AS (SELECT t.label, CAST(t.score >= c.threshold AS INTEGER) AS prediction, c.threshold
+         FROM test t CROSS JOIN chosen_thr c),
+cm AS (
+  SELECT CAST(sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+         CAST(sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+         CAST(sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+         CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         any_value(threshold) AS threshold
+  FROM pred)"""
