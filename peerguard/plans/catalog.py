@@ -478,3 +478,229 @@ def q_scoring_stream_scores(spark, sf_dir):
     ss.run_scoring_stream(spark, req_dir, peer.df, out, scratch_path(spark, "score_events"),
                           scratch_path(spark, "score_ckpt"), 0.5)
     return ss.read_scores(spark, out).select("claim_id", "score", "flagged", "threshold", "message")
+
+
+# --- serving tables and read paths ----------------------------------------------
+SERVING_LABELED = CALIBRATED.rstrip() + ",\nlabeled_s AS (SELECT *, " + O.reasons_json("t") + \
+    " AS label_reasons_json FROM labeled)"
+
+
+def _labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeled, _ = lab.calibrate_threshold(featured_table(spark, sf_dir))
+    return labeled
+
+
+def _serving_claim_view(df: DataFrame) -> DataFrame:
+    return df.select("claim_id", "provider_id", F.date_format("claim_start_date", "yyyy-MM-dd").alias("claim_start_date"),
+                     F.date_format("claim_end_date", "yyyy-MM-dd").alias("claim_end_date"), "beneficiary_id",
+                     "provider_specialty", "claim_type", "admit_diagnosis_cd", "diagnosis_codes", "procedure_codes",
+                     r6("reimbursement_amt"), "length_of_stay_days", r6("reimbursement_zscore"),
+                     r6("visit_frequency_zscore"), "code_severity_outlier", "label", "label_reasons")
+
+
+@register("serving_claims_by_id", SERVING_LABELED + f"\nSELECT {O.SERVING_CLAIM_OUT} FROM labeled_s")
+def q_serving_claims_by_id(spark, sf_dir):
+    """K3 + W3 + P23–P26: id-keyed serving rows, written range-partitioned and
+    sorted by claim_id, read back."""
+    path = scratch_path(spark, "claims_by_id")
+    sv.write_claims_by_id(sv.claims_by_id(_labeled(spark, sf_dir)), path)
+    return _serving_claim_view(spark.read.parquet(path))
+
+
+@register("serving_claims_by_provider_range", SERVING_LABELED + f"""
+SELECT provider_id, strftime(claim_start_date, '%Y-%m-%d') AS claim_start_date, claim_id,
+       round(reimbursement_amt, 6) AS reimbursement_amt, label
+FROM labeled_s WHERE claim_start_date BETWEEN DATE '1995-01-01' AND DATE '1998-12-31'""")
+def q_serving_claims_by_provider_range(spark, sf_dir):
+    """K4 + S7 + T1: provider/date-clustered table; every provider's claims in
+    a date range, ordered by (provider, date, claim). The range predicate is
+    pushed to the Parquet scan."""
+    path = scratch_path(spark, "claims_by_provider")
+    sv.write_claims_by_provider(sv.claims_by_provider(_labeled(spark, sf_dir)), path)
+    r = sv.provider_claims_between(spark.read.parquet(path), "1995-01-01", "1998-12-31")
+    return r.select("provider_id", F.date_format("claim_start_date", "yyyy-MM-dd").alias("claim_start_date"),
+                    "claim_id", r6("reimbursement_amt"), "label")
+
+
+PEER_SERVING_OUT = ("provider_specialty, provider_id, claim_type, CAST(n_claims AS INTEGER) AS n_claims, "
+                    + O.r6("avg_reimbursement", "reimbursement_stddev", "avg_length_of_stay", "los_stddev",
+                           "avg_visit_freq_per_bene", "peer_avg_visit_freq", "peer_visit_freq_stddev"))
+
+
+@register("serving_peer_stats", O.with_ctes(O.CLAIMS, O.peer_stats()) + f"SELECT {PEER_SERVING_OUT} FROM peer_stats")
+def q_serving_peer_stats(spark, sf_dir):
+    """K5 (D11): peer stats keyed by (specialty, provider, claim_type)."""
+    t = sv.peer_stats_table(feat.compute_peer_group_stats(feat.prepare_claims(claims_from_tpch(spark, sf_dir))))
+    return _peer_view(t)
+
+
+@register("serving_peer_stats_legacy_one_row", O.with_ctes(O.CLAIMS, O.peer_stats()) + f"""
+SELECT {PEER_SERVING_OUT} FROM (
+  SELECT *, row_number() OVER (PARTITION BY provider_specialty, provider_id ORDER BY claim_type DESC) AS rn
+  FROM peer_stats) WHERE rn = 1""")
+def q_serving_peer_stats_legacy_one_row(spark, sf_dir):
+    """D11 legacy view: one row per (specialty, provider), last claim_type wins."""
+    t = sv.peer_stats_table(feat.compute_peer_group_stats(feat.prepare_claims(claims_from_tpch(spark, sf_dir))))
+    return _peer_view(sv.peer_stats_legacy_one_row(t))
+
+
+@register("serving_beneficiary_profile",
+          O.with_ctes(O.CLAIMS, O.beneficiaries(CHRONIC_CONDITIONS)) +
+          "SELECT beneficiary_id, birth_year, '[' || concat_ws(',', list_transform("
+          "string_split(nullif(chronic_conditions, ''), '|'), lambda x: '\"' || x || '\"')) || ']' "
+          "AS chronic_conditions, claim_count_ytd FROM bene_profile")
+def q_serving_beneficiary_profile(spark, sf_dir):
+    """K6: beneficiary rows with conditions as JSON text."""
+    bene = ad.raw_beneficiaries_from_tpch(spark, sf_dir)
+    p = build_beneficiary_profiles(bene, feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
+    return sv.beneficiary_table(p)
+
+
+@register("lookup_positive_claims_by_id", SERVING_LABELED +
+          f"\nSELECT {O.SERVING_CLAIM_OUT} FROM labeled_s WHERE label = 1")
+def q_lookup_positive_claims_by_id(spark, sf_dir):
+    """S6 as batched point reads: the id-keyed table probed with every
+    positive claim id (left semi join)."""
+    labeled = _labeled(spark, sf_dir)
+    table = sv.claims_by_id(labeled)
+    return _serving_claim_view(sv.lookup_claims(table, labeled.where(F.col("label") == 1)))
+
+
+@register("lookup_beneficiaries_of_positives",
+          SERVING_LABELED.rstrip() + "," + O.beneficiaries(CHRONIC_CONDITIONS).strip("\n") +
+          "\nSELECT beneficiary_id, birth_year, claim_count_ytd FROM bene_profile "
+          "WHERE beneficiary_id IN (SELECT beneficiary_id FROM labeled_s WHERE label = 1)")
+def q_lookup_beneficiaries_of_positives(spark, sf_dir):
+    """Beneficiary rows for the beneficiaries of positive claims."""
+    labeled = _labeled(spark, sf_dir)
+    bene = ad.raw_beneficiaries_from_tpch(spark, sf_dir)
+    p = sv.beneficiary_table(build_beneficiary_profiles(bene, feat.prepare_claims(claims_from_tpch(spark, sf_dir))))
+    return sv.lookup_beneficiaries(p, labeled.where(F.col("label") == 1)).select(
+        "beneficiary_id", "birth_year", "claim_count_ytd")
+
+
+# --- evaluation: split, curves, metrics --------------------------------------------
+EVAL_SQL = CALIBRATED.rstrip() + "," + O.evaluation("labeled").strip("\n")
+
+
+def _eval_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated labels + heuristic score (rounded to 6 places) + M1 split."""
+    s = sc.score_claims(_labeled(spark, sf_dir)).select("claim_id", "label", F.round("score", 6).alias("score"))
+    return ml.stratified_split(s)
+
+
+def _test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _eval_split(spark, sf_dir).where(F.col("split") == "test").select("label", "score")
+
+
+@register("stratified_split_counts", EVAL_SQL + """
+SELECT split, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, round(avg(label), 6) AS positive_rate
+FROM split GROUP BY split
+UNION ALL SELECT 'all', count(*), CAST(sum(label) AS BIGINT), round(avg(label), 6) FROM split""")
+def q_stratified_split_counts(spark, sf_dir):
+    """M1/W5 + A25: exact per-label 80/20 split by md5(claim_id)."""
+    return ml.split_counts(_eval_split(spark, sf_dir)).select("split", "n_rows", "n_positive", r6("positive_rate"))
+
+
+@register("stratified_split_members", EVAL_SQL + "\nSELECT claim_id, label, split FROM split")
+def q_stratified_split_members(spark, sf_dir):
+    """M1: which claims are in the test set."""
+    return _eval_split(spark, sf_dir).select("claim_id", "label", "split")
+
+
+@register("pr_curve", EVAL_SQL + """
+SELECT threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr
+UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(0 AS BIGINT), CAST(0 AS BIGINT), 1.0, 0.0""")
+def q_pr_curve(spark, sf_dir):
+    """PR curve points on the test split (exact distributed prefix sums)."""
+    return met.pr_curve(_test(spark, sf_dir)).select("threshold", "tp", "fp", r6("precision"), r6("recall"))
+
+
+@register("roc_curve", EVAL_SQL + """
+SELECT threshold, round(coalesce(CAST(fp AS DOUBLE) / nullif(N, 0), 0.0), 6) AS fpr,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(P, 0), 0.0), 6) AS tpr FROM cum CROSS JOIN tot
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+def q_roc_curve(spark, sf_dir):
+    """M8: ROC curve points on the test split."""
+    return met.roc_curve(_test(spark, sf_dir)).select("threshold", r6("fpr"), r6("tpr"))
+
+
+@register("average_precision", EVAL_SQL + """
+SELECT round(sum(CAST(pos AS DOUBLE) / P * (CAST(tp AS DOUBLE) / (tp + fp))), 6) AS average_precision
+FROM cum CROSS JOIN tot""")
+def q_average_precision(spark, sf_dir):
+    """Average precision (step-wise sum)."""
+    return met.average_precision(_test(spark, sf_dir)).select(r6("average_precision"))
+
+
+@register("roc_auc", EVAL_SQL + """
+SELECT round(sum(pos * (N - fp + neg * 0.5)) / (any_value(P) * any_value(N)), 6) AS roc_auc FROM cum CROSS JOIN tot""")
+def q_roc_auc(spark, sf_dir):
+    """ROC-AUC by rank sum with half credit for ties."""
+    return met.roc_auc(_test(spark, sf_dir)).select(r6("roc_auc"))
+
+
+@register("threshold_for_recall", EVAL_SQL + """
+SELECT p.threshold, round(p.precision, 6) AS precision, round(p.recall, 6) AS recall
+FROM pr p JOIN chosen_thr c ON p.threshold = c.threshold""")
+def q_threshold_for_recall(spark, sf_dir):
+    """Highest precision with recall ≥ 0.9, ties to the lowest threshold."""
+    t = met.choose_threshold_for_recall(met.pr_curve(_test(spark, sf_dir)), 0.9)
+    return t.select("threshold", r6("precision"), r6("recall"))
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = _test(spark, sf_dir)
+    from ..session import materialize
+    test = materialize(test)
+    thr = met.choose_threshold_for_recall(met.pr_curve(test), 0.9).select("threshold").scalar()
+    return test.withColumn("threshold", thr).withColumn("prediction", sc.predict_label(F.col("score"), thr))
+
+
+@register("confusion_and_metrics", EVAL_SQL + """
+SELECT tn, fp, fn, tp, threshold, round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 6) AS accuracy,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0), 6) AS precision,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0), 6) AS recall,
+       round(coalesce(2 * coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0)
+                        * coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0)
+                      / nullif(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0)
+                               + coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0), 0), 0.0), 6) AS f1
+FROM cm""")
+def q_confusion_and_metrics(spark, sf_dir):
+    """P35 + A19 + A20: predictions at the tuned threshold, confusion matrix,
+    accuracy / precision / recall / F1."""
+    p = _predictions(spark, sf_dir)
+    m = met.binary_metrics(p)
+    thr = p.select(F.max("threshold")).scalar()
+    return m.select("tn", "fp", "fn", "tp", thr.alias("threshold"), r6("accuracy"), r6("precision"),
+                    r6("recall"), r6("f1"))
+
+
+@register("classification_report", EVAL_SQL + """,
+prf AS (
+  SELECT coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0.0) AS p0,
+         coalesce(CAST(tn AS DOUBLE) / nullif(tn + fp, 0), 0.0) AS r0,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS p1,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS r1,
+         tn + fp AS s0, tp + fn AS s1, tp + tn + fp + fn AS tot, CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS acc
+  FROM cm),
+prf2 AS (SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0.0) AS f0,
+                   coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0.0) AS f1 FROM prf)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM (
+  SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM prf2
+  UNION ALL SELECT '1', p1, r1, f1, s1 FROM prf2
+  UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, tot FROM prf2
+  UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / tot, (r0 * s0 + r1 * s1) / tot, (f0 * s0 + f1 * s1) / tot, tot
+            FROM prf2
+  UNION ALL SELECT 'accuracy', acc, acc, acc, tot FROM prf2)""")
+def q_classification_report(spark, sf_dir):
+    """Per-class report with macro and weighted averages."""
+    r = met.classification_report(_predictions(spark, sf_dir))
+    return r.select("class", r6("precision"), r6("recall"), r6("f1"), F.col("support").cast("long").alias("support"))
+
+
+@register("no_skill_rate", EVAL_SQL + "\nSELECT round(avg(label), 6) AS no_skill_rate FROM test")
+def q_no_skill_rate(spark, sf_dir):
+    """M8: the no-skill precision line of the PR plot."""
+    return met.no_skill_rate(_test(spark, sf_dir)).select(r6("no_skill_rate"))

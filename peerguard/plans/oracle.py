@@ -409,3 +409,20 @@ cm AS (
          CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
          any_value(threshold) AS threshold
   FROM pred)"""
+
+
+def reasons_json(t: str = "t") -> str:
+    return (f"'[' || concat_ws(',', CASE WHEN reimbursement_zscore > {t} THEN '\"reimbursement_zscore\"' END,"
+            f" CASE WHEN claim_type = 'inpatient' AND los_zscore > {t} THEN '\"los_zscore\"' END,"
+            f" CASE WHEN visit_frequency_zscore > {t} THEN '\"visit_frequency_zscore\"' END,"
+            f" CASE WHEN code_severity_outlier = 1 THEN '\"code_severity_outlier\"' END) || ']'")
+
+
+SERVING_CLAIM_OUT = (
+    "claim_id, provider_id, strftime(claim_start_date, '%Y-%m-%d') AS claim_start_date, "
+    "strftime(claim_end_date, '%Y-%m-%d') AS claim_end_date, beneficiary_id, provider_specialty, claim_type, "
+    "admit_diagnosis_cd, CAST(to_json(diagnosis_codes) AS VARCHAR) AS diagnosis_codes, "
+    "CAST(to_json(procedure_codes) AS VARCHAR) AS procedure_codes, round(reimbursement_amt, 6) AS reimbursement_amt, "
+    "length_of_stay_days, round(reimbursement_zscore, 6) AS reimbursement_zscore, "
+    "round(visit_frequency_zscore, 6) AS visit_frequency_zscore, code_severity_outlier, label, "
+    "label_reasons_json AS label_reasons")
