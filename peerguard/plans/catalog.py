@@ -704,3 +704,55 @@ def q_classification_report(spark, sf_dir):
 def q_no_skill_rate(spark, sf_dir):
     """M8: the no-skill precision line of the PR plot."""
     return met.no_skill_rate(_test(spark, sf_dir)).select(r6("no_skill_rate"))
+
+
+# --- summaries ---------------------------------------------------------------------
+from ..operators import summaries as sm  # noqa: E402
+
+
+@register("claims_per_type", O.with_ctes(O.CLAIMS) +
+          "SELECT claim_type, count(*) AS n_rows FROM claims GROUP BY claim_type")
+def q_claims_per_type(spark, sf_dir):
+    """Claims per type."""
+    return sm.category_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)), "claim_type", None)
+
+
+@register("top_specialties", O.with_ctes(O.CLAIMS) +
+          "SELECT provider_specialty, count(*) AS n_rows FROM claims GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def q_top_specialties(spark, sf_dir):
+    """The ten most frequent specialties (a top-k report)."""
+    return sm.category_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)), "provider_specialty", 10)
+
+
+@register("describe_reimbursement", O.with_ctes(O.CLAIMS) + """
+SELECT count(reimbursement_amt) AS count, round(avg(reimbursement_amt), 6) AS mean,
+       round(stddev_samp(reimbursement_amt), 6) AS std, round(min(reimbursement_amt), 6) AS min,
+       round(quantile_cont(reimbursement_amt, 0.25), 6) AS p25, round(quantile_cont(reimbursement_amt, 0.5), 6) AS p50,
+       round(quantile_cont(reimbursement_amt, 0.75), 6) AS p75, round(max(reimbursement_amt), 6) AS max
+FROM claims""")
+def q_describe_reimbursement(spark, sf_dir):
+    """describe() of the amount with exact quartiles."""
+    d = sm.describe_amount(feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
+    return d.select("count", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@register("feature_summary", FEATURE_CHAIN + """,
+long AS (
+  SELECT unnest(['reimbursement_zscore', 'los_zscore', 'visit_frequency_zscore', 'code_severity_percentile']) AS feature,
+         unnest([reimbursement_zscore, los_zscore, visit_frequency_zscore, CAST(code_severity_percentile AS DOUBLE)])
+           AS value
+  FROM featured)
+SELECT feature, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(quantile_cont(value, 0.95), 6) AS p95 FROM long GROUP BY feature""")
+def q_feature_summary(spark, sf_dir):
+    """Mean, std and p95 of the four z/percentile features."""
+    return sm.feature_summary(_featured(spark, sf_dir)).select("feature", r6("mean"), r6("std"), r6("p95"))
+
+
+@register("distinct_counts", O.with_ctes(O.CLAIMS, O.codes()) + """
+SELECT (SELECT count(DISTINCT provider_specialty) FROM claims) AS n_specialties,
+       (SELECT count(DISTINCT provider_id) FROM claims) AS n_providers,
+       (SELECT count(DISTINCT code) FROM code_occ) AS n_codes""")
+def q_distinct_counts(spark, sf_dir):
+    """Distinct specialties, providers and codes."""
+    return sm.distinct_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
