@@ -756,3 +756,17 @@ SELECT (SELECT count(DISTINCT provider_specialty) FROM claims) AS n_specialties,
 def q_distinct_counts(spark, sf_dir):
     """Distinct specialties, providers and codes."""
     return sm.distinct_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
+
+
+# --- model (rows-only: no SQL oracle for a fitted GBT) ---------------------------------
+@register("gbt_model_report")
+def q_gbt_model_report(spark, sf_dir):
+    """Boosted trees (200 rounds, rate 0.1, depth 5,
+    balanced class weights) on the train split, evaluated on the test split;
+    metrics, confusion counts and permutation importances (10 repeats)."""
+    from ..session import materialize
+    s = materialize(ml.stratified_split(_labeled(spark, sf_dir)))
+    model = ml.train_gbt(s.where(F.col("split") == "train"))
+    path = scratch_path(spark, "gbt_model")
+    model.write().overwrite().save(path)  # K10: the model artifact
+    return ml.model_report(model, s.where(F.col("split") == "test"))
