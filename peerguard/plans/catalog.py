@@ -32,10 +32,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter claims, deduplicated on claim_id and checkpointed."""
+    return feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+
+
 def _featured(spark: SparkSession, sf_dir: str, high_sev_cut: float = DRIVER_HIGH_SEV_CUT,
               baseline: str = "provider") -> DataFrame:
     params = feat.FeatureParams(baseline=baseline, high_sev_cut=high_sev_cut)
-    return feat.compute_all_features(claims_from_tpch(spark, sf_dir), params)
+    return feat.compute_all_features(_claims(spark, sf_dir), params, prepared=True)
 
 
 PEER_OUT = ("provider_specialty, provider_id, claim_type, n_claims, "
@@ -54,14 +59,14 @@ def _peer_view(df: DataFrame) -> DataFrame:
           O.with_ctes(O.CLAIMS, O.peer_stats()) + f"SELECT {PEER_OUT} FROM peer_stats")
 def q_provider_peer_stats(spark, sf_dir):
     """A2, A3, A4, A10, J2, J3 (D5 grain, D7 fill)."""
-    return _peer_view(feat.compute_peer_group_stats(claims_from_tpch(spark, sf_dir)))
+    return _peer_view(feat.compute_peer_group_stats(_claims(spark, sf_dir)))
 
 
 @register("provider_peer_stats_peer_baseline",
           O.with_ctes(O.CLAIMS, O.peer_stats(baseline="peer_group")) + f"SELECT {PEER_OUT} FROM peer_stats")
 def q_provider_peer_stats_peer_baseline(spark, sf_dir):
     """D4 option: amount/LOS mean and std of the specialty × type group."""
-    return _peer_view(feat.compute_peer_group_stats(claims_from_tpch(spark, sf_dir), "peer_group"))
+    return _peer_view(feat.compute_peer_group_stats(_claims(spark, sf_dir), "peer_group"))
 
 
 @register("code_weights",
@@ -69,7 +74,7 @@ def q_provider_peer_stats_peer_baseline(spark, sf_dir):
           "SELECT code, round(avg_reimbursement, 6) AS avg_reimbursement, n_occurrences FROM weights")
 def q_code_weights(spark, sf_dir):
     """Per-code mean amount and occurrences (dx and px share one key space)."""
-    w = feat.compute_code_reimbursement_weights(claims_from_tpch(spark, sf_dir))
+    w = feat.compute_code_reimbursement_weights(_claims(spark, sf_dir))
     return w.select("code", r6("avg_reimbursement"), "n_occurrences")
 
 
@@ -79,7 +84,7 @@ def q_code_weights(spark, sf_dir):
           "round(p50, 6) AS p50, round(p90, 6) AS p90 FROM sev CROSS JOIN pcts")
 def q_code_severity(spark, sf_dir):
     """A9 + P16 per code: exact p50/p90 of code means, clamped position, top decile."""
-    w = feat.compute_code_reimbursement_weights(claims_from_tpch(spark, sf_dir))
+    w = feat.compute_code_reimbursement_weights(_claims(spark, sf_dir))
     from ..session import materialize
     w = materialize(w)
     p50, p90 = feat.code_percentiles(w)
@@ -95,7 +100,7 @@ def q_provider_high_severity_share(spark, sf_dir):
     """A5 (with A8 counts underneath): provider share of top-decile code uses."""
     from ..operators.joins import checked
     from ..session import materialize
-    claims = claims_from_tpch(spark, sf_dir)
+    claims = _claims(spark, sf_dir)
     sev = checked(feat.code_severity_table(materialize(feat.compute_code_reimbursement_weights(claims))))
     return feat.provider_high_severity_share(claims, sev).select("provider_id", r6("high_severity_code_pct"))
 
@@ -105,7 +110,7 @@ def q_provider_high_severity_share(spark, sf_dir):
           "SELECT provider_id, code, count(*) AS n_occurrences FROM code_occ GROUP BY provider_id, code")
 def q_provider_code_counts(spark, sf_dir):
     """Occurrences per (provider, code)."""
-    return feat.provider_code_counts(claims_from_tpch(spark, sf_dir))
+    return feat.provider_code_counts(_claims(spark, sf_dir))
 
 
 @register("claims_featured",
@@ -320,7 +325,7 @@ def q_beneficiary_profiles(spark, sf_dir):
     """S1 + P11, P12, A11, J8: profiles from the beneficiary CSV and claims."""
     base = write_raw_csvs(spark, sf_dir)
     bene = csv_files.read_beneficiaries(spark, base)
-    claims = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    claims = _claims(spark, sf_dir)
     p = build_beneficiary_profiles(bene, claims)
     return p.select("beneficiary_id", "birth_year", list_text("chronic_conditions"), "claim_count_ytd")
 
@@ -363,7 +368,7 @@ FROM scored s LEFT JOIN legacy l USING (provider_specialty, provider_id)""")
 def q_scored_claims_peer_lookup(spark, sf_dir):
     """Scores enriched with the provider's peer stats read by
     (specialty, provider), first row of the D11 one-row view."""
-    c = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    c = _claims(spark, sf_dir)
     peer = checked(sv.peer_stats_legacy_one_row(sv.peer_stats_table(feat.compute_peer_group_stats(c))))
     f = feat.compute_all_features(c, feat.FeatureParams(high_sev_cut=DRIVER_HIGH_SEV_CUT), prepared=True)
     s = sc.with_peer_stats(sc.score_claims(f, 0.5), peer.df, sc.PEER_KEY_LEGACY, broadcast=peer.rows <= 2_000_000)
@@ -472,7 +477,7 @@ def q_scoring_stream_scores(spark, sf_dir):
     f.select(*[c for c in f.columns if c not in ("claim_end_date", "claim_year", "admit_diagnosis_cd")]) \
      .withColumn("claim_start_date", F.date_format("claim_start_date", "yyyy-MM-dd")) \
      .write.mode("overwrite").json(req_dir)
-    c = feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    c = _claims(spark, sf_dir)
     peer = checked(sv.peer_stats_table(feat.compute_peer_group_stats(c)))
     out = scratch_path(spark, "score_out")
     ss.run_scoring_stream(spark, req_dir, peer.df, out, scratch_path(spark, "score_events"),
@@ -530,7 +535,7 @@ PEER_SERVING_OUT = ("provider_specialty, provider_id, claim_type, CAST(n_claims
 @register("serving_peer_stats", O.with_ctes(O.CLAIMS, O.peer_stats()) + f"SELECT {PEER_SERVING_OUT} FROM peer_stats")
 def q_serving_peer_stats(spark, sf_dir):
     """K5 (D11): peer stats keyed by (specialty, provider, claim_type)."""
-    t = sv.peer_stats_table(feat.compute_peer_group_stats(feat.prepare_claims(claims_from_tpch(spark, sf_dir))))
+    t = sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir)))
     return _peer_view(t)
 
 
@@ -540,7 +545,7 @@ SELECT {PEER_SERVING_OUT} FROM (
   FROM peer_stats) WHERE rn = 1""")
 def q_serving_peer_stats_legacy_one_row(spark, sf_dir):
     """D11 legacy view: one row per (specialty, provider), last claim_type wins."""
-    t = sv.peer_stats_table(feat.compute_peer_group_stats(feat.prepare_claims(claims_from_tpch(spark, sf_dir))))
+    t = sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir)))
     return _peer_view(sv.peer_stats_legacy_one_row(t))
 
 
@@ -552,7 +557,7 @@ def q_serving_peer_stats_legacy_one_row(spark, sf_dir):
 def q_serving_beneficiary_profile(spark, sf_dir):
     """K6: beneficiary rows with conditions as JSON text."""
     bene = ad.raw_beneficiaries_from_tpch(spark, sf_dir)
-    p = build_beneficiary_profiles(bene, feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
+    p = build_beneficiary_profiles(bene, _claims(spark, sf_dir))
     return sv.beneficiary_table(p)
 
 
@@ -574,7 +579,7 @@ def q_lookup_beneficiaries_of_positives(spark, sf_dir):
     """Beneficiary rows for the beneficiaries of positive claims."""
     labeled = _labeled(spark, sf_dir)
     bene = ad.raw_beneficiaries_from_tpch(spark, sf_dir)
-    p = sv.beneficiary_table(build_beneficiary_profiles(bene, feat.prepare_claims(claims_from_tpch(spark, sf_dir))))
+    p = sv.beneficiary_table(build_beneficiary_profiles(bene, _claims(spark, sf_dir)))
     return sv.lookup_beneficiaries(p, labeled.where(F.col("label") == 1)).select(
         "beneficiary_id", "birth_year", "claim_count_ytd")
 
@@ -714,14 +719,14 @@ from ..operators import summaries as sm  # noqa: E402
           "SELECT claim_type, count(*) AS n_rows FROM claims GROUP BY claim_type")
 def q_claims_per_type(spark, sf_dir):
     """Claims per type."""
-    return sm.category_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)), "claim_type", None)
+    return sm.category_counts(_claims(spark, sf_dir), "claim_type", None)
 
 
 @register("top_specialties", O.with_ctes(O.CLAIMS) +
           "SELECT provider_specialty, count(*) AS n_rows FROM claims GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def q_top_specialties(spark, sf_dir):
     """The ten most frequent specialties (a top-k report)."""
-    return sm.category_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)), "provider_specialty", 10)
+    return sm.category_counts(_claims(spark, sf_dir), "provider_specialty", 10)
 
 
 @register("describe_reimbursement", O.with_ctes(O.CLAIMS) + """
@@ -732,7 +737,7 @@ SELECT count(reimbursement_amt) AS count, round(avg(reimbursement_amt), 6) AS me
 FROM claims""")
 def q_describe_reimbursement(spark, sf_dir):
     """describe() of the amount with exact quartiles."""
-    d = sm.describe_amount(feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
+    d = sm.describe_amount(_claims(spark, sf_dir))
     return d.select("count", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
@@ -755,7 +760,7 @@ SELECT (SELECT count(DISTINCT provider_specialty) FROM claims) AS n_specialties,
        (SELECT count(DISTINCT code) FROM code_occ) AS n_codes""")
 def q_distinct_counts(spark, sf_dir):
     """Distinct specialties, providers and codes."""
-    return sm.distinct_counts(feat.prepare_claims(claims_from_tpch(spark, sf_dir)))
+    return sm.distinct_counts(_claims(spark, sf_dir))
 
 
 # --- model (rows-only: no SQL oracle for a fitted GBT) ---------------------------------
