@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..schemas import CLAIM_COLUMNS, FEATURE_COLS, PEER_STATS_COLUMNS
 from ..session import materialize
 from .ingest import dedup_claims
-from .joins import DEFAULT_BROADCAST_ROWS, Small, checked
+from .joins import DEFAULT_BROADCAST_ROWS, Small, checked, in_parallel
 
 PEER_KEY = ["provider_specialty", "claim_type"]
 PROVIDER_KEY = ["provider_specialty", "claim_type", "provider_id"]
@@ -183,9 +183,10 @@ def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParam
     ``peer_stats`` / ``code_weights`` may be passed in precomputed (reuse);
     ``prepared=True`` when ``claims`` already came from :func:`prepare_claims`."""
     c = claims if prepared else prepare_claims(claims)
-    peer = checked(peer_stats if peer_stats is not None else compute_peer_group_stats(c, params.baseline))
-    weights = code_weights if code_weights is not None else compute_code_reimbursement_weights(c)
-    severity = checked(code_severity_table(materialize(weights)))
+    peer, severity = in_parallel(
+        lambda: checked(peer_stats if peer_stats is not None else compute_peer_group_stats(c, params.baseline)),
+        lambda: checked(code_severity_table(materialize(
+            code_weights if code_weights is not None else compute_code_reimbursement_weights(c)))))
     share = checked(provider_high_severity_share(c, severity, params.broadcast_rows))
 
     visits = c.select("claim_id", *VISIT_KEY).join(visit_counts(c), VISIT_KEY, "left") \

@@ -52,3 +52,15 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def in_parallel(*thunks):
+    """Run independent actions (small materializations) from driver threads so
+    their short stages overlap; Spark schedules concurrent jobs of one
+    session side by side. Returns the results in order."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(thunks) == 1:
+        return [thunks[0]()]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as ex:
+        futs = [ex.submit(t) for t in thunks]
+        return [f.result() for f in futs]

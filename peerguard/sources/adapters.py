@@ -5,8 +5,10 @@ lines become claims, suppliers become providers, customers become
 beneficiaries, and the region of the supplier is the provider specialty. The
 oracle SQL in ``plans/oracle.py`` builds the very same rows in DuckDB.
 
-Joins are left to Catalyst/AQE except the fixed-size dimension tables
-(nation: 25 rows, region: 5 rows), which are broadcast explicitly.
+The fixed-size dimension tables (nation: 25 rows, region: 5 rows) are
+broadcast outright; the supplier → specialty map and the part lookup grow
+with the data, so they are materialized and broadcast only under a checked
+row count (else a shuffle join). lineitem ⋈ orders is left to Catalyst/AQE.
 """
 
 from __future__ import annotations
@@ -41,12 +43,15 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    spec = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-             .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
-             .select("s_suppkey", "r_name"))
+    from ..operators.joins import checked
+    spec = checked(s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+                   .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+                   .select("s_suppkey", "r_name"))
+    part = checked(p)
+    sd, pd = spec.side(), part.side()
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(spec, li.l_suppkey == spec.s_suppkey)
-              .join(p, li.l_partkey == p.p_partkey))
+              .join(sd, li.l_suppkey == sd.s_suppkey)
+              .join(pd, li.l_partkey == pd.p_partkey))
 
 
 def _cents(c: str) -> Column:
