@@ -775,3 +775,60 @@ def q_gbt_model_report(spark, sf_dir):
     path = scratch_path(spark, "gbt_model")
     model.write().overwrite().save(path)  # K10: the model artifact
     return ml.model_report(model, s.where(F.col("split") == "test"))
+
+
+# --- end-to-end batch plan and stream-to-stream flow ---------------------------------
+from . import batch  # noqa: E402
+
+BATCH_SQL = O.with_ctes(O.INGEST, O.INGEST_CLAIMS, O.peer_stats("claims"), O.codes("claims"),
+                        O.featured("claims", DRIVER_HIGH_SEV_CUT)).rstrip() + "," + \
+    O.calibration(**CAL_ARGS).strip("\n") + "," + \
+    O.labeled("ch.t", "ch.k", extra_from="CROSS JOIN chosen ch", extra_cols=" ch.t, ch.k, ch.in_band,").strip("\n") + \
+    f"\nSELECT {LABEL_OUT} FROM labeled"
+
+
+@register("batch_build_and_label", BATCH_SQL)
+def q_batch_build_and_label(spark, sf_dir):
+    """K1 + K2 end to end: raw CSVs → normalized (rejects split off) →
+    features, peer stats, profiles written → calibrated labels written; the
+    labeled table is read back."""
+    base = write_raw_csvs(spark, sf_dir)
+    out = scratch_path(spark, "batch_out")
+    built = batch.build_dataset(spark, base, out, feat.FeatureParams(high_sev_cut=DRIVER_HIGH_SEV_CUT))
+    batch.label_claims(spark, built.featured, f"{out}/claims_labeled.parquet")
+    return _label_view(spark.read.parquet(f"{out}/claims_labeled.parquet"))
+
+
+@register("scoring_to_audit_stream", FEATURE_CHAIN + "," + O.scored().strip("\n") + """
+SELECT strftime(current_date, '%Y-%m-%d') AS flag_date, round(s.score, 6) AS score, s.claim_id, s.provider_id,
+       '["' || replace(d.driver_features, '|', '","') || '"]' AS driver_features
+FROM scored s JOIN drivers d USING (claim_id) WHERE s.flagged""")
+def q_scoring_to_audit_stream(spark, sf_dir):
+    """X1 → K8 → X2: the scoring stream publishes flag events into a folder,
+    the audit stream consumes that folder into the audit table."""
+    f = _featured(spark, sf_dir)
+    req_dir = scratch_path(spark, "score_requests")
+    f.withColumn("claim_start_date", F.date_format("claim_start_date", "yyyy-MM-dd")) \
+     .drop("claim_end_date", "claim_year", "admit_diagnosis_cd").write.mode("overwrite").json(req_dir)
+    peer = checked(sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir))))
+    events = scratch_path(spark, "flag_events")
+    ss.run_scoring_stream(spark, req_dir, peer.df, scratch_path(spark, "score_out"), events,
+                          scratch_path(spark, "score_ckpt"), 0.5)
+    table = scratch_path(spark, "audit_table")
+    au.run_audit_stream(spark, events, table, scratch_path(spark, "audit_ckpt"),
+                        options={"recursiveFileLookup": "true"})
+    return _audit_view(au.read_audit_table(spark, table))
+
+
+@register("audit_stream_batch_counts", O.with_ctes(O.EVENT_ROWS) + """
+SELECT CAST(count(*) AS BIGINT) AS processed,
+       CAST(sum(CASE WHEN reject_reason IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS errors
+FROM event_rows""")
+def q_audit_stream_batch_counts(spark, sf_dir):
+    """Processed and error totals of the audit stream, from the per-batch
+    counts the sink records."""
+    src = _write_messages(spark, sf_dir)
+    table = scratch_path(spark, "audit_table")
+    au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
+    c = spark.read.parquet(f"{table}/counts")
+    return c.agg(F.sum("processed").cast("long").alias("processed"), F.sum("errors").cast("long").alias("errors"))

@@ -293,7 +293,11 @@ norm AS (
               CASE WHEN l_quantity = 37 THEN CAST(date_trunc('month', d_start) AS DATE) ELSE d_start END, d_end))
          ELSE greatest(0, date_diff('day', d_start, d_end)) END AS length_of_stay_days,
     CASE WHEN ctype = 'carrier' AND l_linenumber <> 2 THEN r_name END AS own_specialty,
-    CASE WHEN l_quantity IN (13, 17, 19) THEN 'dropped' WHEN l_quantity = 41 THEN 'malformed' END AS reject_reason
+    CASE WHEN l_quantity IN (13, 17, 19) THEN 'dropped' WHEN l_quantity = 41 THEN 'malformed' END AS reject_reason,
+    [p_brand, p_type] AS dx_list,
+    CASE WHEN l_linenumber = 1 THEN CAST([] AS VARCHAR[])
+         ELSE ['Q' || CAST(CAST(floor(l_quantity / 10) AS BIGINT) AS VARCHAR),
+               'D' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR)] END AS px_list
   FROM lines),
 normalized AS (
   SELECT norm.*, coalesce(own_specialty, m.mapped_specialty, 'Unknown') AS provider_specialty
@@ -426,3 +430,20 @@ SERVING_CLAIM_OUT = (
     "length_of_stay_days, round(reimbursement_zscore, 6) AS reimbursement_zscore, "
     "round(visit_frequency_zscore, 6) AS visit_frequency_zscore, code_severity_outlier, label, "
     "label_reasons_json AS label_reasons")
+
+
+# accepted ingest rows as claims (list-typed codes), deduplicated like CLAIMS
+INGEST_CLAIMS = """
+claims_ing_raw AS (
+  SELECT claim_id, beneficiary_id, provider_id, provider_specialty, claim_type, claim_start_date, claim_end_date,
+         CAST(year(claim_start_date) AS INTEGER) AS claim_year, admit_diagnosis_cd,
+         dx_list AS diagnosis_codes, px_list AS procedure_codes, reimbursement_amt,
+         CAST(length_of_stay_days AS INTEGER) AS length_of_stay_days
+  FROM normalized WHERE reject_reason IS NULL),
+claims AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY
+      claim_start_date DESC NULLS LAST, claim_end_date DESC NULLS LAST, reimbursement_amt DESC NULLS LAST,
+      length_of_stay_days DESC NULLS LAST, beneficiary_id ASC NULLS LAST, provider_id ASC NULLS LAST,
+      claim_type ASC NULLS LAST, provider_specialty ASC NULLS LAST) AS rn
+    FROM claims_ing_raw) WHERE rn = 1)"""

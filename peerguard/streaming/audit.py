@@ -68,6 +68,10 @@ class AuditTableSink:
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
+            # Per-epoch totals, rewritten with the epoch on a replay
+            batch.agg(F.lit(epoch_id).alias("batch_id"), F.count(F.lit(1)).alias("processed"),
+                      F.sum(F.col("reject_reason").isNotNull().cast("int")).alias("errors")) \
+                 .write.mode("overwrite").parquet(f"{self.path}/counts/batch_id={epoch_id}")
             good = accepted_rows(batch)
             if not good.isEmpty():
                 good.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={epoch_id}")
@@ -89,6 +93,11 @@ def read_audit_rejects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/rejects")
 
 
+def read_audit_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Per-epoch processed/error totals."""
+    return spark.read.parquet(f"{path.rstrip('/')}/counts")
+
+
 def compact_audit_table(spark: SparkSession, path: str, out: str) -> None:
     """Rewrite the deduplicated table partitioned by flag_date, sorted by score
     desc then claim_id — the clustering order of the audit queue read."""
