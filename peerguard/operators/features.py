@@ -1,10 +1,11 @@
 """Peer-group statistics and per-claim outlier features.
 
 Plan shape:
-  * claims C are deduplicated on claim_id (D18) — the one shuffle of the wide
-    claim rows — and checkpointed; the checkpoint keeps the hash partitioning
-    on claim_id, so the per-claim code-severity aggregate and its join back
-    run without another exchange;
+  * claims C are deduplicated on claim_id (D18) and written once as a Parquet
+    table in the shared folder; every later job scans only its columns;
+  * the per-claim code severity is a partial aggregate over exploded codes
+    (rows of one claim are adjacent, so the map side collapses them) and is
+    joined back on claim_id;
   * provider / peer-group / code aggregates are partial (map-side)
     aggregations, so a hot provider or code never lands whole in one task;
     they are small (provider or code grain), checkpointed, and broadcast only
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from ..schemas import CLAIM_COLUMNS, FEATURE_COLS, PEER_STATS_COLUMNS
 from ..session import materialize
 from .ingest import dedup_claims
-from .joins import DEFAULT_BROADCAST_ROWS, Small, checked, in_parallel
+from .joins import DEFAULT_BROADCAST_ROWS, Small, checked, in_parallel, write_table
 
 PEER_KEY = ["provider_specialty", "claim_type"]
 PROVIDER_KEY = ["provider_specialty", "claim_type", "provider_id"]
@@ -170,9 +171,10 @@ def claim_code_severity(claims: DataFrame, severity: Small,
 
 
 def prepare_claims(claims: DataFrame) -> DataFrame:
-    """D18 dedup on claim_id, checkpointed in the shared folder (lineage cut,
-    hash partitioning on claim_id kept for the joins back)."""
-    return materialize(dedup_claims(claims.select(*CLAIM_COLUMNS)))
+    """D18 dedup on claim_id, written as a Parquet table in the shared folder:
+    lineage is cut, and every later job reads only the columns it needs
+    (vectorized, pruned) instead of deserializing whole rows."""
+    return write_table(dedup_claims(claims.select(*CLAIM_COLUMNS)), "claims")
 
 
 def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParams(),

@@ -25,6 +25,7 @@ def build_session(master: str | None = None, app: str = "peerguard",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
