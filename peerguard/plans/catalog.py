@@ -832,3 +832,19 @@ def q_audit_stream_batch_counts(spark, sf_dir):
     au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
     c = spark.read.parquet(f"{table}/counts")
     return c.agg(F.sum("processed").cast("long").alias("processed"), F.sum("errors").cast("long").alias("errors"))
+
+
+@register("smote_enn_resample")
+def q_smote_enn_resample(spark, sf_dir):
+    """M2 + M3: SMOTE of the training minority to parity (5 neighbours), then
+    ENN cleaning (3 neighbours, all classes) with the exact distributed kNN;
+    rows per (stage, label)."""
+    from ..operators import resample
+    from ..session import materialize
+    s = materialize(ml.stratified_split(_labeled(spark, sf_dir)))
+    train = s.where(F.col("split") == "train")
+    sm_df = materialize(resample.smote(train))
+    cleaned = resample.enn(sm_df)
+    stage = lambda df, name: df.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select(F.lit(name).alias("stage"), "label", "n_rows")
+    return stage(train, "train").unionByName(stage(sm_df, "smote")).unionByName(stage(cleaned, "smote_enn"))

@@ -79,3 +79,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "materialize",
            "path_exists", "local_path", "os"]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``peerguard`` importable in Python workers (pandas UDFs pickle
+    module functions by reference): zip the package once per application and
+    hand it to ``addPyFile``, which distributes it with the job."""
+    import zipfile
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, zpath = tempfile.mkstemp(prefix="peerguard-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)
