@@ -185,11 +185,14 @@ def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParam
     ``peer_stats`` / ``code_weights`` may be passed in precomputed (reuse);
     ``prepared=True`` when ``claims`` already came from :func:`prepare_claims`."""
     c = claims if prepared else prepare_claims(claims)
-    peer, severity = in_parallel(
+    def severity_and_share():
+        sev_t = checked(code_severity_table(materialize(
+            code_weights if code_weights is not None else compute_code_reimbursement_weights(c))))
+        return sev_t, checked(provider_high_severity_share(c, sev_t, params.broadcast_rows))
+
+    peer, (severity, share) = in_parallel(
         lambda: checked(peer_stats if peer_stats is not None else compute_peer_group_stats(c, params.baseline)),
-        lambda: checked(code_severity_table(materialize(
-            code_weights if code_weights is not None else compute_code_reimbursement_weights(c)))))
-    share = checked(provider_high_severity_share(c, severity, params.broadcast_rows))
+        severity_and_share)
 
     visits = c.select("claim_id", *VISIT_KEY).join(visit_counts(c), VISIT_KEY, "left") \
               .select("claim_id", "visit_count")

@@ -591,7 +591,7 @@ EVAL_SQL = CALIBRATED.rstrip() + "," + O.evaluation("labeled").strip("\n")
 def _eval_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated labels + heuristic score (rounded to 6 places) + M1 split."""
     s = sc.score_claims(_labeled(spark, sf_dir)).select("claim_id", "label", F.round("score", 6).alias("score"))
-    return ml.stratified_split(s)
+    return write_table(ml.stratified_split(s), "eval_split")
 
 
 def _test(spark: SparkSession, sf_dir: str) -> DataFrame:

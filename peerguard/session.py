@@ -17,6 +17,9 @@ def build_session(master: str | None = None, app: str = "peerguard",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", os.environ.get("PEERGUARD_DRIVER_MEMORY", "16g"))
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -25,7 +28,6 @@ def build_session(master: str | None = None, app: str = "peerguard",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

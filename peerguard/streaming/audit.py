@@ -31,14 +31,16 @@ AUDIT_COLUMNS = ["flag_date", "score", "claim_id", "provider_id", "driver_featur
 def to_audit_rows(messages: DataFrame, today: Column | None = None) -> DataFrame:
     """Parse JSON text (column ``value``) into audit rows plus ``reject_reason``
     (NULL = accepted): bad_json, bad_score, empty_claim_id. A missing or bad
-    flag_date falls back to ``today`` (P27); a missing score is 0.0."""
+    flag_date falls back to ``today`` (P27); a missing score is 0.0. One
+    ``from_json`` per message; malformed text lands in the corrupt-record
+    field instead of failing the stream."""
     today = today if today is not None else F.current_date()
-    m = F.from_json(F.col("value"), RAW_EVENT_SCHEMA)
-    parsed = messages.select(F.col("value"), F.try_parse_json(F.col("value")).isNotNull().alias("_ok"),
-                             m.alias("m"))
+    schema = T.StructType(RAW_EVENT_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+    m = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = messages.select(F.col("value"), m.alias("m"))
     score_txt = F.col("m.score")
     score = score_txt.try_cast("double")
-    reason = (F.when(~F.col("_ok") | F.col("m").isNull(), F.lit("bad_json"))
+    reason = (F.when(F.col("m").isNull() | F.col("m._corrupt").isNotNull(), F.lit("bad_json"))
                .when(score_txt.isNotNull() & score.isNull(), F.lit("bad_score"))
                .when(F.coalesce(F.col("m.claim_id"), F.lit("")) == "", F.lit("empty_claim_id")))
     return parsed.select(
