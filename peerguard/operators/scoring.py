@@ -84,8 +84,8 @@ def flag_events(scored: DataFrame, flag_date: Column | None = None, ts: Column |
     body = F.struct(
         F.col("claim_id"), F.col("provider_id"), F.col("score"), F.col("driver_features"),
         F.date_format(fd, "yyyy-MM-dd").alias("flag_date"),
-        F.concat(F.date_format(F.to_utc_timestamp(now, "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-                 F.lit("Z")).alias("timestamp"))
+        F.concat(F.date_format(F.convert_timezone(None, F.lit("UTC"), now.cast("timestamp_ntz")),
+                               "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("timestamp"))
     return f.select(F.col("claim_id").alias("key"), F.to_json(body).alias("value"))
 
 
