@@ -357,7 +357,6 @@ def q_scored_claims(spark, sf_dir):
 
 
 @register("scored_claims_peer_lookup",
-          FEATURE_CHAIN + "," + O.peer_stats().strip("\n").replace("visits AS", "visits2 AS", 0) + "" if False else
           FEATURE_CHAIN + "," + O.scored().strip("\n") + """,
 legacy AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY provider_specialty, provider_id

@@ -22,3 +22,21 @@ def test_filter_pushdown_on_range_scan(spark):
     p = _plan(df)
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,40.0)]" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
+
+
+def test_claim_dedup_limits_before_shuffle(spark):
+    """The D18 dedup keeps a partial per-partition top-1 before the exchange,
+    so a claim id repeated across many rows never travels whole."""
+    from peerguard.operators.ingest import dedup_claims
+    d = dedup_claims(claims_from_tpch(spark, SF001))
+    p = d._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_per_day_top_k_limits_before_shuffle(spark):
+    from pyspark.sql import functions as F
+    from peerguard.operators.serving import audit_queue
+    df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("flag_date"),
+                                  (F.col("id") / 1000.0).alias("score"), F.col("id").cast("string").alias("claim_id"))
+    p = audit_queue(df, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in p and "Partial" in p
