@@ -144,13 +144,7 @@ LABEL_OUT = O.FEATURE_OUT + ", label_reasons, label"
 
 
 def _label_view(df: DataFrame) -> DataFrame:
-    return df.select(*[
-        "claim_id", "beneficiary_id", "provider_id", "provider_specialty", "claim_type",
-        F.date_format("claim_start_date", "yyyy-MM-dd").alias("claim_start_date"), "claim_year",
-        list_text("diagnosis_codes"), list_text("procedure_codes"), r6("reimbursement_amt"),
-        "length_of_stay_days", r6("reimbursement_zscore"), r6("los_zscore"), r6("visit_frequency_zscore"),
-        r6("code_severity_percentile"), r6("high_severity_code_pct"), "code_severity_outlier",
-        list_text("label_reasons"), "label"])
+    return feature_view(df, list_text("label_reasons"), "label")
 
 
 def featured_table(spark: SparkSession, sf_dir: str, high_sev_cut: float = DRIVER_HIGH_SEV_CUT) -> DataFrame:

@@ -19,10 +19,10 @@ def list_text(c: str, sep: str = "|") -> Column:
     return F.array_join(F.col(c), sep).alias(c)
 
 
-def feature_view(df: DataFrame) -> DataFrame:
+def feature_view(df: DataFrame, *extra: Column | str) -> DataFrame:
     return df.select(
         "claim_id", "beneficiary_id", "provider_id", "provider_specialty", "claim_type",
         date_text("claim_start_date"), "claim_year", list_text("diagnosis_codes"),
         list_text("procedure_codes"), r6("reimbursement_amt"), "length_of_stay_days",
         r6("reimbursement_zscore"), r6("los_zscore"), r6("visit_frequency_zscore"),
-        r6("code_severity_percentile"), r6("high_severity_code_pct"), "code_severity_outlier")
+        r6("code_severity_percentile"), r6("high_severity_code_pct"), "code_severity_outlier", *extra)
