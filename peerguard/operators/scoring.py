@@ -92,3 +92,10 @@ def flag_events(scored: DataFrame, flag_date: Column | None = None, ts: Column |
 def feature_vector_columns() -> list[str]:
     """Model input columns in fixed order."""
     return list(FEATURE_COLS)
+
+
+def score_with_model(model, claims: DataFrame, threshold: Column | float = DEFAULT_THRESHOLD) -> DataFrame:
+    """the same scoring contract with a fitted ``pyspark.ml`` model as the
+    scorer — the positive-class probability replaces the heuristic sum."""
+    from .ml import predict_proba
+    return score_claims(predict_proba(model, claims), threshold, raw_score=F.col("proba"))

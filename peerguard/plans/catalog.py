@@ -581,9 +581,10 @@ def q_lookup_beneficiaries_of_positives(spark, sf_dir):
 EVAL_SQL = CALIBRATED.rstrip() + "," + O.evaluation("labeled").strip("\n")
 
 
-def _eval_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _eval_split(spark: SparkSession, sf_dir: str, labeled: DataFrame | None = None) -> DataFrame:
     """Calibrated labels + heuristic score (rounded to 6 places) + M1 split."""
-    s = sc.score_claims(_labeled(spark, sf_dir)).select("claim_id", "label", F.round("score", 6).alias("score"))
+    labeled = labeled if labeled is not None else _labeled(spark, sf_dir)
+    s = sc.score_claims(labeled).select("claim_id", "label", F.round("score", 6).alias("score"))
     return write_table(ml.stratified_split(s), "eval_split")
 
 
@@ -841,3 +842,20 @@ def q_smote_enn_resample(spark, sf_dir):
     stage = lambda df, name: df.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(F.lit(name).alias("stage"), "label", "n_rows")
     return stage(train, "train").unionByName(stage(sm_df, "smote")).unionByName(stage(cleaned, "smote_enn"))
+
+
+@register("scored_with_stored_threshold", EVAL_SQL + """,
+sc_all AS (SELECT claim_id, """ + O.SCORE_EXPR + """ AS score FROM labeled)
+SELECT s.claim_id, round(s.score, 6) AS score, s.score >= c.threshold AS flagged, c.threshold
+FROM sc_all s CROSS JOIN chosen_thr c""")
+def q_scored_with_stored_threshold(spark, sf_dir):
+    """P34 + K10 + T6: the recall-tuned threshold is written as text (the
+    model's threshold file), read back with the 0.5 fallback, and used to
+    flag every labeled claim."""
+    labeled = _labeled(spark, sf_dir)
+    test = _eval_split(spark, sf_dir, labeled).where(F.col("split") == "test").select("label", "score")
+    thr = met.choose_threshold_for_recall(met.pr_curve(test), 0.9).select("threshold").first()["threshold"]
+    path = scratch_path(spark, "threshold_txt")
+    sc.write_threshold(spark, thr, path)
+    scored = sc.score_claims(labeled, sc.read_threshold(spark, path))
+    return scored.select("claim_id", r6("score"), "flagged", "threshold")
