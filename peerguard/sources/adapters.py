@@ -43,11 +43,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    from ..operators.joins import checked
-    spec = checked(s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-                   .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
-                   .select("s_suppkey", "r_name"))
-    part = checked(p)
+    from ..operators.joins import checked, in_parallel
+    spec_df = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+               .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+               .select("s_suppkey", "r_name"))
+    spec, part = in_parallel(lambda: checked(spec_df), lambda: checked(p))
     sd, pd = spec.side(), part.side()
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(sd, li.l_suppkey == sd.s_suppkey)
