@@ -22,6 +22,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     lineage ends there, so a lost executor costs a re-read and not a recompute."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished steps
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
