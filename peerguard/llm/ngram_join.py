@@ -9,17 +9,20 @@ join.
 * Heavy (large sets): inverted lists are scanned. A list is kept for a block of
   shingles (those of one hash range), not for a single shingle, which a third
   of all documents may hold: two sets that link differ in at most D shingles,
-  so with D + 1 + E blocks at least E + 1 are the same in both. Blocks of fewer
-  than two shingles and, later, blocks in many documents are left out where a
-  document has at most E of them; a document that has more keeps all of its
-  blocks. Either way one common block remains, so no link is lost.
+  so with D + 1 + E blocks at least E + 1 are the same in both. In the order
+  (blocks of fewer than two shingles last, before them the longest lists) each
+  document therefore leaves its last E blocks out, and a common one remains: no
+  link is lost, and what many documents share seldom makes a candidate.
 * The boundary is the largest size whose subsets cost less than its blocks
   (``boundary``). A small set that can reach a large one goes to both.
 
-Candidates of a list are first checked against one leader each, and pairs that
-are joined by then are not compared again; only pairs of a list that are still
-in different components are compared one by one. Equal sets are joined by a
-digest first. The Jaccard test itself runs on the whole shingle sets.
+Equal sets are joined by a digest first. Then each document is compared with one
+document of its lists, the first of the list it meets most often. Lists whose
+documents are not in one component by then are scanned in one task each (in
+blocks of bounded size): shingles are ordered by how rare they are in the list,
+and two sets are compared only if they share one of the rarest of each that a
+link must share. Only links leave the task. The Jaccard test runs on the whole
+shingle sets.
 """
 
 from __future__ import annotations
@@ -32,16 +35,15 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, WordHash, key64, lower_words, mix, ship_package, shingles, store
 from .components import components
 
-DIGEST, SUBSET, BLOCK = 0, 1, 2
-#: A list of more documents than this is a hot one; it is scanned pair by pair
-#: only for documents made of nothing but hot and tiny blocks.
-HOT = 64
+DIGEST, SUBSET, BLOCK, TINY = 0, 1, 2, 3
+#: Documents and shingles that a task takes of a list at once.
+SCAN_DOCS, SCAN_SHINGLES = 3_000, 4_000_000
 
 
 def needed(a: int, b: int, pct: int) -> int:
@@ -96,9 +98,10 @@ def boundary(pct: int, verify_cost: int = 8) -> int:
 
 
 def keys_of(sh: np.ndarray, pct: int):
-    """(keys, kind, tiny) of a document's sorted distinct shingles: subset keys
-    of a small set, block keys of a large one (and of a small one that can reach
-    a large one). tiny: blocks left out, of spare + 1 in the worst class."""
+    """(kind, size or class, keys, tiny, spare) of a document's sorted distinct
+    shingles: subset keys of a small set, block keys of a large one (and of a
+    small one that can reach a large one). tiny: its blocks of fewer than two
+    shingles; they are left out where they are no more than the spare ones."""
     s, x, out = len(sh), boundary(pct), []
     w = mix(sh + U64(0x51ED270B))
     if s <= x:
@@ -119,9 +122,9 @@ def keys_of(sh: np.ndarray, pct: int):
             ks = mix((acc[cut[1:]] - acc[cut[:-1]]) ^ mix(np.arange(m, dtype=U64) + U64(j << 32)) ^ n.astype(U64))
             tiny = n < 2
             few = int(tiny.sum())
-            if few <= spare:
-                ks = ks[~tiny]
-            out.append((BLOCK, j, ks, few, spare))
+            out.append((BLOCK, j, ks[~tiny], few, spare))
+            if few > spare:
+                out.append((TINY, j, ks[tiny], few, spare))
     return out
 
 
@@ -167,12 +170,13 @@ def _rows(k: int, pct: int):
 
 def _lists(pct: int):
     """Streams the lists (rows sorted by kind, key, c, size, document) and puts
-    out: meta rows of digests, decided edges, members of undecided lists."""
+    out: each document with its digest, links that subsets decide, and the
+    members of block lists that have more than one."""
 
     def run(batches):
-        last = None  # leader of the list that the batch before ended in: (kind, key, c), doc, s
+        last = None  # the list that the batch before ended in, its first row, whether that was the last row
         for pdf in batches:
-            kind, key, c, doc, s = (pdf[x].to_numpy() for x in ("kind", "key", "c", "doc", "s"))
+            kind, key, c, doc, s, few, spare = (pdf[x].to_numpy() for x in ("kind", "key", "c", "doc", "s", "few", "spare"))
             n = len(kind)
             if not n:
                 continue
@@ -181,17 +185,16 @@ def _lists(pct: int):
             if last is not None and last[0] == (kind[0], key[0], c[0]):
                 new[0] = False
             at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-            lead, ls = np.where(at >= 0, doc[at], 0), np.where(at >= 0, s[at], 0)
-            if last is not None:
-                lead, ls = np.where(at >= 0, lead, last[1]), np.where(at >= 0, ls, last[2])
-            last = ((kind[-1], key[-1], c[-1]), int(lead[-1]), int(ls[-1]))
-            other = lead != doc
-            linked = other & (kind == SUBSET) & (c.astype("int64") * (100 + pct) >= pct * (ls.astype("int64") + s))
-            block = kind == BLOCK
-            for k2, sel, mate in ((DIGEST, kind == DIGEST, s), (SUBSET, linked, lead), (BLOCK, block & other, lead)):
+            own = at >= 0
+            lead, ls, lfew = (np.where(own, x[at], 0 if last is None else y) for x, y in zip((doc, s, few), last[1] if last else (0, 0, 0)))
+            second = ~new & np.append(last is not None and last[2], new[:-1])
+            last = ((kind[-1], key[-1], c[-1]), (lead[-1], ls[-1], lfew[-1]), bool(new[-1]))
+            linked = (lead != doc) & (kind == SUBSET) & (c.astype("int64") * (100 + pct) >= pct * (ls.astype("int64") + s))
+            block = ~new & (kind >= BLOCK)
+            second &= kind >= BLOCK
+            for sel, d, f, size in ((kind == DIGEST, doc, few, s), (linked, doc, few, s), (block, doc, few, s), (second, lead, lfew, ls)):
                 if sel.any():
-                    yield pd.DataFrame({"kind": np.full(int(sel.sum()), k2, "int8"), "key": key[sel], "a": mate[sel].astype("int64"),
-                                        "doc": doc[sel], "few": pdf["few"].to_numpy()[sel], "spare": pdf["spare"].to_numpy()[sel], "s": s[sel]})
+                    yield pd.DataFrame({"kind": kind[sel], "key": key[sel], "c": c[sel], "a": lead[sel], "doc": d[sel], "few": f[sel], "spare": spare[sel], "s": size[sel]})
     return run
 
 
@@ -237,6 +240,74 @@ def _verify(pct: int):
     return run
 
 
+def _open_sets(k: int):
+    def run(batches):
+        hashes, z = WordHash(), zstandard.ZstdDecompressor()
+        for pdf in batches:
+            memo: tuple = (None, b"")
+            out = []
+            for doc, blob in zip(pdf["doc"], pdf["z"]):
+                if memo[0] != doc:
+                    memo = (doc, b"" if blob is None else doc_shingles(z.decompress(blob).decode("utf-8", "surrogatepass"), hashes, k).tobytes())
+                out.append(memo[1])
+            yield pdf[["key", "i", "j", "doc", "comp"]].assign(set=out)
+    return run
+
+
+def scan_list(docs: list[int], comps: list[int], sets: list[np.ndarray], pct: int):
+    """Links between documents of different components, a spanning forest of
+    them: an inverted list for each shingle of the documents' rarest ones."""
+    n = len(docs)
+    lens = np.array([len(x) for x in sets])
+    _, inv, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    begin = np.cumsum(lens) - lens
+    root = {c: c for c in comps}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    lists: dict[int, list[int]] = {}
+    out = []
+    for y in np.argsort(lens, kind="stable").tolist():
+        own = inv[begin[y]:begin[y] + lens[y]]
+        front = own[np.lexsort((own, df[own]))][:lens[y] - -(-pct * int(lens[y]) // 100) + 1]
+        front = front[df[front] > 1].tolist()
+        tried: set[int] = set()
+        for t in front:
+            tried.update(lists.setdefault(t, []))
+            lists[t].append(y)
+        for x in sorted(tried):
+            a, b = find(comps[x]), find(comps[y])
+            if a == b or 100 * lens[x] < pct * lens[y]:
+                continue
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * both >= pct * (lens[x] + lens[y] - both):
+                root[max(a, b)] = min(a, b)
+                out.append((docs[x], docs[y]))
+    return out
+
+
+def _scan(pct: int):
+    def run(batches):
+        at, rows = None, ([], [], [])
+        for pdf in batches:
+            out = []
+            for key, i, j, doc, comp, blob in zip(pdf["key"], pdf["i"], pdf["j"], pdf["doc"], pdf["comp"], pdf["set"]):
+                if at != (key, i, j):
+                    if len(rows[0]) > 1:
+                        out += scan_list(*rows, pct)
+                    at, rows = (key, i, j), ([], [], [])
+                if not rows[0] or rows[0][-1] != doc:  # a document that is there twice
+                    for x, y in zip(rows, (doc, comp, np.frombuffer(blob, U64))):
+                        x.append(y)
+            yield pd.DataFrame(out, columns=["a", "doc"]).astype("int64")
+        if len(rows[0]) > 1:
+            yield pd.DataFrame(scan_list(*rows, pct), columns=["a", "doc"]).astype("int64")
+    return run
+
+
 def verified(pairs: DataFrame, packed: DataFrame, k: int, pct: int) -> DataFrame:
     """The (a, doc) pairs that link. The pairs of one document ``a`` are split
     over several tasks where it has many; each task holds one set at a time."""
@@ -264,37 +335,41 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85, id_col: str =
     rows = base.mapInArrow(_rows(k, pct), "kind byte, key long, c int, doc long, s int, few int, spare int")
     order = ("kind", "key", "c", "s", "doc")
     lists = store(rows.repartition("kind", "key").sortWithinPartitions(*order)
-                  .mapInPandas(_lists(pct), "kind byte, key long, a long, doc long, few int, spare int, s int"), "lists")
-    digests = lists.where(f"kind = {DIGEST}").select("doc", F.col("s").alias("n_shingles"), "key").distinct()
-    equal = digests.where("n_shingles > 0").groupBy("key", "n_shingles").agg(F.min("doc").alias("a"))
-    same = digests.where("n_shingles > 0").join(equal, ["key", "n_shingles"]).where("a <> doc").select("a", "doc")
+                  .mapInPandas(_lists(pct), "kind byte, key long, c int, a long, doc long, few int, spare int, s int"), "lists")
+    digests = lists.where(f"kind = {DIGEST}").select("doc", F.col("s").alias("n_shingles"), "key", "c").distinct()
+    equal = digests.where("n_shingles > 0").groupBy("key", "c", "n_shingles").agg(F.min("doc").alias("a"))
+    same = digests.where("n_shingles > 0").join(equal, ["key", "c", "n_shingles"]).where("a <> doc").select("a", "doc")
     sure = same.unionByName(lists.where(f"kind = {SUBSET}").select("a", "doc"))
-    block = lists.where(f"kind = {BLOCK}")
+
+    # each document leaves its last blocks out: tiny ones, then those of the longest lists
+    block = lists.where(f"kind >= {BLOCK}").select("kind", "key", "c", "doc", "few", "spare", "s").distinct()
+    sizes = block.groupBy("key").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("doc", "c").orderBy(F.desc("kind"), F.desc("n"), "key"))
+    left_out = F.col("spare") - F.when(F.col("few") <= F.col("spare"), F.col("few")).otherwise(0)
+    kept = store(block.join(sizes, "key").withColumn("place", place).where(F.col("place") > left_out).select("key", "doc", "s"), "kept")
+    heads = kept.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    member = kept.join(heads, "key")
 
     packed = base.where("doc is not null").mapInArrow(_packed, "doc long, z binary")
-    # each document against the leader it meets in most lists
-    best = (block.groupBy("doc", "a").agg(F.count("*").alias("n")).groupBy("doc")
+    # each document against the head that it meets in most lists
+    best = (member.where("a <> doc").groupBy("doc", "a").agg(F.count("*").alias("n")).groupBy("doc")
             .agg(F.max(F.struct("n", (-F.col("a")).alias("na"))).alias("m")).select((-F.col("m.na")).alias("a"), "doc"))
     edges = store(sure.unionByName(verified(best, packed, k, pct).toDF("a", "doc")), "edges")
     comp = components(edges)
 
     # lists that still hold several components
-    member = block.select("key", "doc", "few", "spare").unionByName(
-        block.groupBy("key", "a").agg(F.first("few").alias("few"), F.first("spare").alias("spare"))
-        .select("key", F.col("a").alias("doc"), F.lit(-1).alias("few"), "spare")).distinct()
     named = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-             .select("key", "doc", "few", "spare", F.coalesce("component", "doc").alias("comp")))
-    open_ = named.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    hard = store(named.join(open_.select("key", "n"), "key"), "open")
-    hot = hard.where(f"n > {HOT}").groupBy("doc").agg(F.count("*").alias("hot"))
-    kept = (hard.join(hot, "doc", "left")
-            .where(f"n <= {HOT} or few < 0 or coalesce(hot, 0) + few > spare").select("key", "doc", "comp"))
-    x, y = kept.alias("x"), kept.alias("y")
-    pairs = (x.join(y, F.expr("x.key = y.key and x.doc < y.doc and x.comp <> y.comp"))
-             .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("doc")).distinct())
-    pairs = store(pairs.join(best, ["a", "doc"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        more = store(verified(pairs, packed, k, pct).toDF("a", "doc"), "edges2")
+             .select("key", "doc", "s", F.coalesce("component", "doc").alias("comp")))
+    several = (named.groupBy("key").agg(F.count("*").alias("n"), F.sum("s").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+               .where("lo <> hi").select("key", F.greatest(F.ceil(F.col("n") / SCAN_DOCS), F.ceil(F.col("all") / SCAN_SHINGLES)).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    hard = (named.join(several, "key").withColumn("p", part)
+            .select("key", "doc", "comp", "p", F.explode(F.expr("transform(sequence(0, parts - 1), q -> struct(least(p, q) as i, greatest(p, q) as j))")).alias("t"))
+            .select("key", "t.i", "t.j", "doc", "comp"))
+    hard = store(hard, "open-lists")
+    if not hard.isEmpty():
+        sets = packed.join(hard, "doc").select("key", "i", "j", "doc", "comp", "z").mapInPandas(_open_sets(k), "key long, i int, j int, doc long, comp long, set binary")
+        more = store(sets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc").mapInPandas(_scan(pct), "a long, doc long"), "edges2")
         if not more.isEmpty():
             comp = components(edges.unionByName(more))
     out = (digests.select("doc", "n_shingles").join(comp, digests["doc"] == comp["node"], "left")
