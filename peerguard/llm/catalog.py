@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, ngram_join, phrase_dedup, quality
+from . import decontaminate, line_dedup, ngram_join, packing, phrase_dedup, quality
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
