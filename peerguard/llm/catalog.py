@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, ngram_join, packing, phrase_dedup, quality
+from . import decontaminate, language, line_dedup, ngram_join, packing, phrase_dedup, quality, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -30,16 +34,22 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
 def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.phrase_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
+    "op9_language_id": op9_language_id,
     "op10_phrase_dedup": op10_phrase_dedup,
 }
 
