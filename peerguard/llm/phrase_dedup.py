@@ -40,7 +40,7 @@ _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the base and of its inverse modulo 2**64, n of each."""
     if len(_powers[0]) < n:
-        size = max(1 << 20, 1 << (n - 1).bit_length())
+        size = max(1 << 19, 1 << (n - 1).bit_length())
         for k, base in enumerate((_B, pow(_B, -1, 1 << 64))):
             p = np.full(size, base, U64)
             p[0] = 1
@@ -85,7 +85,14 @@ def entries(buf: np.ndarray, ends: np.ndarray, width: int, w: int):
     return h[t], entry, lo, hi, t
 
 
-def chunks(ids, texts, size: int = 1 << 20):
+def slices(batches, rows: int):
+    """Smaller batches, which bound what Python holds at once."""
+    for batch in batches:
+        for s in range(0, batch.num_rows, rows):
+            yield batch.slice(s, rows)
+
+
+def chunks(ids, texts, size: int = 1 << 19):
     """Whole texts in id order, joined to buffers of about ``size`` bytes."""
     order = sorted((i, k) for k, i in enumerate(ids) if i is not None)
     part, n = [], 0
@@ -104,7 +111,7 @@ def _parse(width: int, w: int):
     schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("entry", pa.int64()), ("doc", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("off", pa.int32())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2000):
             out: list[list] = [[] for _ in range(6)]
             for part in chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lens = np.array([len(b) for _, b in part])
@@ -202,7 +209,7 @@ def _bytes(width: int):
     """The bytes of the entries, from the document's packed text."""
     def run(batches):
         z = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, 250):
             out: list[list] = [[] for _ in range(5)]
             for doc, blob, rows in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 b = z.decompress(blob)
@@ -218,7 +225,7 @@ def _suffixes(width: int):
     """Streams the entries by (key, doc, lo) and compares their strings."""
     def run(batches):
         seen, seen_key = np.zeros(0, U64), None  # strings of the trigger that the batch before ended in
-        for batch in batches:
+        for batch in slices(batches, 4000):
             if not batch.num_rows:
                 continue
             key, doc, lo, off = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -269,7 +276,7 @@ def cut(text: bytes, spans, width: int) -> tuple[bytes, int, int]:
 def _cut(width: int, with_text: bool):
     def run(batches):
         z = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, 500):
             ids = batch.column(0).to_pylist()
             out: list[list] = [[] for _ in range(5)]
             for blob, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -288,7 +295,7 @@ def _cut(width: int, with_text: bool):
 
 def _pack(batches):
     z = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in slices(batches, 1000):
         rows = [(i, z.compress((t or "").encode("utf-8", "surrogatepass"))) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if i is not None]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["doc", "z"])
 
