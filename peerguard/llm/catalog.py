@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, line_dedup, ngram_join, packing, phrase_dedup, quality, toxicity
+from . import decontaminate, html_text, language, line_dedup, ngram_join, packing, phrase_dedup, quality, toxicity, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
@@ -44,11 +52,13 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
+    "op8_html_text": op8_html_text,
     "op9_language_id": op9_language_id,
     "op10_phrase_dedup": op10_phrase_dedup,
 }
