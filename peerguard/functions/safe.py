@@ -22,11 +22,6 @@ def safe_int(c: Column | str, default: int = 0) -> Column:
     return F.coalesce(F.when(F.abs(d) < 2147483648.0, d.cast("int")), F.lit(int(default)))
 
 
-def iso_date(c: Column | str) -> Column:
-    """A date, or a ``YYYY-MM-DD`` text; anything else is NULL."""
-    return F.try_to_date(_c(c).cast("string"), "yyyy-MM-dd")
-
-
 def list_json(c: Column | str) -> Column:
     """JSON text of a string list; NULL gives ``[]``."""
     return F.to_json(F.coalesce(_c(c), F.array().cast("array<string>")))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..schemas import CLAIM_COLUMNS, FEATURE_COLS, PEER_STATS_COLUMNS
 from ..session import materialize
 from .ingest import dedup_claims
-from .joins import DEFAULT_BROADCAST_ROWS, Small, checked, in_parallel, write_table
+from .joins import Small, checked, in_parallel, write_table
 
 PEER_KEY = ["provider_specialty", "claim_type"]
 PROVIDER_KEY = ["provider_specialty", "claim_type", "provider_id"]
@@ -39,7 +39,6 @@ class FeatureParams:
     baseline: str = "provider"
     severity_cut: float = 0.9
     high_sev_cut: float = 0.3
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 
 
 def _std(c: str) -> Column:
@@ -143,29 +142,19 @@ def provider_code_counts(claims: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_occurrences"))
 
 
-def provider_code_frequency(counts: DataFrame, provider_id: str, code: str) -> DataFrame:
-    """A8 lookup: one (provider, code) count, 0 when absent."""
-    hit = counts.where((F.col("provider_id") == provider_id) & (F.col("code") == code))
-    return hit.groupBy().agg(F.coalesce(F.sum("n_occurrences"), F.lit(0)).alias("n_occurrences"))
-
-
-def provider_high_severity_share(claims: DataFrame, severity: Small,
-                                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def provider_high_severity_share(claims: DataFrame, severity: Small) -> DataFrame:
     """A5: share of a provider's code occurrences whose code mean ≥ p90."""
     sev = severity.df.select("code", "is_high_severity")
-    sev = F.broadcast(sev) if severity.rows <= max_rows else sev
     occ = code_occurrences(claims, ["provider_id"]).join(sev, "code", "left")
     return occ.groupBy("provider_id").agg(
         (F.sum(F.when(F.col("is_high_severity"), 1).otherwise(0)) / F.count(F.lit(1)))
         .alias("high_severity_code_pct"))
 
 
-def claim_code_severity(claims: DataFrame, severity: Small,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def claim_code_severity(claims: DataFrame, severity: Small) -> DataFrame:
     """P16 per claim: max code severity. On claims partitioned by claim_id the
     exploded codes stay in their partition and the aggregate needs no exchange."""
     sev = severity.df.select("code", "severity")
-    sev = F.broadcast(sev) if severity.rows <= max_rows else sev
     return (code_occurrences(claims, ["claim_id"]).join(sev, "code")
             .groupBy("claim_id").agg(F.max("severity").alias("_sev")))
 
@@ -188,7 +177,7 @@ def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParam
     def severity_and_share():
         sev_t = checked(code_severity_table(materialize(
             code_weights if code_weights is not None else compute_code_reimbursement_weights(c))))
-        return sev_t, checked(provider_high_severity_share(c, sev_t, params.broadcast_rows))
+        return sev_t, checked(provider_high_severity_share(c, sev_t))
 
     peer, (severity, share) = in_parallel(
         lambda: checked(peer_stats if peer_stats is not None else compute_peer_group_stats(c, params.baseline)),
@@ -196,11 +185,10 @@ def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParam
 
     visits = c.select("claim_id", *VISIT_KEY).join(visit_counts(c), VISIT_KEY, "left") \
               .select("claim_id", "visit_count")
-    sev = claim_code_severity(c, severity, params.broadcast_rows)
+    sev = claim_code_severity(c, severity)
     ps = peer.df.select(*PROVIDER_KEY, "avg_reimbursement", "reimbursement_stddev",
                         "avg_length_of_stay", "los_stddev", "peer_avg_visit_freq", "peer_visit_freq_stddev")
-    ps = F.broadcast(ps) if peer.rows <= params.broadcast_rows else ps
-    sh = F.broadcast(share.df) if share.rows <= params.broadcast_rows else share.df
+    sh = share.df
 
     j = (c.join(sev, "claim_id", "left").join(visits, "claim_id", "left")
           .join(ps, PROVIDER_KEY, "left").join(sh, "provider_id", "left"))

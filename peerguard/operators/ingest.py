@@ -14,7 +14,6 @@ from ..functions import parsing as P
 from ..schemas import (CLAIM_COLUMNS, CLAIM_FILES, DIAGNOSIS_PREFIX, HCPCS_PREFIX, N_DIAGNOSIS_COLS,
                        N_HCPCS_COLS, N_PROCEDURE_COLS, PROCEDURE_PREFIX, SPECIALTY_COLUMN,
                        UNKNOWN_SPECIALTY)
-from .joins import checked, join_lookup
 
 
 def _col(df: DataFrame, name: str) -> Column:
@@ -84,8 +83,8 @@ def normalize_claims(raw_files: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         union = union.unionByName(p)
     if "carrier" in raw_files:
-        spec_map = checked(provider_specialty_map(raw_files["carrier"]))
-        union = join_lookup(union, spec_map, "provider_id", "left")
+        spec_map = provider_specialty_map(raw_files["carrier"])
+        union = union.join(spec_map, "provider_id", "left")
         mapped = F.col("mapped_specialty")
     else:
         mapped = F.lit(None).cast("string")

@@ -1,8 +1,8 @@
-"""Join and materialization helpers with explicit size checks.
+"""Join and materialization helpers.
 
-A side is broadcast only after it has been materialized and its row count is
-known to be under a limit; otherwise the join is a shuffle join and AQE's skew
-handling splits hot keys of the large side.
+Joins carry no hint: adaptive execution broadcasts a side whose bytes, as
+measured by then, are under Spark's threshold, and splits skewed partitions of
+the others.
 """
 
 from __future__ import annotations
@@ -12,21 +12,13 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 
-# Rows under which a materialized lookup side is broadcast. A peer-stats or code
-# row is < 200 bytes, so the default keeps a broadcast well under 1 GB.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
 class Small:
-    """A materialized lookup table plus its exact row count."""
+    """A materialized table plus its exact row count."""
 
     def __init__(self, df: DataFrame, rows: int):
         self.df = df
         self.rows = rows
 
-    def side(self, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-        return F.broadcast(self.df) if self.rows <= max_rows else self.df
-
 
 def checked(df: DataFrame) -> Small:
     """Checkpoint ``df`` in the shared folder; its exact row count is observed
@@ -36,13 +28,6 @@ def checked(df: DataFrame) -> Small:
     return Small(m, int(obs.get["rows"]))
 
 
-def join_lookup(big: DataFrame, small: Small | DataFrame, on, how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    if not isinstance(small, Small):
-        small = checked(small)
-    return big.join(small.side(max_rows), on, how)
-
-
 def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage is cut and later scans get column pruning and pushdown."""

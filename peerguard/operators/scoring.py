@@ -52,14 +52,12 @@ PEER_KEY_FULL = ("provider_specialty", "provider_id", "claim_type")
 PEER_KEY_LEGACY = ("provider_specialty", "provider_id")
 
 
-def with_peer_stats(scored: DataFrame, peer_table: DataFrame, key: tuple[str, ...] = PEER_KEY_FULL,
-                    broadcast: bool = False) -> DataFrame:
+def with_peer_stats(scored: DataFrame, peer_table: DataFrame, key: tuple[str, ...] = PEER_KEY_FULL) -> DataFrame:
     """Attach the provider's peer stats as a struct (NULL when absent).
     ``key`` is the table's full key, or (specialty, provider) against the
-    one-row legacy view. ``broadcast`` only for a size-checked table."""
+    one-row legacy view."""
     side = peer_table.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
                              F.struct(*PEER_STATS_COLUMNS).alias("provider_peer_stats"))
-    side = F.broadcast(side) if broadcast else side
     cond = None
     for i, k in enumerate(key):
         c = scored[k] == side[f"_k{i}"]
@@ -89,11 +87,6 @@ def flag_events(scored: DataFrame, flag_date: Column | None = None, ts: Column |
     return f.select(F.col("claim_id").alias("key"), F.to_json(body).alias("value"))
 
 
-def feature_vector_columns() -> list[str]:
-    """Model input columns in fixed order."""
-    return list(FEATURE_COLS)
-
-
 def score_with_model(model, claims: DataFrame, threshold: Column | float = DEFAULT_THRESHOLD) -> DataFrame:
     """the same scoring contract with a fitted ``pyspark.ml`` model as the
     scorer — the positive-class probability replaces the heuristic sum."""

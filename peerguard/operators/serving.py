@@ -116,10 +116,6 @@ def write_claims_by_provider(table: DataFrame, path: str, n_files: int | None =
     df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
-def write_keyed(table: DataFrame, path: str, keys: list[str]) -> None:
-    table.repartition(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-
-
 # --- read paths ------------------------------------------------------------------
 
 def lookup_claims(claims_table: DataFrame, requests: DataFrame) -> DataFrame:

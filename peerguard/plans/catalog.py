@@ -330,6 +330,7 @@ from ..operators import ml  # noqa: E402
 from ..operators import scoring as sc  # noqa: E402
 from ..operators import serving as sv  # noqa: E402
 from ..operators.joins import checked  # noqa: E402
+from ..sources.tables import table  # noqa: E402
 from ..streaming import audit as au  # noqa: E402
 from ..streaming import scoring as ss  # noqa: E402
 
@@ -364,7 +365,7 @@ def q_scored_claims_peer_lookup(spark, sf_dir):
     c = _claims(spark, sf_dir)
     peer = checked(sv.peer_stats_legacy_one_row(sv.peer_stats_table(feat.compute_peer_group_stats(c))))
     f = feat.compute_all_features(c, feat.FeatureParams(high_sev_cut=DRIVER_HIGH_SEV_CUT), prepared=True)
-    s = sc.with_peer_stats(sc.score_claims(f, 0.5), peer.df, sc.PEER_KEY_LEGACY, broadcast=peer.rows <= 2_000_000)
+    s = sc.with_peer_stats(sc.score_claims(f, 0.5), peer.df, sc.PEER_KEY_LEGACY)
     return s.select("claim_id", r6("score"), "flagged",
                     F.col("provider_peer_stats.claim_type").alias("peer_claim_type"),
                     F.col("provider_peer_stats.n_claims").alias("peer_n_claims"),
@@ -438,6 +439,31 @@ def q_audit_stream_replay(spark, sf_dir):
     return _audit_view(au.read_audit_table(spark, table))
 
 
+TWO_SOURCES_SQL = O.with_ctes(O.EVENT_ROWS) + """, two AS (
+  SELECT flag_date, score, claim_id, driver_features,
+         CASE WHEN right(claim_id, 1) IN ('0', '2', '4', '6', '8') THEN '2-' || provider_id ELSE provider_id END AS provider_id
+  FROM audit)
+""" + f"SELECT {O.AUDIT_OUT} FROM two"
+
+
+@register("audit_stream_two_sources", TWO_SOURCES_SQL)
+def q_audit_stream_two_sources(spark, sf_dir):
+    """Two streams with a checkpoint of their own write one table. The
+    first has all claims but those whose id ends in 4; the second those with an
+    even last digit, under another provider. The table is the keyed union, in
+    which the later run wins."""
+    m = ad.flag_messages_from_events(spark, sf_dir).select("value", F.get_json_object("value", "$.claim_id").alias("id"))
+    last = F.coalesce(F.substring("id", -1, 1), F.lit(""))
+    again = F.regexp_replace("value", '"provider_id":"', '"provider_id":"2-')
+    parts = [m.where(last != "4").select("value"), m.where(last.isin(*"02468")).select(again.alias("value"))]
+    table = scratch_path(spark, "audit_table")
+    for part in parts:
+        src = scratch_path(spark, "flag_messages")
+        part.write.text(src)
+        au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
+    return _audit_view(au.read_audit_table(spark, table))
+
+
 @register("audit_stream_rejects", REJECT_SQL)
 def q_audit_stream_rejects(spark, sf_dir):
     """X4 streaming: the reject output of the stream, by reason."""
@@ -478,6 +504,26 @@ def q_scoring_stream_scores(spark, sf_dir):
     return ss.read_scores(spark, out).select("claim_id", "score", "flagged", "threshold", "message")
 
 
+@register("scoring_request_rejects", """
+SELECT reject_reason, count(*) AS n_rows FROM (
+  SELECT CASE WHEN event_id % 7 = 0 THEN 'bad_reimbursement_zscore' WHEN event_id % 7 = 1 THEN 'missing_provider_id'
+              WHEN event_id % 7 = 2 THEN 'bad_json' WHEN event_id % 7 = 3 THEN 'bad_length_of_stay_days' END AS reject_reason
+  FROM events) WHERE reject_reason IS NOT NULL GROUP BY 1""")
+def q_scoring_request_rejects(spark, sf_dir):
+    """Requests with a wrongly typed number, without a required field or
+    that aren't JSON are rejected with the reason; the rest is scored."""
+    e = table(spark, sf_dir, "events").select("event_id", F.pmod("event_id", F.lit(7)).alias("r"))
+    ids = [F.lit(f'{c}-').alias(c) for c in ("beneficiary_id", "provider_specialty", "claim_type")]
+    body = F.struct(F.col("event_id").cast("string").alias("claim_id"), *ids, F.when(F.col("r") != 1, F.lit("p")).alias("provider_id"),
+                    F.when(F.col("r") == 0, "abc").otherwise("1.5").alias("reimbursement_zscore"), F.when(F.col("r") == 3, "2x").otherwise("2").alias("length_of_stay_days"))
+    src = scratch_path(spark, "score_requests")
+    e.select(F.when(F.col("r") == 2, F.lit("{broken")).otherwise(F.to_json(body)).alias("value")).write.text(src)
+    peer = sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir)))
+    out = scratch_path(spark, "score_out")
+    ss.run_scoring_stream(spark, src, peer, out, scratch_path(spark, "score_events"), scratch_path(spark, "score_ckpt"), 0.5)
+    return ss.read_request_rejects(spark, out).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- serving tables and read paths ----------------------------------------------
 SERVING_LABELED = CALIBRATED.rstrip() + ",\nlabeled_s AS (SELECT *, " + O.reasons_json("t") + \
     " AS label_reasons_json FROM labeled)"
@@ -824,7 +870,7 @@ def q_audit_stream_batch_counts(spark, sf_dir):
     src = _write_messages(spark, sf_dir)
     table = scratch_path(spark, "audit_table")
     au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
-    c = spark.read.parquet(f"{table}/counts")
+    c = au.read_audit_counts(spark, table)
     return c.agg(F.sum("processed").cast("long").alias("processed"), F.sum("errors").cast("long").alias("errors"))
 
 

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# --- fixed values: claim types and the raw-file layout per type -------------
-CLAIM_TYPES = ["inpatient", "outpatient", "carrier"]
 CLAIM_FILES = {
     "inpatient": ("inpatient_claims.csv", "CLM_PMT_AMT"),
     "outpatient": ("outpatient_claims.csv", "CLM_PMT_AMT"),
@@ -96,16 +94,6 @@ REQUEST_SCHEMA = T.StructType([
 ])
 REQUIRED_REQUEST_FIELDS = ["claim_id", "beneficiary_id", "provider_id", "provider_specialty", "claim_type"]
 
-# Flag event on the audit topic.
-FLAG_EVENT_SCHEMA = T.StructType([
-    T.StructField("claim_id", T.StringType()),
-    T.StructField("provider_id", T.StringType()),
-    T.StructField("score", T.DoubleType()),
-    T.StructField("driver_features", T.ArrayType(T.StringType())),
-    T.StructField("flag_date", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-])
-
 PEER_STATS_COLUMNS = ["provider_specialty", "provider_id", "claim_type", "n_claims",
                       "avg_reimbursement", "reimbursement_stddev", "avg_length_of_stay", "los_stddev",
                       "avg_visit_freq_per_bene", "peer_avg_visit_freq", "peer_visit_freq_stddev"]

@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="peerguard-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -65,11 +67,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that lists files with the OS."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop FileSystem of the path (works for
     HDFS/S3/GCS/local alike)."""
@@ -80,7 +77,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "materialize",
-           "path_exists", "local_path", "os"]
+           "path_exists", "os"]
 
 
 _SHIPPED: set[str] = set()

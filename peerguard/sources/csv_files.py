@@ -15,11 +15,13 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """CSV with a header row, all columns StringType (no inference pass)."""
+    """CSV with a header row, all columns StringType (no inference pass). A part
+    file whose header has other names or another order fails the read: its cells
+    would land in the wrong columns."""
     from ..schemas import all_string_schema
     cols = columns or _header(spark, path)
     return (spark.read.schema(all_string_schema(cols)).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
 
 
 def read_beneficiaries(spark: SparkSession, cms_dir: str) -> DataFrame:

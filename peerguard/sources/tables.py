@@ -7,8 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """S3: interchange files (featured / labeled claims, peer stats, profiles)."""
-    return spark.read.parquet(path)

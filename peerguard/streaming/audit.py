@@ -2,9 +2,10 @@
 
 The same ``to_audit_rows`` transformation serves a batch frame or a stream.
 The sink is replay-safe without a transactional table format: each
-micro-batch overwrites its own folder ``batches/batch_id=<epoch>``, so a
-re-run of an epoch after a failure rewrites the same files, and the read view
-keeps one row per (flag_date, score, claim_id) — the latest batch's.
+micro-batch overwrites its own folder ``run=<run>/batch_id=<epoch>`` (runs.py),
+so a re-run of an epoch after a failure rewrites the same files, no other stream
+does, and the read view keeps one row per (flag_date, score, claim_id) — the
+latest run's and batch's.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.serving import last_write_wins
+from .runs import read_folder, run_folder
 
 # Message fields read as text so a bad score is a reject, not a silent NULL.
 RAW_EVENT_SCHEMA = T.StructType([
     T.StructField("claim_id", T.StringType()),
     T.StructField("provider_id", T.StringType()),
     T.StructField("score", T.StringType()),
-    T.StructField("driver_features", T.ArrayType(T.StringType())),
+    T.StructField("driver_features", T.StringType()),  # a list or a text
     T.StructField("flag_date", T.StringType()),
     T.StructField("timestamp", T.StringType()),
 ])
@@ -39,7 +41,7 @@ def to_audit_rows(messages: DataFrame, today: Column | None = None) -> DataFrame
     m = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     parsed = messages.select(F.col("value"), m.alias("m"))
     score_txt = F.col("m.score")
-    score = score_txt.try_cast("double")
+    score = F.nanvl(score_txt.try_cast("double"), F.lit(None).cast("double"))  # "NaN" is no score
     reason = (F.when(F.col("m").isNull() | F.col("m._corrupt").isNotNull(), F.lit("bad_json"))
                .when(score_txt.isNotNull() & score.isNull(), F.lit("bad_score"))
                .when(F.coalesce(F.col("m.claim_id"), F.lit("")) == "", F.lit("empty_claim_id")))
@@ -48,7 +50,7 @@ def to_audit_rows(messages: DataFrame, today: Column | None = None) -> DataFrame
         F.coalesce(score, F.lit(0.0)).alias("score"),
         F.col("m.claim_id").alias("claim_id"),
         F.coalesce(F.col("m.provider_id"), F.lit("")).alias("provider_id"),
-        F.to_json(F.coalesce(F.col("m.driver_features"), F.array().cast("array<string>"))).alias("driver_features"),
+        F.coalesce(F.to_json(F.from_json("m.driver_features", "array<string>")), F.col("m.driver_features"), F.lit("[]")).alias("driver_features"),
         reason.alias("reject_reason"),
         F.col("value").alias("raw_value"))
 
@@ -70,42 +72,31 @@ class AuditTableSink:
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            # Per-epoch totals, rewritten with the epoch on a replay
-            batch.agg(F.lit(epoch_id).alias("batch_id"), F.count(F.lit(1)).alias("processed"),
-                      F.sum(F.col("reject_reason").isNotNull().cast("int")).alias("errors")) \
-                 .write.mode("overwrite").parquet(f"{self.path}/counts/batch_id={epoch_id}")
-            good = accepted_rows(batch)
-            if not good.isEmpty():
-                good.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={epoch_id}")
-            bad = rejected_rows(batch)
-            if not bad.isEmpty():
-                bad.write.mode("overwrite").parquet(f"{self.path}/rejects/batch_id={epoch_id}")
+            at = f"{run_folder(batch, f'{self.path}/counts')}/batch_id={epoch_id}"
+            # Per-epoch totals, rewritten with the epoch on a replay; first, so that a replay finds its run
+            batch.agg(F.count(F.lit(1)).alias("processed"),
+                      F.coalesce(F.sum(F.col("reject_reason").isNotNull().cast("int")), F.lit(0)).alias("errors")) \
+                 .write.mode("overwrite").parquet(f"{self.path}/counts/{at}")
+            accepted_rows(batch).write.mode("overwrite").parquet(f"{self.path}/batches/{at}")
+            rejected_rows(batch).write.mode("overwrite").parquet(f"{self.path}/rejects/{at}")
         finally:
             batch.unpersist()
 
 
 def read_audit_table(spark: SparkSession, path: str) -> DataFrame:
-    """The audit table: one row per (flag_date, score, claim_id), the latest
-    batch's values win."""
-    raw = spark.read.parquet(f"{path.rstrip('/')}/batches")
-    return last_write_wins(raw, AUDIT_KEY, [F.col("batch_id").desc()]).select(*AUDIT_COLUMNS)
+    """The audit table: one row per (flag_date, score, claim_id); the values of
+    the latest run and batch win. Empty if nothing was accepted."""
+    raw = read_folder(spark, f"{path.rstrip('/')}/batches", "flag_date date, score double, claim_id string, provider_id string, driver_features string")
+    return last_write_wins(raw, AUDIT_KEY, [F.col("run").desc(), F.col("batch_id").desc()]).select(*AUDIT_COLUMNS)
 
 
 def read_audit_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path.rstrip('/')}/rejects")
+    return read_folder(spark, f"{path.rstrip('/')}/rejects", "reject_reason string, raw_value string").drop("run")
 
 
 def read_audit_counts(spark: SparkSession, path: str) -> DataFrame:
     """Per-epoch processed/error totals."""
-    return spark.read.parquet(f"{path.rstrip('/')}/counts")
-
-
-def compact_audit_table(spark: SparkSession, path: str, out: str) -> None:
-    """Rewrite the deduplicated table partitioned by flag_date, sorted by score
-    desc then claim_id — the clustering order of the audit queue read."""
-    (read_audit_table(spark, path).repartition("flag_date")
-     .sortWithinPartitions(F.col("score").desc(), "claim_id")
-     .write.mode("overwrite").partitionBy("flag_date").parquet(out))
+    return read_folder(spark, f"{path.rstrip('/')}/counts", "processed long, errors long")
 
 
 def flag_event_source(spark: SparkSession, source: str, fmt: str = "text",

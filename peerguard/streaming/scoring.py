@@ -5,19 +5,46 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.scoring import flag_events, score_claims, score_responses, with_peer_stats
 from ..schemas import REQUEST_SCHEMA, REQUIRED_REQUEST_FIELDS
+from .runs import read_folder, run_folder
 
 NUMERIC_DEFAULTS = {"reimbursement_amt": 0.0, "length_of_stay_days": 0, "reimbursement_zscore": 0.0,
                     "los_zscore": 0.0, "visit_frequency_zscore": 0.0, "code_severity_percentile": 0.0,
                     "high_severity_code_pct": 0.0, "code_severity_outlier": 0}
 
 
+def parse_requests(messages: DataFrame) -> DataFrame:
+    """JSON text (column ``value``) -> the request's typed fields and
+    ``parse_reason``: bad_json, or bad_<field> for the first field whose value
+    isn't of its type (NULL = all are). Fields are read as text first, so that a
+    wrongly typed number is an error and not a missing value."""
+    text = [T.StructField(f.name, f.dataType if isinstance(f.dataType, T.ArrayType) else T.StringType()) for f in REQUEST_SCHEMA.fields]
+    schema = T.StructType([*text, T.StructField("_corrupt", T.StringType())])
+    m = messages.select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("m"))
+    reason = F.when(F.col("m").isNull() | F.col("m._corrupt").isNotNull(), F.lit("bad_json"))
+    cols = []
+    for f in REQUEST_SCHEMA.fields:
+        c = F.col(f"m.{f.name}")
+        if not isinstance(f.dataType, (T.StringType, T.ArrayType)):
+            typed = c.try_cast(f.dataType)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+                typed = F.nanvl(typed, F.lit(None).cast(f.dataType))
+            reason = reason.when(c.isNotNull() & typed.isNull(), F.lit(f"bad_{f.name}"))
+            c = typed
+        cols.append(c.alias(f.name))
+    return m.select(*cols, reason.alias("parse_reason"))
+
+
 def validate_requests(requests: DataFrame) -> DataFrame:
-    """Required ids present, defaults filled; ``reject_reason`` names the
-    first missing required field (NULL = accepted)."""
+    """Required ids present, defaults filled; ``reject_reason`` is the
+    ``parse_reason`` (if the frame has one) or names the first missing required
+    field (NULL = accepted)."""
     reason = None
+    if "parse_reason" in requests.columns:
+        reason = F.when(F.col("parse_reason").isNotNull(), F.col("parse_reason"))
     for f in REQUIRED_REQUEST_FIELDS:
         miss = F.col(f).isNull()
         reason = F.when(miss, F.lit(f"missing_{f}")) if reason is None else reason.when(miss, F.lit(f"missing_{f}"))
@@ -42,14 +69,13 @@ class ScoringSink:
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
+            at = f"{run_folder(batch, f'{self.out_dir}/scores')}/batch_id={epoch_id}"
             good = batch.where(F.col("reject_reason").isNull())
-            score_responses(good).write.mode("overwrite").parquet(f"{self.out_dir}/scores/batch_id={epoch_id}")
+            score_responses(good).write.mode("overwrite").parquet(f"{self.out_dir}/scores/{at}")
             flag_events(good, self.flag_date, self.ts).select("value").write.mode("overwrite") \
-                .text(f"{self.events_dir}/batch_id={epoch_id}")
-            bad = batch.where(F.col("reject_reason").isNotNull())
-            if not bad.isEmpty():
-                bad.select("claim_id", "reject_reason").write.mode("overwrite") \
-                   .parquet(f"{self.out_dir}/rejects/batch_id={epoch_id}")
+                .text(f"{self.events_dir}/{at}")
+            batch.where(F.col("reject_reason").isNotNull()).select("claim_id", "reject_reason") \
+                .write.mode("overwrite").parquet(f"{self.out_dir}/rejects/{at}")
         finally:
             batch.unpersist()
 
@@ -58,8 +84,8 @@ def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataF
                        events_dir: str, checkpoint: str, threshold: Column | float = 0.5,
                        flag_date: Column | None = None, ts: Column | None = None,
                        available_now: bool = True):
-    reqs = validate_requests(spark.readStream.schema(REQUEST_SCHEMA).json(requests_dir))
-    scored = with_peer_stats(score_claims(reqs, threshold), peer_table, broadcast=True)
+    reqs = validate_requests(parse_requests(spark.readStream.text(requests_dir)))
+    scored = with_peer_stats(score_claims(reqs, threshold), peer_table)
     sink = ScoringSink(out_dir, events_dir, flag_date, ts)
     w = scored.writeStream.foreachBatch(sink.write_batch).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
@@ -69,4 +95,9 @@ def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataF
 
 
 def read_scores(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir.rstrip('/')}/scores").drop("batch_id")
+    path = f"{out_dir.rstrip('/')}/scores"
+    return spark.read.parquet(path).drop("run", "batch_id")
+
+
+def read_request_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    return read_folder(spark, f"{out_dir.rstrip('/')}/rejects", "claim_id string, reject_reason string").drop("run", "batch_id")

@@ -50,3 +50,28 @@ def test_polling_trigger_stops(spark):
     assert not q.isActive
     assert au.read_audit_table(spark, table).count() == 1
     assert prog is not None
+
+
+def test_second_stream_keeps_first_and_empty_sides_read(spark):
+    one = {"claim_id": "a", "provider_id": "p", "score": 0.5, "driver_features": "plain text", "flag_date": "2024-01-02"}
+    two = dict(one, claim_id="b", driver_features=["x"])
+    table = scratch_path(spark, "audit")
+    au.run_audit_stream(spark, _write(spark, [json.dumps(one)]), table, scratch_path(spark, "ck"))
+    assert au.read_audit_rejects(spark, table).count() == 0            # a clean run
+    au.run_audit_stream(spark, _write(spark, [json.dumps(two), json.dumps(dict(one, provider_id="q"))]), table, scratch_path(spark, "ck"))
+    got = {r.claim_id: (r.provider_id, r.driver_features) for r in au.read_audit_table(spark, table).collect()}
+    assert got == {"a": ("q", "plain text"), "b": ("p", '["x"]')}
+    other = scratch_path(spark, "audit")
+    au.run_audit_stream(spark, _write(spark, ["{broken", json.dumps(dict(one, score="NaN"))]), other, scratch_path(spark, "ck"))
+    assert au.read_audit_table(spark, other).count() == 0              # nothing accepted
+    assert {r.reject_reason for r in au.read_audit_rejects(spark, other).collect()} == {"bad_json", "bad_score"}
+
+
+def test_same_checkpoint_rewrites_its_own_batches(spark):
+    table, ck = scratch_path(spark, "audit"), scratch_path(spark, "ck")
+    src = _write(spark, _messages()[:2])
+    au.run_audit_stream(spark, src, table, ck)
+    spark.createDataFrame([(_messages()[2],)], "value string").coalesce(1).write.mode("append").text(src)
+    au.run_audit_stream(spark, src, table, ck)
+    counts = au.read_audit_counts(spark, table).collect()
+    assert len({r.run for r in counts}) == 1 and len({r.batch_id for r in counts}) == len(counts) == 2
