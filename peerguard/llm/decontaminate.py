@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import ship_package, store
 
 SHARD_ITEMS, SHARD_WORDS = 2_000, 400_000
-BLOCK_ITEMS = 8
+BLOCK_ITEMS = 4
 K1, B = 1.2, 0.75
 _TOKEN = re.compile(r"[^\W_]+")
 _END = re.compile(r"[.!?](?=\s)")
@@ -94,14 +94,26 @@ class Index:
         found: dict[int, float] = {}
         if not n or not self.items:
             return found
+        # each word counts once a stride: sorted by (stride, word), repeats dropped
+        known = np.flatnonzero(ids < len(self.vocab))
+        if not len(known):
+            return found
+        width = len(self.vocab) + 1
+        once = np.sort(known // self.stride * width + ids[known])
+        once = once[np.append(True, once[1:] != once[:-1])]
         starts = np.arange(0, n, self.stride)
-        sums = np.add.reduceat(self.block_max[ids], starts, axis=0)
+        cut = np.searchsorted(once, np.arange(len(starts) + 1) * width)
+        sums = np.zeros((len(starts), self.blocks), "float32")
+        full = np.flatnonzero(cut[1:] > cut[:-1])
+        sums[full] = np.add.reduceat(self.block_max[once % width], cut[full], axis=0)
         if len(starts) > 1:
             sums = sums[:-1] + sums[1:]  # passages overlap by half
         for p, b in zip(*np.nonzero(sums >= self.block_need)):  # block-max bound: the other blocks can't reach their threshold
             lo = int(starts[p])
             hi = min(n, lo + 2 * self.stride)
-            terms = np.unique(ids[lo:hi])
+            terms = once[cut[p]:cut[min(p + 2, len(starts))]] % width
+            if len(starts) > p + 1:
+                terms = np.unique(terms)
             cols = slice(b * BLOCK_ITEMS, (b + 1) * BLOCK_ITEMS)
             score = self.impact[terms, cols].sum(axis=0)
             over = np.flatnonzero(score >= self.need[cols])
