@@ -120,24 +120,24 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, gap: flo
     m = len(sizes)
     basis = [np.eye(m, dtype="int64")[i] * (room // int(sizes[i])) for i in range(m)]
     inverse = np.diag([1.0 / basis[i][i] for i in range(m)])
-    x = inverse @ demand
+    x = (inverse * demand).sum(axis=1)  # plain sums: small matrices aren't worth BLAS threads
     # patterns are priced near the duals of the best lower bound so far (smoothing), which the volumes give at first
     centre = sizes / room
-    bound = float(centre @ demand)
-    for k in range(40 * m + 100):
+    bound = float((centre * demand).sum())
+    for _ in range(40 * m + 100):
         total, duals = float(x.sum()), inverse.sum(axis=0)
         if total - bound <= max(1.0, gap * total):
             break
         for weight in (0.85, 0.0):
             prices = np.maximum(weight * centre + (1 - weight) * duals, 0)
             worth, a = best_pattern(sizes, prices, room)
-            if (low := float(prices @ demand) / max(worth, 1e-9)) > bound:
+            if (low := float((prices * demand).sum()) / max(worth, 1e-9)) > bound:
                 bound, centre = low, prices / worth
-            if duals @ a > 1 + 1e-7:
+            if (duals * a).sum() > 1 + 1e-7:
                 break
         else:
             break
-        d = inverse @ a
+        d = (inverse * a).sum(axis=1)
         up = np.flatnonzero(d > 1e-9)
         if not len(up):
             break
@@ -149,9 +149,6 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, gap: flo
         inverse -= np.outer(d, row)
         inverse[r] = row
         basis[r] = a
-        if k % 200 == 199:  # against rounding errors
-            inverse = np.linalg.inv(np.array(basis, float).T)
-            x = np.maximum(inverse @ demand, 0)
     return basis, x
 
 
