@@ -9,7 +9,8 @@ join.
 * Heavy (large sets): inverted lists are scanned. A list is kept for a block of
   shingles (those of one hash range), not for a single shingle, which a third
   of all documents may hold: two sets that link differ in at most D shingles,
-  so with D + 1 + E blocks at least E + 1 are the same in both. In the order
+  so with D + 1 + E blocks at least E + 1 are the same in both (D follows from
+  the document's size and that of the largest partner in a class). In the order
   (blocks of fewer than two shingles last, before them the longest lists) each
   document therefore leaves its last E blocks out, and a common one remains: no
   link is lost, and what many documents share seldom makes a candidate.
@@ -19,10 +20,14 @@ join.
 Equal sets are joined by a digest first. Then each document is compared with one
 document of its lists, the first of the list it meets most often. Lists whose
 documents are not in one component by then are scanned in one task each (in
-blocks of bounded size): shingles are ordered by how rare they are in the list,
-and two sets are compared only if they share one of the rarest of each that a
-link must share. Only links leave the task. The Jaccard test runs on the whole
-shingle sets.
+blocks of bounded size): each document brings the keys of its other lists, and
+the scan counts how many lists it shares with each document of another
+component. Pairs with fewer than their two sizes ask for can't link. Each
+document is compared with the one that it shares most lists with. In a last
+round the pairs that are then still apart make families (only a spanning forest
+leaves a task), each family meets in one task (in blocks, if it is large) with
+each set sent once, and two sets are compared if they share one of the rarest
+shingles of each that a link must share. The Jaccard test runs on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ from .common import U64, WordHash, key64, lower_words, mix, ship_package, shingl
 from .components import components
 
 DIGEST, SUBSET, BLOCK, TINY = 0, 1, 2, 3
-#: Documents and shingles that a task takes of a list at once.
+#: Documents and shingles that a task takes of a list or family at once.
 SCAN_DOCS, SCAN_SHINGLES = 3_000, 4_000_000
 
 
@@ -62,13 +67,12 @@ def subset_sizes(s: int, pct: int) -> tuple[int, ...]:
 
 
 @lru_cache(None)
-def layout(pct: int, ratio: float = 1.3) -> list[tuple[int, int, int]]:
-    """(largest size, blocks, spare blocks E) of each size class."""
+def layout(pct: int, ratio: float = 1.3) -> list[tuple[int, int]]:
+    """(largest size, blocks) of each size class."""
     out, hi = [], 8
     while hi < 1 << 40:
         differ = 2 * hi * (100 - pct) // (100 + pct)
-        spare = max(1, differ // 4)
-        out.append((hi, differ + 1 + spare, spare))
+        out.append((hi, differ + 1 + max(1, differ // 8)))
         hi = int(hi * ratio) + 1
     return out
 
@@ -114,9 +118,10 @@ def keys_of(sh: np.ndarray, pct: int):
         acc = np.concatenate([np.zeros(1, U64), np.cumsum(w, dtype=U64)])
         top = (sh >> U64(32))
         for j in classes(s, pct):
-            hi, m, spare = layout(pct)[j]
+            hi, m = layout(pct)[j]
             if hi <= x:
                 continue
+            spare = m - 1 - (100 - pct) * (s + min(hi, 100 * s // pct)) // (100 + pct)
             cut = np.searchsorted((top * U64(m)) >> U64(32), np.arange(m + 1, dtype=U64))
             n = np.diff(cut)
             ks = mix((acc[cut[1:]] - acc[cut[:-1]]) ^ mix(np.arange(m, dtype=U64) + U64(j << 32)) ^ n.astype(U64))
@@ -240,6 +245,71 @@ def _verify(pct: int):
     return run
 
 
+class Forest(dict):
+    """Union-find over the members of one task."""
+
+    def find(self, x):
+        while (up := self.get(x, x)) != x:
+            self[x] = x = self.get(up, up)
+        return x
+
+    def join(self, a, b) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self[max(a, b)] = min(a, b)
+        return a != b
+
+
+def scan_list(docs, comps, keys, fews, blocks, sizes, pct: int, first: bool):
+    """Pairs of documents of different components that share enough lists: of
+    each document the one with most lists (first), or a spanning forest."""
+    lens = np.array([len(x) for x in keys])
+    _, inv = np.unique(np.concatenate(keys), return_inverse=True)
+    begin = np.cumsum(lens) - lens
+    comp, few, size = np.array(comps), np.array(fews), np.array(sizes, "int64")
+    lists: dict[int, list[int]] = {}
+    out, root = [], Forest()
+    for y in range(len(docs)):
+        met: list[int] = []
+        for t in inv[begin[y]:begin[y] + lens[y]].tolist():
+            own = lists.setdefault(t, [])
+            met += own
+            own.append(y)
+        if met:
+            n = np.bincount(np.array(met), minlength=y)
+            differ = (100 - pct) * (size[:y] + size[y]) // (100 + pct)
+            need = np.maximum(1, blocks[y] - differ - np.minimum(few[:y], few[y]))
+            ok = (n >= need) & (comp[:y] != comp[y]) & (100 * np.minimum(size[:y], size[y]) >= pct * np.maximum(size[:y], size[y]))
+            found = np.flatnonzero(ok)
+            if first and len(found):
+                found = found[[int(np.argmax((n - need)[found]))]]
+            elif len(found):
+                found = np.array([x for x in found.tolist() if root.join(x, y)], int)
+            out += [(min(docs[x], docs[y]), max(docs[x], docs[y])) for x in found.tolist()]
+    return out
+
+
+def _scan(pct: int, first: bool):
+    names = ("doc", "comp", "keys", "few", "blocks", "s")
+
+    def run(batches):
+        at, rows = None, [[] for _ in names]
+        for pdf in batches:
+            out = []
+            for key, i, j, *row in zip(*(pdf[c] for c in ("key", "i", "j", *names))):
+                if at != (key, i, j):
+                    if len(rows[0]) > 1:
+                        out += scan_list(*rows, pct, first)
+                    at, rows = (key, i, j), [[] for _ in names]
+                if not rows[0] or rows[0][-1] != row[0]:  # a document that is there twice
+                    for x, y in zip(rows, row):
+                        x.append(y)
+            yield pd.DataFrame(out, columns=["a", "doc"]).astype("int64")
+        if len(rows[0]) > 1:
+            yield pd.DataFrame(scan_list(*rows, pct, first), columns=["a", "doc"]).astype("int64")
+    return run
+
+
 def _open_sets(k: int):
     def run(batches):
         hashes, z = WordHash(), zstandard.ZstdDecompressor()
@@ -254,19 +324,14 @@ def _open_sets(k: int):
     return run
 
 
-def scan_list(docs: list[int], comps: list[int], sets: list[np.ndarray], pct: int):
+def scan_family(docs: list[int], comps: list[int], sets: list[np.ndarray], pct: int):
     """Links between documents of different components, a spanning forest of
     them: an inverted list for each shingle of the documents' rarest ones."""
     n = len(docs)
     lens = np.array([len(x) for x in sets])
     _, inv, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     begin = np.cumsum(lens) - lens
-    root = {c: c for c in comps}
-
-    def find(x):
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
+    root = Forest()
 
     lists: dict[int, list[int]] = {}
     out = []
@@ -279,17 +344,16 @@ def scan_list(docs: list[int], comps: list[int], sets: list[np.ndarray], pct: in
             tried.update(lists.setdefault(t, []))
             lists[t].append(y)
         for x in sorted(tried):
-            a, b = find(comps[x]), find(comps[y])
-            if a == b or 100 * lens[x] < pct * lens[y]:
+            if root.find(comps[x]) == root.find(comps[y]) or 100 * lens[x] < pct * lens[y]:
                 continue
             both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
             if 100 * both >= pct * (lens[x] + lens[y] - both):
-                root[max(a, b)] = min(a, b)
+                root.join(comps[x], comps[y])
                 out.append((docs[x], docs[y]))
     return out
 
 
-def _scan(pct: int):
+def _families(pct: int):
     def run(batches):
         at, rows = None, ([], [], [])
         for pdf in batches:
@@ -297,14 +361,14 @@ def _scan(pct: int):
             for key, i, j, doc, comp, blob in zip(pdf["key"], pdf["i"], pdf["j"], pdf["doc"], pdf["comp"], pdf["set"]):
                 if at != (key, i, j):
                     if len(rows[0]) > 1:
-                        out += scan_list(*rows, pct)
+                        out += scan_family(*rows, pct)
                     at, rows = (key, i, j), ([], [], [])
                 if not rows[0] or rows[0][-1] != doc:  # a document that is there twice
                     for x, y in zip(rows, (doc, comp, np.frombuffer(blob, U64))):
                         x.append(y)
             yield pd.DataFrame(out, columns=["a", "doc"]).astype("int64")
         if len(rows[0]) > 1:
-            yield pd.DataFrame(scan_list(*rows, pct), columns=["a", "doc"]).astype("int64")
+            yield pd.DataFrame(scan_family(*rows, pct), columns=["a", "doc"]).astype("int64")
     return run
 
 
@@ -321,6 +385,34 @@ def verified(pairs: DataFrame, packed: DataFrame, k: int, pct: int) -> DataFrame
             .mapInPandas(_verify(pct), "u long, v long"))
 
 
+def open_pairs(member: DataFrame, comp: DataFrame, own: DataFrame, pct: int, first: bool) -> DataFrame:
+    """Candidates (a, doc) from the lists that still hold several components."""
+    named = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
+             .select("key", "c", "doc", "few", "s", F.coalesce("component", "doc").alias("comp")))
+    several = (named.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+               .where("lo <> hi").select("key", F.ceil(F.col("n") / SCAN_DOCS).cast("int").alias("parts")))
+    tasks = F.expr("transform(sequence(0, parts - 1), q -> struct(least(p, q) as i, greatest(p, q) as j))")
+    blocks = F.element_at(F.array(*(F.lit(m) for _, m in layout(pct))), F.col("c") + 1)
+    hard = (named.join(several, "key").withColumn("p", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+            .withColumn("t", F.explode(tasks)).join(own, ["doc", "c"])
+            .select("key", "t.i", "t.j", "doc", "comp", "keys", "few", blocks.alias("blocks"), "s"))
+    return (hard.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
+            .mapInPandas(_scan(pct, first), "a long, doc long").distinct())
+
+
+def family_links(family: DataFrame, comp: DataFrame, digests: DataFrame, packed: DataFrame, k: int, pct: int) -> DataFrame:
+    """Links between different components within families (node, component)."""
+    rows = (family.select(F.col("component").alias("key"), F.explode(F.array("node", "component")).alias("doc")).distinct()
+            .join(comp.select(F.col("node").alias("doc"), F.col("component").alias("comp")), "doc", "left")
+            .join(digests.select("doc", F.col("n_shingles").alias("s")), "doc").withColumn("comp", F.coalesce("comp", "doc")))
+    sizes = rows.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / SCAN_DOCS), F.ceil(F.sum("s") / SCAN_SHINGLES)).cast("int").alias("parts"))
+    tasks = F.expr("transform(sequence(0, parts - 1), q -> struct(least(p, q) as i, greatest(p, q) as j))")
+    rows = (rows.join(sizes, "key").withColumn("p", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+            .select("key", "doc", "comp", F.explode(tasks).alias("t")).select("key", "t.i", "t.j", "doc", "comp"))
+    sets = packed.join(rows, "doc").select("key", "i", "j", "doc", "comp", "z").mapInPandas(_open_sets(k), "key long, i int, j int, doc long, comp long, set binary")
+    return sets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc").mapInPandas(_families(pct), "a long, doc long")
+
+
 def ngram_jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, component_size) of every row with an id.
 
@@ -346,7 +438,8 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85, id_col: str =
     sizes = block.groupBy("key").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("doc", "c").orderBy(F.desc("kind"), F.desc("n"), "key"))
     left_out = F.col("spare") - F.when(F.col("few") <= F.col("spare"), F.col("few")).otherwise(0)
-    kept = store(block.join(sizes, "key").withColumn("place", place).where(F.col("place") > left_out).select("key", "doc", "s"), "kept")
+    shared = store(block.join(sizes, "key").withColumn("kept", place > left_out).select("key", "c", "doc", "few", "spare", "s", "kept"), "shared")
+    kept = shared.where("kept").drop("kept")
     heads = kept.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
     member = kept.join(heads, "key")
 
@@ -358,20 +451,15 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85, id_col: str =
     comp = components(edges)
 
     # lists that still hold several components
-    named = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-             .select("key", "doc", "s", F.coalesce("component", "doc").alias("comp")))
-    several = (named.groupBy("key").agg(F.count("*").alias("n"), F.sum("s").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-               .where("lo <> hi").select("key", F.greatest(F.ceil(F.col("n") / SCAN_DOCS), F.ceil(F.col("all") / SCAN_SHINGLES)).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    hard = (named.join(several, "key").withColumn("p", part)
-            .select("key", "doc", "comp", "p", F.explode(F.expr("transform(sequence(0, parts - 1), q -> struct(least(p, q) as i, greatest(p, q) as j))")).alias("t"))
-            .select("key", "t.i", "t.j", "doc", "comp"))
-    hard = store(hard, "open-lists")
-    if not hard.isEmpty():
-        sets = packed.join(hard, "doc").select("key", "i", "j", "doc", "comp", "z").mapInPandas(_open_sets(k), "key long, i int, j int, doc long, comp long, set binary")
-        more = store(sets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc").mapInPandas(_scan(pct), "a long, doc long"), "edges2")
-        if not more.isEmpty():
-            comp = components(edges.unionByName(more))
+    own = shared.groupBy("doc", "c").agg(F.collect_list("key").alias("keys"))  # no more than the document's blocks
+    pairs = store(open_pairs(member, comp, own, pct, True).join(best, ["a", "doc"], "left_anti"), "pairs")
+    more = store(verified(pairs, packed, k, pct).toDF("a", "doc"), "edges")
+    edges = edges.unionByName(more)
+    comp = components(edges)
+    family = components(store(open_pairs(member, comp, own, pct, False), "candidates"))
+    links = store(family_links(family, comp, digests, packed, k, pct), "edges")
+    if not links.isEmpty():
+        comp = components(edges.unionByName(links))
     out = (digests.select("doc", "n_shingles").join(comp, digests["doc"] == comp["node"], "left")
            .select(F.col("doc").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
                    F.coalesce("component", "doc").alias("component_id")))

@@ -237,7 +237,7 @@ def test_packing_plan():
                 used[b] += c * k
         assert used == collections.Counter(demand)
         if n == 3000:
-            assert sum(k for _, k in plan) <= 1.02 * sum(b * c for b, c in demand.items()) / 256 + 1
+            assert sum(k for _, k in plan) <= 1.04 * sum(b * c for b, c in demand.items()) / 256 + 1
     chunks = packing.ids_of(__import__("public_tokenizers").path("word_bpe_49k.json"))
     for t in ("It's a <|endoftext|> test,,, é.É \t x y!!% we're 12a3 İSTANBUL. café 'tis", "\x1cA  B"):
         assert chunks.of(t) == chunks.whole(t)
