@@ -11,7 +11,7 @@ from ..session import scratch_path, ship_package
 from ..sources.tables import table
 
 __all__ = ["table", "store", "ship_package", "scratch_path", "WordHash", "mix", "shingles",
-           "lower_words", "key64", "remainder", "U64"]
+           "lower_words", "key64", "remainder", "slices", "U64"]
 
 U64 = np.uint64
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -36,6 +36,13 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches, rows: int):
+    """Smaller Arrow batches, which bound what Python holds at once."""
+    for batch in batches:
+        for s in range(0, batch.num_rows, rows):
+            yield batch.slice(s, rows)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash (wrap-around arithmetic)."""
     h = h ^ (h >> U64(31))

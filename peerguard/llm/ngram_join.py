@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, WordHash, key64, lower_words, mix, ship_package, shingles, store
+from .common import U64, WordHash, key64, lower_words, mix, ship_package, shingles, slices, store
 from .components import components
 
 DIGEST, SUBSET, BLOCK, TINY = 0, 1, 2, 3
@@ -142,9 +142,9 @@ def _rows(k: int, pct: int):
                         ("s", pa.int32()), ("few", pa.int32()), ("spare", pa.int32())])
 
     def run(batches):
-        hashes = WordHash()
+        hashes = WordHash(200_000)
         leaders: dict[bytes, int] = {}  # equal sets in this partition: only one goes into the lists
-        for batch in batches:
+        for batch in slices(batches, 500):
             cols: list[list] = [[] for _ in range(7)]
 
             def add(kind, keys, c, doc, s, few=0, spare=0):
@@ -163,7 +163,7 @@ def _rows(k: int, pct: int):
                     continue
                 if d in leaders:
                     continue
-                if len(leaders) >= 200_000:
+                if len(leaders) >= 50_000:
                     leaders.clear()
                 leaders[d] = doc
                 for kind, c, ks, few, spare in keys_of(sh, pct):
@@ -205,7 +205,7 @@ def _lists(pct: int):
 
 def _packed(batches):
     z = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in slices(batches, 1000):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         yield pa.RecordBatch.from_arrays([ids, pa.array([None if t is None else z.compress(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())],
                                          names=["doc", "z"])
@@ -213,8 +213,8 @@ def _packed(batches):
 
 def _sets(k: int):
     def run(batches):
-        hashes, z = WordHash(), zstandard.ZstdDecompressor()
-        for pdf in batches:
+        hashes, z = WordHash(200_000), zstandard.ZstdDecompressor()
+        for pdf in (big.iloc[s:s + 500] for big in batches for s in range(0, len(big), 500)):
             memo: tuple = (None, b"")
             out = []
             for doc, blob in zip(pdf["doc"], pdf["z"]):
@@ -312,8 +312,8 @@ def _scan(pct: int, first: bool):
 
 def _open_sets(k: int):
     def run(batches):
-        hashes, z = WordHash(), zstandard.ZstdDecompressor()
-        for pdf in batches:
+        hashes, z = WordHash(200_000), zstandard.ZstdDecompressor()
+        for pdf in (big.iloc[s:s + 500] for big in batches for s in range(0, len(big), 500)):
             memo: tuple = (None, b"")
             out = []
             for doc, blob in zip(pdf["doc"], pdf["z"]):

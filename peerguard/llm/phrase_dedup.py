@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, key64, mix, ship_package, store
+from .common import U64, key64, mix, ship_package, slices, store
 
 SPAN, ENTRY = 0, 1
 _LUT = mix(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F))
@@ -85,13 +85,6 @@ def entries(buf: np.ndarray, ends: np.ndarray, width: int, w: int):
     return h[t], entry, lo, hi, t
 
 
-def slices(batches, rows: int):
-    """Smaller batches, which bound what Python holds at once."""
-    for batch in batches:
-        for s in range(0, batch.num_rows, rows):
-            yield batch.slice(s, rows)
-
-
 def chunks(ids, texts, size: int = 1 << 19):
     """Whole texts in id order, joined to buffers of about ``size`` bytes."""
     order = sorted((i, k) for k, i in enumerate(ids) if i is not None)
