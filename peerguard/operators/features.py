@@ -8,8 +8,8 @@ Plan shape:
     joined back on claim_id;
   * provider / peer-group / code aggregates are partial (map-side)
     aggregations, so a hot provider or code never lands whole in one task;
-    they are small (provider or code grain), checkpointed, and broadcast only
-    after their row count is checked;
+    they are small (provider or code grain) and checkpointed; whether one is
+    broadcast is left to adaptive execution, by its bytes;
   * visit counts are a narrow (claim_id, visits) frame joined back on claim_id.
 """
 

@@ -7,8 +7,8 @@ oracle SQL in ``plans/oracle.py`` builds the very same rows in DuckDB.
 
 The fixed-size dimension tables (nation: 25 rows, region: 5 rows) are
 broadcast outright; the supplier → specialty map and the part lookup grow
-with the data, so they are materialized and broadcast only under a checked
-row count (else a shuffle join). lineitem ⋈ orders is left to Catalyst/AQE.
+with the data, so their joins, like lineitem ⋈ orders, carry no hint and are
+left to Catalyst/AQE.
 """
 
 from __future__ import annotations
