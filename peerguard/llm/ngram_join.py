@@ -267,16 +267,17 @@ def scan_list(docs, comps, keys, fews, blocks, sizes, pct: int, first: bool):
     _, inv = np.unique(np.concatenate(keys), return_inverse=True)
     begin = np.cumsum(lens) - lens
     comp, few, size = np.array(comps), np.array(fews), np.array(sizes, "int64")
-    lists: dict[int, list[int]] = {}
+    # members of each key in order (rows of one array), and how many of them are before y
+    member = np.repeat(np.arange(len(docs)), lens)[np.argsort(inv, kind="stable")]
+    start = np.concatenate([[0], np.cumsum(np.bincount(inv))])
+    before = np.zeros(len(start) - 1, int)
     out, root = [], Forest()
     for y in range(len(docs)):
-        met: list[int] = []
-        for t in inv[begin[y]:begin[y] + lens[y]].tolist():
-            own = lists.setdefault(t, [])
-            met += own
-            own.append(y)
+        own = inv[begin[y]:begin[y] + lens[y]]
+        met = [member[start[t]:start[t] + before[t]] for t in own[before[own] > 0].tolist()]
+        before[own] += 1
         if met:
-            n = np.bincount(np.array(met), minlength=y)
+            n = np.bincount(np.concatenate(met), minlength=y)
             differ = (100 - pct) * (size[:y] + size[y]) // (100 + pct)
             need = np.maximum(1, blocks[y] - differ - np.minimum(few[:y], few[y]))
             ok = (n >= need) & (comp[:y] != comp[y]) & (100 * np.minimum(size[:y], size[y]) >= pct * np.maximum(size[:y], size[y]))
