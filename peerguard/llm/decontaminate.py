@@ -142,8 +142,8 @@ def _scan(shared, id_type: pa.DataType):
                 items.append(hit)
                 share.append(max(m.values(), default=0.0))
                 passages.append(max(0, -(-len(t) // index.stride) - 1) or int(bool(t)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(passages, pa.int64()), pa.array(items, pa.list_(pa.int64())), pa.array(share, pa.float64())],
-                                             names=["doc_id", "n_passages", "item_ids", "share"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(passages, pa.int64()), pa.array(items, pa.list_(pa.int64())), pa.array(share, pa.float64()), *batch.columns[2:]],
+                                             names=["doc_id", "n_passages", "item_ids", "share", *batch.schema.names[2:]])
     return run
 
 
@@ -177,11 +177,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, pct: int = 80, k: int =
     ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     fields = "doc_id long, n_passages long, item_ids array<bigint>, share double"
-    found = [base.mapInArrow(_scan(x, pa.int64()), fields) for x in indexes(benchmark, pct, k)]
-    out = found[0]
-    if len(found) > 1:  # rows of one document from several shards
-        rows = [x.withColumn("shard", F.lit(i)) for i, x in enumerate(found)]
+    shards = list(indexes(benchmark, pct, k))
+    if len(shards) == 1:
+        out = base.mapInArrow(_scan(shards[0], pa.int64()), fields)
+    else:  # the shards' rows of one input row meet by a stored key of its own: ids may be null or there twice
+        keyed = store(base.withColumn("row", F.monotonically_increasing_id()), "rows")
+        rows = [keyed.mapInArrow(_scan(x, pa.int64()), f"{fields}, row long") for x in shards]
         for x in rows[1:]:
             rows[0] = rows[0].unionByName(x)
-        out = (rows[0].groupBy("doc_id").agg(F.max("n_passages").alias("n_passages"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.max("share").alias("share")))
+        out = (rows[0].groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_passages").alias("n_passages"),
+                                          F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.max("share").alias("share"))
+               .drop("row"))
     return out.withColumn("contaminated", F.size("item_ids") > 0)

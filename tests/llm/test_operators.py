@@ -160,6 +160,20 @@ def test_decontaminate(spark, docs):
     assert empty.where("contaminated").count() == 0 and empty.count() == d.count()
 
 
+def test_decontaminate_shards(spark, monkeypatch):
+    """Several shards of the index: each input row gives a row with its own items."""
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(12))) for i in range(9)]
+    text = dict(items)
+    rows = [(1, text[0] + " x " + text[5]), (2, text[3]), (2, text[4]), (2, "clean"), (3, text[7]), (3, text[7]), (None, text[1]), (None, text[8]), (None, None), (4, "")]
+    want = sorted([(1, [0, 5]), (2, [3]), (2, [4]), (2, []), (3, [7]), (3, [7]), (None, [1]), (None, [8]), (None, []), (4, [])], key=str)
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for n in (2_000, 3):
+        monkeypatch.setattr(decontaminate, "SHARD_ITEMS", n)
+        got = decontaminate.decontaminate(d, b)
+        assert got.columns == ["doc_id", "n_passages", "item_ids", "share", "contaminated"]
+        assert sorted(((r.doc_id, r.item_ids) for r in got.collect()), key=str) == want
+
+
 def test_quality(docs, labels, rows):
     import xxhash
     got = {r.doc_id: r for r in quality.quality_rules(docs, labels).collect() if r.doc_id is not None}
