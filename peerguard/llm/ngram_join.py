@@ -105,7 +105,9 @@ def keys_of(sh: np.ndarray, pct: int):
     """(kind, size or class, keys, tiny, spare) of a document's sorted distinct
     shingles: subset keys of a small set, block keys of a large one (and of a
     small one that can reach a large one). tiny: its blocks of fewer than two
-    shingles; they are left out where they are no more than the spare ones."""
+    shingles; the first of them by key, up to the spare ones, are left out here.
+    By the same order in every document, so that the last common block of two
+    documents that link is left out by neither."""
     s, x, out = len(sh), boundary(pct), []
     w = mix(sh + U64(0x51ED270B))
     if s <= x:
@@ -129,7 +131,7 @@ def keys_of(sh: np.ndarray, pct: int):
             few = int(tiny.sum())
             out.append((BLOCK, j, ks[~tiny], few, spare))
             if few > spare:
-                out.append((TINY, j, ks[tiny], few, spare))
+                out.append((TINY, j, np.sort(ks[tiny])[max(spare, 0):], few, spare))
     return out
 
 
@@ -191,15 +193,15 @@ def _lists(pct: int):
                 new[0] = False
             at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
             own = at >= 0
-            lead, ls, lfew = (np.where(own, x[at], 0 if last is None else y) for x, y in zip((doc, s, few), last[1] if last else (0, 0, 0)))
+            lead, ls, lfew, lspare = (np.where(own, x[at], 0 if last is None else y) for x, y in zip((doc, s, few, spare), last[1] if last else (0, 0, 0, 0)))
             second = ~new & np.append(last is not None and last[2], new[:-1])
-            last = ((kind[-1], key[-1], c[-1]), (lead[-1], ls[-1], lfew[-1]), bool(new[-1]))
+            last = ((kind[-1], key[-1], c[-1]), (lead[-1], ls[-1], lfew[-1], lspare[-1]), bool(new[-1]))
             linked = (lead != doc) & (kind == SUBSET) & (c.astype("int64") * (100 + pct) >= pct * (ls.astype("int64") + s))
             block = ~new & (kind >= BLOCK)
             second &= kind >= BLOCK
-            for sel, d, f, size in ((kind == DIGEST, doc, few, s), (linked, doc, few, s), (block, doc, few, s), (second, lead, lfew, ls)):
+            for sel, d, f, e, size in ((kind == DIGEST, doc, few, spare, s), (linked, doc, few, spare, s), (block, doc, few, spare, s), (second, lead, lfew, lspare, ls)):
                 if sel.any():
-                    yield pd.DataFrame({"kind": kind[sel], "key": key[sel], "c": c[sel], "a": lead[sel], "doc": d[sel], "few": f[sel], "spare": spare[sel], "s": size[sel]})
+                    yield pd.DataFrame({"kind": kind[sel], "key": key[sel], "c": c[sel], "a": lead[sel], "doc": d[sel], "few": f[sel], "spare": e[sel], "s": size[sel]})
     return run
 
 
@@ -434,11 +436,11 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85, id_col: str =
     same = digests.where("n_shingles > 0").join(equal, ["key", "c", "n_shingles"]).where("a <> doc").select("a", "doc")
     sure = same.unionByName(lists.where(f"kind = {SUBSET}").select("a", "doc"))
 
-    # each document leaves its last blocks out: tiny ones, then those of the longest lists
+    # each document leaves its last blocks out: tiny ones (keys_of has done so), then those of the longest lists
     block = lists.where(f"kind >= {BLOCK}").select("kind", "key", "c", "doc", "few", "spare", "s").distinct()
     sizes = block.groupBy("key").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("doc", "c").orderBy(F.desc("kind"), F.desc("n"), "key"))
-    left_out = F.col("spare") - F.when(F.col("few") <= F.col("spare"), F.col("few")).otherwise(0)
+    left_out = F.greatest(F.col("spare") - F.col("few"), F.lit(0))  # of the others; no tiny one is listed where it isn't 0
     shared = store(block.join(sizes, "key").withColumn("kept", place > left_out).select("key", "c", "doc", "few", "spare", "s", "kept"), "shared")
     kept = shared.where("kept").drop("kept")
     heads = kept.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")

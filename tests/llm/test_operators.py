@@ -96,6 +96,22 @@ def test_ngram_join_links_in_families(spark):
     assert 7 < len(set(top)) < len(rows)
 
 
+def test_ngram_join_isolated_pairs(spark):
+    """Pairs that share words with no other document: one list more or less decides."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for f in range(3000):
+        n = int(rng.integers(12, 61))
+        w = [f"f{f}w{i}" for i in range(n + 3)]
+        lost = int(rng.integers(0, 15 * n // 100 + 1))
+        cut = int(rng.integers(0, lost + 1))  # shingles that one or the other end lacks
+        rows += [(2 * f, " ".join(w[:n + 3 - cut])), (2 * f + 1, " ".join(w[lost - cut:]))]
+    sets = [{tuple(t.split()[i:i + 4]) for i in range(len(t.split()) - 3)} for _, t in rows]
+    linked = {(2 * f, 2 * f + 1) for f in range(3000) if 100 * len(sets[2 * f] & sets[2 * f + 1]) >= 85 * len(sets[2 * f] | sets[2 * f + 1])}
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(got[2 * f + 1], 2 * f + 1) for f in range(3000) if got[2 * f + 1] != 2 * f + 1} == linked and len(linked) > 2000
+
+
 def test_phrase_dedup(docs, rows):
     seen, want = set(), {}
     for i, t in rows:
