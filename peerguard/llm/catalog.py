@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, language, line_dedup, ngram_join, packing, phrase_dedup, quality, toxicity, warc
+from . import (decontaminate, histogram_sort, html_text, language, line_dedup, ngram_join, packing, phrase_dedup, quality, simplex_clusters, toxicity,
+               warc, whitening)
 from .common import table
+from .oracle import ORACLE
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +52,18 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.phrase_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex_clusters.simplex_clusters(table(spark, sf_dir, "embeddings"))[0].drop("compared")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))[0]
+
+
+def op13_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_sort.histogram_sort(table(spark, sf_dir, "documents")).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -61,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_language_id": op9_language_id,
     "op10_phrase_dedup": op10_phrase_dedup,
+    "op11_simplex_clusters": op11_simplex_clusters,
+    "op12_whitening": op12_whitening,
+    "op13_histogram_sort": op13_histogram_sort,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE"]
