@@ -29,3 +29,11 @@ def list_json(c: Column | str) -> Column:
 
 def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(_c(c).cast("string"), F.lit(""))
+
+
+def safe_date(c: Column | str) -> Column:
+    """A date, the date of a timestamp, or ``YYYY-MM-DD`` text (one or two
+    digits for month and day) as a date; NULL for other text."""
+    text = _c(c).cast("string")
+    stamp = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2}) \d{2}:\d{2}:\d{2}(\.\d+)?$", 1)
+    return F.try_to_date(F.when(stamp != "", stamp).otherwise(text), "yyyy-M-d")

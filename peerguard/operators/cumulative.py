@@ -1,49 +1,72 @@
-"""Exact running totals and quantiles without a single-task window.
+"""Exact running totals and quantiles without a large window.
 
-``running_totals`` orders rows by a numeric column (optionally within
-groups), cuts the order into at most ``n_buckets`` ranges per group using
-approximate quantile boundaries — a small array sent with the plan — sums
-each bucket, prefix-sums the bucket totals (a table of ≤ groups × n_buckets
-rows, broadcast) and windows each bucket separately. Totals are exact; the
-approximation only balances the work.
-"""
+``running_totals`` orders rows by a numeric column (optionally within groups) and
+cuts the order into ranges at approximate quantiles: FAN ranges, and each of those
+into as many again until a range holds WINDOW_ROWS rows or so. A range is a window
+of its own; the totals of the ranges before it are scanned level by level, in
+windows of at most FAN + 1 rows. Totals are exact; the approximation only balances
+the work."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a range, and ranges that a level cuts a range into.
+WINDOW_ROWS, FAN = 250_000, 256
 
-def _bounds(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    fr = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.select(F.percentile_approx(col, fr, 10000).alias("b")).first()
-    return sorted(set(row["b"] or [])) if row and row["b"] else []
 
+def _fractions(fan: int) -> list[float]:
+    return [i / fan for i in range(1, fan)]
 
-def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
-                   group_cols: list[str] | None = None, n_buckets: int = 256,
-                   suffix: str = "_cum") -> DataFrame:
+
+def _place(bounds: Column, x: Column, descending: bool) -> Column:
+    hit = (lambda b: b >= x) if descending else (lambda b: b < x)
+    return F.size(F.filter(F.array_distinct(bounds), hit)).cast("int")
+
+
+def _ranges(df: DataFrame, col: str, descending: bool, window_rows: int, fan: int) -> tuple[DataFrame, list[str]]:
+    """``df`` with a column for each level of its ranges. The first level's bounds
+    are a small array in the plan; a further level has an array for each range."""
+    x = F.col(col)
+    found = df.agg(F.count(x).alias("n"), F.percentile_approx(col, _fractions(fan), 10000).alias("b")).first()
+    bounds = F.array(*[F.lit(float(v)) for v in found["b"]]) if found["b"] else F.array().cast("array<double>")
+    df, levels, wide = df.withColumn("_b1", _place(bounds, x, descending)), ["_b1"], found["n"] / fan
+    while wide > window_rows:
+        inner = df.groupBy(*levels).agg(F.percentile_approx(col, _fractions(fan), 1000).alias("_bounds"))
+        name = f"_b{len(levels) + 1}"
+        df = df.join(inner, levels).withColumn(name, _place(F.col("_bounds"), x, descending)).drop("_bounds")
+        levels, wide = [*levels, name], wide / fan
+    return df, levels
+
+
+def range_offsets(totals: DataFrame, groups: list[str], levels: list[str], value_cols: list[str], prefix: str = "_o_") -> DataFrame:
+    """``totals``: a row for each (groups, levels). Returns the sums of all ranges
+    before each one: at every level those before it under the same parent."""
+    out = None
+    for i, level in enumerate(levels):
+        upto = levels[:i + 1]
+        sums = totals.groupBy(*groups, *upto).agg(*[F.sum(v).alias(v) for v in value_cols])
+        w = (Window.partitionBy(*groups, *levels[:i]) if groups or i else Window).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        part = sums.select(*groups, *upto, *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_p{i}_{v}") for v in value_cols])
+        out = part if out is None else out.join(part, [*groups, *levels[:i]])
+    return out.select(*groups, *levels, *[sum((F.col(f"_p{i}_{v}") for i in range(1, len(levels))), F.col(f"_p0_{v}")).alias(f"{prefix}{v}") for v in value_cols])
+
+
+def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False, group_cols: list[str] | None = None,
+                   suffix: str = "_cum", window_rows: int = WINDOW_ROWS, fan: int = FAN) -> DataFrame:
     """Adds ``<value>_cum`` = sum of ``value`` over rows of the same group whose
-    ``order_col`` comes before or at the row's (ties: row order inside a
-    bucket, so pass distinct order values for tie-free totals)."""
+    ``order_col`` comes before or at the row's (ties: row order inside a range, so
+    pass distinct order values for tie-free totals and ranges of bounded size)."""
     group_cols = group_cols or []
-    bounds = _bounds(df, order_col, n_buckets)
-    arr = F.array(*[F.lit(float(x)) for x in bounds]) if bounds else F.array().cast("array<double>")
+    b, levels = _ranges(df, order_col, descending, window_rows, fan)
+    totals = b.groupBy(*group_cols, *levels).agg(*[F.sum(v).alias(v) for v in value_cols])
+    offsets = range_offsets(totals, group_cols, levels, value_cols)
     x = F.col(order_col)
-    bucket = F.size(F.filter(arr, lambda b: b >= x)) if descending else F.size(F.filter(arr, lambda b: b < x))
-    b = df.withColumn("_bucket", bucket.cast("int"))
-    tot = b.groupBy(*group_cols, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    w_off = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1) \
-        if group_cols else Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select(*group_cols, "_bucket",
-                         *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    order = x.desc() if descending else x.asc()
-    w = Window.partitionBy(*group_cols, "_bucket").orderBy(order) \
+    w = Window.partitionBy(*group_cols, *levels).orderBy(x.desc() if descending else x.asc()) \
               .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # offsets: ≤ groups × n_buckets rows — a proven bound, broadcast
-    j = b.join(F.broadcast(offsets), [*group_cols, "_bucket"])
-    return j.select(*df.columns, *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"{v}{suffix}")
-                                   for v in value_cols])
+    j = b.join(offsets, [*group_cols, *levels])  # AQE broadcasts it while it is small
+    return j.select(*df.columns, *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols])
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: list[float], group_cols: list[str] | None = None) -> DataFrame:

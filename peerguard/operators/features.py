@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CLAIM_COLUMNS, FEATURE_COLS, PEER_STATS_COLUMNS
 from ..session import materialize
+from .cumulative import exact_quantiles
 from .ingest import dedup_claims
 from .joins import Small, checked, in_parallel, write_table
 
@@ -35,10 +36,13 @@ STD_COLS = ["reimbursement_stddev", "los_stddev", "peer_visit_freq_stddev"]
 class FeatureParams:
     """``baseline``: "provider" (z against the provider's own claims, the
     code's behaviour) or "peer_group" (against the specialty × claim-type
-    group, the documented formula). Cuts of the code-severity outlier flag."""
+    group, the documented formula). Cuts of the code-severity outlier flag.
+    ``running_ytd``: a claim's visits are counted up to its date, not over the
+    whole year (D6)."""
     baseline: str = "provider"
     severity_cut: float = 0.9
     high_sev_cut: float = 0.3
+    running_ytd: bool = False
 
 
 def _std(c: str) -> Column:
@@ -52,6 +56,23 @@ def visit_counts(claims: DataFrame) -> DataFrame:
     return claims.groupBy(*VISIT_KEY).agg(F.count(F.lit(1)).alias("visit_count"))
 
 
+def running_visits(claims: DataFrame) -> DataFrame:
+    """D6 option: claims of the (beneficiary, provider, year) up to each date, ties
+    of a date included. Claims are counted by date first, so that a window holds
+    the dates of one year, 366 at most, however many claims a key has."""
+    per_date = claims.groupBy(*VISIT_KEY, "claim_start_date").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*VISIT_KEY).orderBy("claim_start_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_date.select(*VISIT_KEY, "claim_start_date", F.sum("n").over(w).alias("visit_count"))
+
+
+def with_visits(claims: DataFrame, running: bool = False) -> DataFrame:
+    """(claim_id, visit_count) of each claim with its visits: of the whole year (the
+    default) or up to the claim's date."""
+    key = [*VISIT_KEY, "claim_start_date"] if running else VISIT_KEY
+    visits = running_visits(claims) if running else visit_counts(claims)
+    return claims.select("claim_id", *key).join(visits, key, "left").select("claim_id", "visit_count")
+
+
 def provider_visit_frequency(visits: DataFrame) -> DataFrame:
     """A3 (D5 grain): one row per provider, mean over all its (beneficiary,
     year) visit counts."""
@@ -76,27 +97,31 @@ def provider_stats(claims: DataFrame, baseline: str = "provider") -> DataFrame:
 
 
 def fill_std_with_median(stats: DataFrame, cols: list[str] = STD_COLS) -> DataFrame:
-    """A zero or missing std takes the median of that column's
-    non-zero values over all provider rows (exact median, scalar subquery)."""
+    """A zero or missing std takes the median of that column's non-zero
+    values over all provider rows (exact; one distributed pass for all columns)."""
+    long = stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.when(F.col(c) != 0, F.col(c)).alias("std")) for c in cols])).alias("x"))
+    found = {r["name"]: r["value"] for r in exact_quantiles(long.select("x.name", "x.std").where("std is not null"), "std", [0.5], ["name"]).collect()}
     out = stats
     for c in cols:
-        nz = F.when(F.col(c) != 0, F.col(c))
-        med = stats.select(F.median(nz)).scalar()
-        out = out.withColumn(c, F.coalesce(nz, med))
+        out = out.withColumn(c, F.coalesce(F.when(F.col(c) != 0, F.col(c)), F.lit(found.get(c)).cast("double")))
     return out
 
 
 def compute_peer_group_stats(claims: DataFrame, baseline: str = "provider") -> DataFrame:
     """Provider stats ⟕ provider visit frequency ⋈ peer-group visit
     mean/std, then the median fill. One row per (specialty, type, provider)."""
-    stats = provider_stats(claims, baseline).join(
-        provider_visit_frequency(visit_counts(claims)), "provider_id", "left")
+    return finish_peer_stats(provider_stats(claims, baseline), provider_visit_frequency(visit_counts(claims)))
+
+
+def finish_peer_stats(provider: DataFrame, frequency: DataFrame) -> DataFrame:
+    """Provider statistics and visit frequencies -> the peer statistics table."""
+    stats = provider.join(frequency, "provider_id", "left")
     peer = stats.groupBy(*PEER_KEY).agg(
         F.avg("avg_visit_freq_per_bene").alias("peer_avg_visit_freq"),
         _std("avg_visit_freq_per_bene").alias("peer_visit_freq_stddev"))
-    # provider grain: checkpointed once, so the (merged) median subqueries and
-    # the fill read it instead of re-running the aggregation chain
-    base = materialize(stats.join(peer, PEER_KEY))
+    # provider grain: written once, so the medians and the fill read it
+    # instead of re-running the aggregation chain
+    base = write_table(stats.join(peer, PEER_KEY), "provider_stats")
     return fill_std_with_median(base).select(*PEER_STATS_COLUMNS)
 
 
@@ -142,6 +167,23 @@ def provider_code_counts(claims: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_occurrences"))
 
 
+def compute_provider_code_frequency(counts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A8 lookup: how often each asked provider bills the code; 0 where never.
+    ``counts`` is :func:`provider_code_counts`, ``pairs`` has provider_id and code."""
+    asked = pairs.select("provider_id", "code").distinct()
+    return asked.join(counts, ["provider_id", "code"], "left").select("provider_id", "code", F.coalesce("n_occurrences", F.lit(0)).alias("n_occurrences"))
+
+
+def compute_code_severity_percentile(claims: DataFrame, weights: DataFrame) -> DataFrame:
+    """(claim_id, code_severity_percentile) of every claim for given code
+    weights: the highest severity among its codes, 0 without a known code, 0.5
+    where there are no weights at all."""
+    sev = code_severity_table(weights).select("code", "severity")
+    best = code_occurrences(claims, ["claim_id"]).join(sev, "code").groupBy("claim_id").agg(F.max("severity").alias("_sev"))
+    none = F.when(weights.select(F.count(F.lit(1)) == 0).scalar(), F.lit(0.5)).otherwise(F.lit(0.0))
+    return claims.select("claim_id").join(best, "claim_id", "left").select("claim_id", F.coalesce("_sev", none).alias("code_severity_percentile"))
+
+
 def provider_high_severity_share(claims: DataFrame, severity: Small) -> DataFrame:
     """A5: share of a provider's code occurrences whose code mean ≥ p90."""
     sev = severity.df.select("code", "is_high_severity")
@@ -183,8 +225,7 @@ def compute_all_features(claims: DataFrame, params: FeatureParams = FeatureParam
         lambda: checked(peer_stats if peer_stats is not None else compute_peer_group_stats(c, params.baseline)),
         severity_and_share)
 
-    visits = c.select("claim_id", *VISIT_KEY).join(visit_counts(c), VISIT_KEY, "left") \
-              .select("claim_id", "visit_count")
+    visits = with_visits(c, params.running_ytd)
     sev = claim_code_severity(c, severity)
     ps = peer.df.select(*PROVIDER_KEY, "avg_reimbursement", "reimbursement_stddev",
                         "avg_length_of_stay", "los_stddev", "peer_avg_visit_freq", "peer_visit_freq_stddev")

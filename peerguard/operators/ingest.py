@@ -14,6 +14,7 @@ from ..functions import parsing as P
 from ..schemas import (CLAIM_COLUMNS, CLAIM_FILES, DIAGNOSIS_PREFIX, HCPCS_PREFIX, N_DIAGNOSIS_COLS,
                        N_HCPCS_COLS, N_PROCEDURE_COLS, PROCEDURE_PREFIX, SPECIALTY_COLUMN,
                        UNKNOWN_SPECIALTY)
+from ..sources.csv_files import CORRUPT, whole_lines
 
 
 def _col(df: DataFrame, name: str) -> Column:
@@ -28,7 +29,7 @@ def provider_specialty_map(carrier_raw: DataFrame) -> DataFrame:
     prov = P.blank_to_null(_col(carrier_raw, "PRVDR_NUM"))
     spec = P.blank_to_null(_col(carrier_raw, SPECIALTY_COLUMN))
     key = F.concat(F.coalesce(F.trim(_col(carrier_raw, "CLM_ID")), F.lit("")), F.lit("|"), spec)
-    return (carrier_raw.select(prov.alias("provider_id"), spec.alias("specialty"), key.alias("k"))
+    return (whole_lines(carrier_raw).select(prov.alias("provider_id"), spec.alias("specialty"), key.alias("k"))
             .where(F.col("provider_id").isNotNull() & F.col("specialty").isNotNull())
             .groupBy("provider_id")
             .agg(F.min_by("specialty", "k").alias("mapped_specialty")))
@@ -51,7 +52,9 @@ def normalize_claim_file(raw: DataFrame, claim_type: str) -> DataFrame:
     empty = F.array().cast("array<string>")
     dx = P.collect_codes(dx_cols) if dx_cols else empty
     px = P.collect_codes(px_cols) if px_cols else empty
-    reason = (F.when(claim_id.isNull(), F.lit("dropped"))
+    broken = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    reason = (F.when(broken.isNotNull(), F.lit("corrupt"))  # its cells may stand in the wrong columns
+               .when(claim_id.isNull(), F.lit("dropped"))
                .when(bene.isNull() | prov.isNull(), F.lit("dropped"))
                .when(start.isNull(), F.lit("malformed")))
     ctype = F.lit(claim_type)
@@ -102,7 +105,7 @@ def rejected(normalized: DataFrame) -> DataFrame:
 
 
 def reject_counts(normalized: DataFrame) -> DataFrame:
-    """Rows per (claim_type, outcome) with outcome accepted/dropped/malformed."""
+    """Rows per (claim_type, outcome) with outcome accepted/dropped/malformed/corrupt."""
     return (normalized.groupBy("claim_type",
                                F.coalesce(F.col("reject_reason"), F.lit("accepted")).alias("outcome"))
             .agg(F.count(F.lit(1)).alias("n_rows")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as P
 from ..schemas import DEFAULT_BIRTH_YEAR
+from ..sources.csv_files import whole_lines
 
 
 def latest_year_claim_counts(claims: DataFrame) -> DataFrame:
@@ -17,7 +18,9 @@ def latest_year_claim_counts(claims: DataFrame) -> DataFrame:
 
 def build_beneficiary_profiles(bene_raw: DataFrame, claims: DataFrame) -> DataFrame:
     """One row per beneficiary-file row: id, birth year (default 1940),
-    sorted chronic-condition names, latest-year claim count (0 when none)."""
+    sorted chronic-condition names, latest-year claim count (0 when none). Broken
+    lines of the file are left out (csv_files.broken_lines has them)."""
+    bene_raw = whole_lines(bene_raw)
     flags = [c for c in bene_raw.columns if c.startswith("SP_")]
     prof = bene_raw.select(
         F.col("DESYNPUF_ID").cast("string").alias("beneficiary_id"),

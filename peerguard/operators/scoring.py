@@ -1,11 +1,15 @@
 """Claim scoring.
 
 The scorer is a Column expression (the heuristic, default and oracle-checkable)
-or a fitted ``pyspark.ml`` model applied with ``transform`` (``score_with_model``).
+or another :class:`Scorer`: a fitted ``pyspark.ml`` model, or a function from
+outside that is loaded once in each Python worker.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,8 +91,54 @@ def flag_events(scored: DataFrame, flag_date: Column | None = None, ts: Column |
     return f.select(F.col("claim_id").alias("key"), F.to_json(body).alias("value"))
 
 
-def score_with_model(model, claims: DataFrame, threshold: Column | float = DEFAULT_THRESHOLD) -> DataFrame:
-    """the same scoring contract with a fitted ``pyspark.ml`` model as the
-    scorer — the positive-class probability replaces the heuristic sum."""
+@dataclass(frozen=True)
+class Scorer:
+    """what scores a claim. ``apply`` adds the unclamped score as ``raw_score``
+    to a frame (batch or stream) that has the feature columns."""
+    apply: Callable[[DataFrame], DataFrame]
+    model_loaded: bool
+
+
+def _filled(claims: DataFrame) -> DataFrame:
+    """Feature columns without nulls (a missing feature is 0)."""
+    return claims.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLS})
+
+
+def heuristic_scorer(share_divisor: float = 100.0) -> Scorer:
+    return Scorer(lambda claims: claims.withColumn("raw_score", heuristic_score(share_divisor)), False)
+
+
+def model_scorer(model) -> Scorer:
+    """A fitted pipeline, or the folder of a saved one, which is loaded once, on
+    the driver; the trees travel with the tasks."""
+    if isinstance(model, str):
+        from pyspark.ml import PipelineModel
+        model = PipelineModel.load(model)
     from .ml import predict_proba
-    return score_claims(predict_proba(model, claims), threshold, raw_score=F.col("proba"))
+
+    def apply(claims: DataFrame) -> DataFrame:
+        own = claims.select("*", *[F.col(c).alias(f"_own_{c}") for c in FEATURE_COLS])
+        scored = predict_proba(model, _filled(own)).withColumnRenamed("proba", "raw_score")
+        return scored.withColumns({c: F.col(f"_own_{c}") for c in FEATURE_COLS}).drop(*[f"_own_{c}" for c in FEATURE_COLS])
+    return Scorer(apply, True)
+
+
+def plugin_scorer(load: Callable[[], Callable], batch_rows: int = 4096) -> Scorer:
+    """A model from outside: ``load`` runs once in each Python worker and gives a
+    function of a (rows, features) array that returns the rows' scores."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import DoubleType
+    score = predict_batch_udf(load, return_type=DoubleType(), batch_size=batch_rows, input_tensor_shapes=[[len(FEATURE_COLS)]])
+    vector = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLS])
+    return Scorer(lambda claims: claims.withColumn("raw_score", score(vector)), True)
+
+
+def saved_scorer(spark: SparkSession, path: str | None) -> Scorer:
+    """The saved model if there is one, else the heuristic."""
+    from ..session import path_exists
+    return model_scorer(path) if path and path_exists(spark, path) else heuristic_scorer()
+
+
+def score_with(scorer: Scorer, claims: DataFrame, threshold: Column | float = DEFAULT_THRESHOLD) -> DataFrame:
+    """The scoring contract (clamp, flag, drivers) with any scorer."""
+    return score_claims(scorer.apply(claims), threshold, raw_score=F.col("raw_score")).drop("raw_score")

@@ -2,14 +2,14 @@
 
 The reference keeps five wide-row tables keyed for point and range reads.
 Here each is a Parquet table laid out for the same access path:
-  * claims_by_id        — range-partitioned and sorted by claim_id: a point
-                          read touches one file via min/max statistics;
+  * claims_by_id        — in buckets of claim_id: a point read opens one file,
+                          joins by id need no exchange;
   * claims_by_provider  — range-partitioned and sorted by (provider, date,
                           claim): a hot provider spreads over several files
                           instead of one skewed writer task;
   * provider_peer_stats — keyed (specialty, provider, claim_type) (D11);
-  * beneficiary_profile — keyed by beneficiary;
-  * flagged_claims      — partitioned by flag_date, sorted by score desc.
+  * beneficiary_profile — in buckets of beneficiary_id;
+  * flagged_claims      — day partitions, sorted by score desc (storage/keyed.py).
 "Last write wins" is an explicit ``row_number() = 1`` with a stated order.
 """
 
@@ -18,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.safe import list_json, safe_float, safe_int, text_or_empty
+from ..functions.safe import list_json, safe_date, safe_float, safe_int, text_or_empty
 from ..schemas import PEER_STATS_COLUMNS
+from ..storage.bucketed import read_id, read_ids, write_bucketed
 
 
 def last_write_wins(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -35,7 +36,7 @@ def _claim_values(df: DataFrame) -> list[Column]:
         text_or_empty("beneficiary_id").alias("beneficiary_id"),
         text_or_empty("provider_specialty").alias("provider_specialty"),
         text_or_empty("claim_type").alias("claim_type"),
-        F.col("claim_end_date").cast("date").alias("claim_end_date"),
+        safe_date("claim_end_date").alias("claim_end_date"),
         text_or_empty("admit_diagnosis_cd").alias("admit_diagnosis_cd"),
         list_json("diagnosis_codes").alias("diagnosis_codes"),
         list_json("procedure_codes").alias("procedure_codes"),
@@ -63,7 +64,7 @@ def claims_by_id(labeled: DataFrame) -> DataFrame:
     """K3: serving rows keyed by claim_id (lists as JSON text, safe numbers)."""
     rows = labeled.select(text_or_empty("claim_id").alias("claim_id"),
                           text_or_empty("provider_id").alias("provider_id"),
-                          F.col("claim_start_date").cast("date").alias("claim_start_date"),
+                          safe_date("claim_start_date").alias("claim_start_date"),
                           safe_int("claim_year").alias("claim_year"), *_claim_values(labeled))
     return last_write_wins(rows, ["claim_id"], _claim_order())
 
@@ -71,7 +72,7 @@ def claims_by_id(labeled: DataFrame) -> DataFrame:
 def claims_by_provider(labeled: DataFrame) -> DataFrame:
     """K4: the same rows keyed by (provider_id, claim_start_date, claim_id)."""
     rows = labeled.select(text_or_empty("provider_id").alias("provider_id"),
-                          F.col("claim_start_date").cast("date").alias("claim_start_date"),
+                          safe_date("claim_start_date").alias("claim_start_date"),
                           text_or_empty("claim_id").alias("claim_id"), *_claim_values(labeled))
     return last_write_wins(rows, ["provider_id", "claim_start_date", "claim_id"], _claim_order())
 
@@ -105,9 +106,14 @@ def beneficiary_table(profiles: DataFrame) -> DataFrame:
 
 # --- sinks: table layouts ------------------------------------------------------
 
-def write_claims_by_id(table: DataFrame, path: str, n_files: int | None = None) -> None:
-    df = table.repartitionByRange(n_files, "claim_id") if n_files else table.repartitionByRange("claim_id")
-    df.sortWithinPartitions("claim_id").write.mode("overwrite").parquet(path)
+def write_claims_by_id(table: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """K3's table in buckets of claim_id (storage/bucketed.py)."""
+    return write_bucketed(table, "claim_id", buckets, path)
+
+
+def write_beneficiaries(table: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """K6's table in buckets of beneficiary_id."""
+    return write_bucketed(table, "beneficiary_id", buckets, path)
 
 
 def write_claims_by_provider(table: DataFrame, path: str, n_files: int | None = None) -> None:
@@ -118,10 +124,15 @@ def write_claims_by_provider(table: DataFrame, path: str, n_files: int | None =
 
 # --- read paths ------------------------------------------------------------------
 
+def claim_by_id(claims_table: DataFrame, claim_id: str) -> DataFrame:
+    """The claim's row, read from the one bucket that can hold it."""
+    return read_id(claims_table, "claim_id", claim_id)
+
+
 def lookup_claims(claims_table: DataFrame, requests: DataFrame) -> DataFrame:
     """S6 as a batch of point reads: the requested claim ids (a frame with a
     ``claim_id`` column) against the id-keyed table (left semi join)."""
-    return claims_table.join(requests.select("claim_id").distinct(), "claim_id", "left_semi")
+    return read_ids(claims_table, "claim_id", requests)
 
 
 def provider_claims_between(by_provider: DataFrame, start: str, end: str,
@@ -136,7 +147,7 @@ def provider_claims_between(by_provider: DataFrame, start: str, end: str,
 
 def lookup_beneficiaries(bene_table: DataFrame, requests: DataFrame) -> DataFrame:
     """Beneficiary rows for the requested ids."""
-    return bene_table.join(requests.select("beneficiary_id").distinct(), "beneficiary_id", "left_semi")
+    return read_ids(bene_table, "beneficiary_id", requests)
 
 
 def audit_queue(flagged: DataFrame, n: int = 10, flag_date: str | None = None) -> DataFrame:

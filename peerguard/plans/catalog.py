@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
-from ..sources.adapters import claims_from_tpch
+from ..sources.adapters import claims_from_tpch, with_rewrites, with_stale_claims
 from . import oracle as O
 from .views import feature_view, r6
 
@@ -33,8 +33,9 @@ def register(name: str, sql: str | None = None):
 
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter claims, deduplicated on claim_id and checkpointed."""
-    return feat.prepare_claims(claims_from_tpch(spark, sf_dir))
+    """Adapter claims with planted older versions, deduplicated on claim_id and
+    written (D18)."""
+    return feat.prepare_claims(with_stale_claims(claims_from_tpch(spark, sf_dir)))
 
 
 def _featured(spark: SparkSession, sf_dir: str, high_sev_cut: float = DRIVER_HIGH_SEV_CUT,
@@ -329,7 +330,6 @@ from ..operators import metrics as met  # noqa: E402
 from ..operators import ml  # noqa: E402
 from ..operators import scoring as sc  # noqa: E402
 from ..operators import serving as sv  # noqa: E402
-from ..operators.joins import checked  # noqa: E402
 from ..sources.tables import table  # noqa: E402
 from ..streaming import audit as au  # noqa: E402
 from ..streaming import scoring as ss  # noqa: E402
@@ -363,28 +363,36 @@ def q_scored_claims_peer_lookup(spark, sf_dir):
     """Scores enriched with the provider's peer stats read by
     (specialty, provider), first row of the D11 one-row view."""
     c = _claims(spark, sf_dir)
-    peer = checked(sv.peer_stats_legacy_one_row(sv.peer_stats_table(feat.compute_peer_group_stats(c))))
+    peer = write_table(sv.peer_stats_legacy_one_row(sv.peer_stats_table(feat.compute_peer_group_stats(c))), "peer_one_row")
     f = feat.compute_all_features(c, feat.FeatureParams(high_sev_cut=DRIVER_HIGH_SEV_CUT), prepared=True)
-    s = sc.with_peer_stats(sc.score_claims(f, 0.5), peer.df, sc.PEER_KEY_LEGACY)
+    s = sc.with_peer_stats(sc.score_claims(f, 0.5), peer, sc.PEER_KEY_LEGACY)
     return s.select("claim_id", r6("score"), "flagged",
                     F.col("provider_peer_stats.claim_type").alias("peer_claim_type"),
                     F.col("provider_peer_stats.n_claims").alias("peer_n_claims"),
                     F.round("provider_peer_stats.avg_reimbursement", 6).alias("peer_avg_reimbursement"))
 
 
-@register("flag_event_messages",
-          FEATURE_CHAIN + "," + O.scored().strip("\n") +
-          "\nSELECT s.claim_id, s.provider_id, round(s.score, 6) AS score, d.driver_features, "
-          "strftime(current_date, '%Y-%m-%d') AS flag_date FROM scored s JOIN drivers d USING (claim_id) "
-          "WHERE s.flagged")
+#: The clock of the checked flag events, and a threshold that part of the claims reach.
+FLAG_DAY, FLAG_TIME, FLAG_AT = "2024-05-06", "2024-05-06 07:08:09.000010", 0.95
+FLAG_CHAIN = FEATURE_CHAIN + "," + O.scored(threshold=str(FLAG_AT)).strip("\n")
+
+
+def _flag_clock():
+    return F.lit(FLAG_DAY).cast("date"), F.lit(FLAG_TIME).cast("timestamp_ntz").cast("timestamp")
+
+
+@register("flag_event_messages", FLAG_CHAIN + f"""
+SELECT s.claim_id, s.provider_id, round(s.score, 6) AS score, d.driver_features, '{FLAG_DAY}' AS flag_date,
+       '{FLAG_TIME.replace(" ", "T")}Z' AS timestamp
+FROM scored s JOIN drivers d USING (claim_id) WHERE s.flagged""")
 def q_flag_event_messages(spark, sf_dir):
     """One JSON message per flagged claim, read back field by field."""
-    ev = sc.flag_events(sc.score_claims(_featured(spark, sf_dir), 0.5))
+    ev = sc.flag_events(sc.score_claims(_featured(spark, sf_dir), FLAG_AT), *_flag_clock())
     m = F.from_json("value", "claim_id string, provider_id string, score double, "
                              "driver_features array<string>, flag_date string, timestamp string")
     return ev.select(m.alias("m")).select("m.claim_id", "m.provider_id", F.round("m.score", 6).alias("score"),
                                            F.array_join("m.driver_features", "|").alias("driver_features"),
-                                           "m.flag_date")
+                                           "m.flag_date", "m.timestamp")
 
 
 # --- flag events → audit table (batch and stream) -------------------------------
@@ -401,8 +409,8 @@ REJECT_SQL = O.with_ctes(O.EVENT_ROWS) + \
 @register("flagged_claims_from_events", AUDIT_SQL)
 def q_flagged_claims_from_events(spark, sf_dir):
     """X2 (batch form) + P27, P28, K7 key dedup: messages → audit rows."""
-    rows = au.to_audit_rows(ad.flag_messages_from_events(spark, sf_dir))
-    return _audit_view(sv.last_write_wins(au.accepted_rows(rows), au.AUDIT_KEY, [F.col("provider_id")]))
+    rows = au.to_audit_rows(ad.with_resent(ad.flag_messages_from_events(spark, sf_dir))).where(F.col("reject_reason").isNull())
+    return _audit_view(sv.last_write_wins(rows, au.AUDIT_KEY, [F.col("event_time").desc()]))
 
 
 @register("flag_event_rejects", REJECT_SQL)
@@ -412,17 +420,18 @@ def q_flag_event_rejects(spark, sf_dir):
     return au.rejected_rows(rows).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _write_messages(spark: SparkSession, sf_dir: str) -> str:
+def _write_messages(spark: SparkSession, sf_dir: str, resent: bool = False) -> str:
     src = scratch_path(spark, "flag_messages")
-    ad.flag_messages_from_events(spark, sf_dir).select("value").write.mode("overwrite").text(src)
+    messages = ad.flag_messages_from_events(spark, sf_dir)
+    (ad.with_resent(messages) if resent else messages).select("value").write.mode("overwrite").text(src)
     return src
 
 
 @register("audit_stream_table", AUDIT_SQL)
 def q_audit_stream_table(spark, sf_dir):
     """X2/X3/K7 streaming: JSON-lines source → availableNow micro-batches →
-    foreachBatch per-epoch sink → deduplicated audit table."""
-    src = _write_messages(spark, sf_dir)
+    foreachBatch merge into day partitions."""
+    src = _write_messages(spark, sf_dir, resent=True)
     table = scratch_path(spark, "audit_table")
     au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
     return _audit_view(au.read_audit_table(spark, table))
@@ -432,7 +441,7 @@ def q_audit_stream_table(spark, sf_dir):
 def q_audit_stream_replay(spark, sf_dir):
     """The same input consumed twice (a replay with a fresh checkpoint)
     into the same table gives the same table."""
-    src = _write_messages(spark, sf_dir)
+    src = _write_messages(spark, sf_dir, resent=True)
     table = scratch_path(spark, "audit_table")
     au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
     au.run_audit_stream(spark, src, table, scratch_path(spark, "audit_ckpt"))
@@ -451,7 +460,7 @@ def q_audit_stream_two_sources(spark, sf_dir):
     """Two streams with a checkpoint of their own write one table. The
     first has all claims but those whose id ends in 4; the second those with an
     even last digit, under another provider. The table is the keyed union, in
-    which the later run wins."""
+    which the later write wins."""
     m = ad.flag_messages_from_events(spark, sf_dir).select("value", F.get_json_object("value", "$.claim_id").alias("id"))
     last = F.coalesce(F.substring("id", -1, 1), F.lit(""))
     again = F.regexp_replace("value", '"provider_id":"', '"provider_id":"2-')
@@ -497,9 +506,9 @@ def q_scoring_stream_scores(spark, sf_dir):
      .withColumn("claim_start_date", F.date_format("claim_start_date", "yyyy-MM-dd")) \
      .write.mode("overwrite").json(req_dir)
     c = _claims(spark, sf_dir)
-    peer = checked(sv.peer_stats_table(feat.compute_peer_group_stats(c)))
+    peer = write_table(sv.peer_stats_table(feat.compute_peer_group_stats(c)), "peer_table")
     out = scratch_path(spark, "score_out")
-    ss.run_scoring_stream(spark, req_dir, peer.df, out, scratch_path(spark, "score_events"),
+    ss.run_scoring_stream(spark, req_dir, peer, out, scratch_path(spark, "score_events"),
                           scratch_path(spark, "score_ckpt"), 0.5)
     return ss.read_scores(spark, out).select("claim_id", "score", "flagged", "threshold", "message")
 
@@ -518,7 +527,7 @@ def q_scoring_request_rejects(spark, sf_dir):
                     F.when(F.col("r") == 0, "abc").otherwise("1.5").alias("reimbursement_zscore"), F.when(F.col("r") == 3, "2x").otherwise("2").alias("length_of_stay_days"))
     src = scratch_path(spark, "score_requests")
     e.select(F.when(F.col("r") == 2, F.lit("{broken")).otherwise(F.to_json(body)).alias("value")).write.text(src)
-    peer = sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir)))
+    peer = write_table(sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir))), "peer_table")
     out = scratch_path(spark, "score_out")
     ss.run_scoring_stream(spark, src, peer, out, scratch_path(spark, "score_events"), scratch_path(spark, "score_ckpt"), 0.5)
     return ss.read_request_rejects(spark, out).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -544,11 +553,9 @@ def _serving_claim_view(df: DataFrame) -> DataFrame:
 
 @register("serving_claims_by_id", SERVING_LABELED + f"\nSELECT {O.SERVING_CLAIM_OUT} FROM labeled_s")
 def q_serving_claims_by_id(spark, sf_dir):
-    """K3 + W3 + P23–P26: id-keyed serving rows, written range-partitioned and
-    sorted by claim_id, read back."""
-    path = scratch_path(spark, "claims_by_id")
-    sv.write_claims_by_id(sv.claims_by_id(_labeled(spark, sf_dir)), path)
-    return _serving_claim_view(spark.read.parquet(path))
+    """K3 + W3 + P23–P26: id-keyed serving rows, written in buckets of claim_id,
+    read back; of the planted versions of a claim one stays."""
+    return _serving_claim_view(sv.write_claims_by_id(sv.claims_by_id(with_rewrites(_labeled(spark, sf_dir)))))
 
 
 @register("serving_claims_by_provider_range", SERVING_LABELED + f"""
@@ -560,7 +567,7 @@ def q_serving_claims_by_provider_range(spark, sf_dir):
     a date range, ordered by (provider, date, claim). The range predicate is
     pushed to the Parquet scan."""
     path = scratch_path(spark, "claims_by_provider")
-    sv.write_claims_by_provider(sv.claims_by_provider(_labeled(spark, sf_dir)), path)
+    sv.write_claims_by_provider(sv.claims_by_provider(with_rewrites(_labeled(spark, sf_dir))), path)
     r = sv.provider_claims_between(spark.read.parquet(path), "1995-01-01", "1998-12-31")
     return r.select("provider_id", F.date_format("claim_start_date", "yyyy-MM-dd").alias("claim_start_date"),
                     "claim_id", r6("reimbursement_amt"), "label")
@@ -594,19 +601,20 @@ def q_serving_peer_stats_legacy_one_row(spark, sf_dir):
           "string_split(nullif(chronic_conditions, ''), '|'), lambda x: '\"' || x || '\"')) || ']' "
           "AS chronic_conditions, claim_count_ytd FROM bene_profile")
 def q_serving_beneficiary_profile(spark, sf_dir):
-    """K6: beneficiary rows with conditions as JSON text."""
+    """K6: beneficiary rows with conditions as JSON text, written in buckets of
+    beneficiary_id, read back."""
     bene = ad.raw_beneficiaries_from_tpch(spark, sf_dir)
     p = build_beneficiary_profiles(bene, _claims(spark, sf_dir))
-    return sv.beneficiary_table(p)
+    return sv.write_beneficiaries(sv.beneficiary_table(p))
 
 
 @register("lookup_positive_claims_by_id", SERVING_LABELED +
           f"\nSELECT {O.SERVING_CLAIM_OUT} FROM labeled_s WHERE label = 1")
 def q_lookup_positive_claims_by_id(spark, sf_dir):
-    """S6 as batched point reads: the id-keyed table probed with every
+    """S6 as batched point reads: the stored id-keyed table probed with every
     positive claim id (left semi join)."""
     labeled = _labeled(spark, sf_dir)
-    table = sv.claims_by_id(labeled)
+    table = sv.write_claims_by_id(sv.claims_by_id(labeled))
     return _serving_claim_view(sv.lookup_claims(table, labeled.where(F.col("label") == 1)))
 
 
@@ -615,10 +623,11 @@ def q_lookup_positive_claims_by_id(spark, sf_dir):
           "\nSELECT beneficiary_id, birth_year, claim_count_ytd FROM bene_profile "
           "WHERE beneficiary_id IN (SELECT beneficiary_id FROM labeled_s WHERE label = 1)")
 def q_lookup_beneficiaries_of_positives(spark, sf_dir):
-    """Beneficiary rows for the beneficiaries of positive claims."""
+    """Rows of the stored beneficiary table for the beneficiaries of positive
+    claims."""
     labeled = _labeled(spark, sf_dir)
     bene = ad.raw_beneficiaries_from_tpch(spark, sf_dir)
-    p = sv.beneficiary_table(build_beneficiary_profiles(bene, _claims(spark, sf_dir)))
+    p = sv.write_beneficiaries(sv.beneficiary_table(build_beneficiary_profiles(bene, _claims(spark, sf_dir))))
     return sv.lookup_beneficiaries(p, labeled.where(F.col("label") == 1)).select(
         "beneficiary_id", "birth_year", "claim_count_ytd")
 
@@ -806,15 +815,14 @@ def q_distinct_counts(spark, sf_dir):
 # --- model (rows-only: no SQL oracle for a fitted GBT) ---------------------------------
 @register("gbt_model_report")
 def q_gbt_model_report(spark, sf_dir):
-    """Boosted trees (200 rounds, rate 0.1, depth 5,
-    balanced class weights) on the train split, evaluated on the test split;
-    metrics, confusion counts and permutation importances (10 repeats)."""
-    from ..session import materialize
-    s = materialize(ml.stratified_split(_labeled(spark, sf_dir)))
-    model = ml.train_gbt(s.where(F.col("split") == "train"))
-    path = scratch_path(spark, "gbt_model")
-    model.write().overwrite().save(path)  # K10: the model artifact
-    return ml.model_report(model, s.where(F.col("split") == "test"))
+    """Boosted trees (200 rounds, rate 0.1, depth 5, balanced class
+    weights) on the resampled train split; the run's tables are written for the
+    test split and read back: metrics and permutation importances (10 repeats)."""
+    s = write_table(ml.stratified_split(_labeled(spark, sf_dir)), "split")
+    model = ml.train_on_resampled(s.where(F.col("split") == "train"))
+    path = scratch_path(spark, "model_run")
+    ml.write_model_run(model, s.where(F.col("split") == "test"), path)
+    return ml.read_model_run(spark, path).select("kind", "name", "value", "rank")
 
 
 # --- end-to-end batch plan and stream-to-stream flow ---------------------------------
@@ -839,8 +847,8 @@ def q_batch_build_and_label(spark, sf_dir):
     return _label_view(spark.read.parquet(f"{out}/claims_labeled.parquet"))
 
 
-@register("scoring_to_audit_stream", FEATURE_CHAIN + "," + O.scored().strip("\n") + """
-SELECT strftime(current_date, '%Y-%m-%d') AS flag_date, round(s.score, 6) AS score, s.claim_id, s.provider_id,
+@register("scoring_to_audit_stream", FLAG_CHAIN + f"""
+SELECT '{FLAG_DAY}' AS flag_date, round(s.score, 6) AS score, s.claim_id, s.provider_id,
        '["' || replace(d.driver_features, '|', '","') || '"]' AS driver_features
 FROM scored s JOIN drivers d USING (claim_id) WHERE s.flagged""")
 def q_scoring_to_audit_stream(spark, sf_dir):
@@ -850,10 +858,10 @@ def q_scoring_to_audit_stream(spark, sf_dir):
     req_dir = scratch_path(spark, "score_requests")
     f.withColumn("claim_start_date", F.date_format("claim_start_date", "yyyy-MM-dd")) \
      .drop("claim_end_date", "claim_year", "admit_diagnosis_cd").write.mode("overwrite").json(req_dir)
-    peer = checked(sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir))))
+    peer = write_table(sv.peer_stats_table(feat.compute_peer_group_stats(_claims(spark, sf_dir))), "peer_table")
     events = scratch_path(spark, "flag_events")
-    ss.run_scoring_stream(spark, req_dir, peer.df, scratch_path(spark, "score_out"), events,
-                          scratch_path(spark, "score_ckpt"), 0.5)
+    ss.run_scoring_stream(spark, req_dir, peer, scratch_path(spark, "score_out"), events,
+                          scratch_path(spark, "score_ckpt"), FLAG_AT, *_flag_clock())
     table = scratch_path(spark, "audit_table")
     au.run_audit_stream(spark, events, table, scratch_path(spark, "audit_ckpt"),
                         options={"recursiveFileLookup": "true"})
@@ -905,3 +913,6 @@ def q_scored_with_stored_threshold(spark, sf_dir):
     sc.write_threshold(spark, thr, path)
     scored = sc.score_claims(labeled, sc.read_threshold(spark, path))
     return scored.select("claim_id", r6("score"), "flagged", "threshold")
+
+
+from . import stored  # noqa: E402, F401  (queries over stored tables and changing streams)

@@ -210,3 +210,50 @@ def flag_messages_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id"), ts.alias("ts"),
                     F.when(bad, F.concat(F.lit("{broken "), F.col("event_id").cast("string")))
                      .otherwise(msg).alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# Planted repeats: what deduplication must take out again.
+# ---------------------------------------------------------------------------
+
+def _versions(df: DataFrame, key: Column, every: int) -> DataFrame:
+    """``df`` with ``_old``: 0 for each row, and 1 for an older version of every
+    ``every``-th."""
+    return df.withColumn("_old", F.explode(F.when(key % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+
+
+def _order_key() -> Column:
+    return F.split("claim_id", "-")[0].cast("long")
+
+
+def with_stale_claims(claims: DataFrame) -> DataFrame:
+    """Claims, and of those with an order key divisible by 29 an older version: a
+    day earlier, with 100 more of amount and another beneficiary (loses by D18)."""
+    v, old = _versions(claims, _order_key(), 29), F.col("_old") == 1
+    return v.select(*[(F.when(old, F.date_sub(c, 1)).otherwise(F.col(c)) if c == "claim_start_date" else
+                       F.when(old, F.col(c) + 100).otherwise(F.col(c)) if c == "reimbursement_amt" else
+                       F.when(old, F.lit("BENE-stale")).otherwise(F.col(c)) if c == "beneficiary_id" else F.col(c)).alias(c) for c in claims.columns])
+
+
+def with_rewrites(labeled: DataFrame) -> DataFrame:
+    """Labeled claims, and of those with an order key divisible by 31 a version of
+    the same key that loses: less amount, the other label."""
+    v, old = _versions(labeled, _order_key(), 31), F.col("_old") == 1
+    return v.select(*[(F.when(old, F.col(c) - 1).otherwise(F.col(c)) if c == "reimbursement_amt" else
+                       F.when(old, 1 - F.col(c)).otherwise(F.col(c)) if c == "label" else F.col(c)).alias(c) for c in labeled.columns])
+
+
+def with_resent(messages: DataFrame) -> DataFrame:
+    """Flag messages, and of those with an event id divisible by 7 an older message
+    with the same key but another provider (loses by its timestamp)."""
+    v, old = _versions(messages, F.col("event_id"), 7), F.col("_old") == 1
+    stale = F.regexp_replace(F.regexp_replace("value", '"provider_id":"', '"provider_id":"stale-'), '"timestamp":"....', '"timestamp":"1900')
+    return v.withColumn("value", F.when(old, stale).otherwise(F.col("value"))).drop("_old")
+
+
+def broken_line(line: Column, claim_id: Column) -> Column:
+    """A CSV line broken by its claim's order key: 7 of 50 lose cells, 13 of 50 get
+    one more, 29 of 50 start with an open quote."""
+    k = F.split(claim_id, "-")[0].cast("long") % 50
+    return (F.when(k == 7, F.array_join(F.slice(F.split(line, ","), 1, 3), ","))
+             .when(k == 13, F.concat(line, F.lit(",more"))).when(k == 29, F.concat(F.lit('"'), line)).otherwise(line))

@@ -1,11 +1,11 @@
 """Flag events → validated rows → idempotent audit table.
 
 The same ``to_audit_rows`` transformation serves a batch frame or a stream.
-The sink is replay-safe without a transactional table format: each
-micro-batch overwrites its own folder ``run=<run>/batch_id=<epoch>`` (runs.py),
-so a re-run of an epoch after a failure rewrites the same files, no other stream
-does, and the read view keeps one row per (flag_date, score, claim_id) — the
-latest run's and batch's.
+The sink merges a micro-batch into the day partitions that it touches
+(storage/keyed.py); the commit log puts the batches of all streams in the order
+of their writes and knows the last batch of each run, so that a replay changes
+nothing. Rejects and counts are folders of the run and epoch (runs.py), which a
+replay rewrites.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.serving import last_write_wins
+from ..storage.keyed import KeyedTable
 from .runs import read_folder, run_folder
 
 # Message fields read as text so a bad score is a reject, not a silent NULL.
@@ -51,6 +51,7 @@ def to_audit_rows(messages: DataFrame, today: Column | None = None) -> DataFrame
         F.col("m.claim_id").alias("claim_id"),
         F.coalesce(F.col("m.provider_id"), F.lit("")).alias("provider_id"),
         F.coalesce(F.to_json(F.from_json("m.driver_features", "array<string>")), F.col("m.driver_features"), F.lit("[]")).alias("driver_features"),
+        F.col("m.timestamp").alias("event_time"),
         reason.alias("reject_reason"),
         F.col("value").alias("raw_value"))
 
@@ -63,8 +64,21 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("reject_reason").isNotNull()).select("reject_reason", "raw_value")
 
 
+AUDIT_SCHEMA = "flag_date date, score double, claim_id string, provider_id string, driver_features string"
+
+
+def audit_table(spark: SparkSession, path: str) -> KeyedTable:
+    """K7: the audit table in day partitions, a row for each (flag_date, score,
+    claim_id). Of a batch's messages with one key the last by their timestamp is
+    kept (equal ones: by provider and drivers); a day is sorted by score."""
+    return KeyedTable(spark, f"{path.rstrip('/')}/table", AUDIT_SCHEMA, "flag_date", AUDIT_KEY,
+                      order=lambda: [F.col("event_time").desc_nulls_last(), F.col("provider_id"), F.col("driver_features")],
+                      sort=lambda: [F.col("score").desc(), F.col("claim_id")])
+
+
 class AuditTableSink:
-    """K7 sink: ``foreachBatch`` target writing one folder per epoch."""
+    """K7 sink, the target of ``foreachBatch``: merges a batch into the days it
+    touches and keeps its rejects and counts in folders of the run and epoch."""
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
@@ -72,22 +86,24 @@ class AuditTableSink:
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            at = f"{run_folder(batch, f'{self.path}/counts')}/batch_id={epoch_id}"
+            run = run_folder(batch, f"{self.path}/counts")
+            at = f"{run}/batch_id={epoch_id}"
             # Per-epoch totals, rewritten with the epoch on a replay; first, so that a replay finds its run
             batch.agg(F.count(F.lit(1)).alias("processed"),
                       F.coalesce(F.sum(F.col("reject_reason").isNotNull().cast("int")), F.lit(0)).alias("errors")) \
                  .write.mode("overwrite").parquet(f"{self.path}/counts/{at}")
-            accepted_rows(batch).write.mode("overwrite").parquet(f"{self.path}/batches/{at}")
             rejected_rows(batch).write.mode("overwrite").parquet(f"{self.path}/rejects/{at}")
+            good = batch.where(F.col("reject_reason").isNull()).select(*AUDIT_COLUMNS, "event_time")
+            audit_table(batch.sparkSession, self.path).merge(good, run, epoch_id)
         finally:
             batch.unpersist()
 
 
-def read_audit_table(spark: SparkSession, path: str) -> DataFrame:
-    """The audit table: one row per (flag_date, score, claim_id); the values of
-    the latest run and batch win. Empty if nothing was accepted."""
-    raw = read_folder(spark, f"{path.rstrip('/')}/batches", "flag_date date, score double, claim_id string, provider_id string, driver_features string")
-    return last_write_wins(raw, AUDIT_KEY, [F.col("run").desc(), F.col("batch_id").desc()]).select(*AUDIT_COLUMNS)
+def read_audit_table(spark: SparkSession, path: str, days: list | None = None) -> DataFrame:
+    """The audit table: one row per (flag_date, score, claim_id), as the last
+    commit left it. ``days`` reads those days' folders alone (S10). Empty if
+    nothing was accepted."""
+    return audit_table(spark, path).read(days)
 
 
 def read_audit_rejects(spark: SparkSession, path: str) -> DataFrame:

@@ -1,13 +1,17 @@
-"""Score a stream of claim requests, enrich with peer stats (stream-static
-join), and emit responses and flag events (S5, K8, K9, J9)."""
+"""Score a stream of claim requests with the heuristic, a saved model or a
+plug-in (F4), enrich each micro-batch with the peer stats of the moment, and emit
+responses and flag events (S5, K8, K9, J9)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.scoring import flag_events, score_claims, score_responses, with_peer_stats
+from ..operators.scoring import Scorer, flag_events, heuristic_scorer, score_responses, score_with, with_peer_stats
+from ..operators.serving import last_write_wins
 from ..schemas import REQUEST_SCHEMA, REQUIRED_REQUEST_FIELDS
 from .runs import read_folder, run_folder
 
@@ -60,18 +64,24 @@ def validate_requests(requests: DataFrame) -> DataFrame:
 
 
 class ScoringSink:
-    """foreachBatch target: responses and flag events per epoch folder."""
+    """foreachBatch target: responses and flag events per epoch folder.
+
+    ``peers`` gives the peer table of the moment and is asked once a micro-batch
+    (S8, J9): a table that was replaced meanwhile serves the next batch."""
 
-    def __init__(self, out_dir: str, events_dir: str, flag_date: Column | None = None, ts: Column | None = None):
+    def __init__(self, out_dir: str, events_dir: str, flag_date: Column | None = None, ts: Column | None = None,
+                 peers: Callable[[], DataFrame] | None = None, model_loaded: bool = False):
         self.out_dir, self.events_dir = out_dir.rstrip("/"), events_dir.rstrip("/")
-        self.flag_date, self.ts = flag_date, ts
+        self.flag_date, self.ts, self.peers, self.model_loaded = flag_date, ts, peers, model_loaded
 
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
             at = f"{run_folder(batch, f'{self.out_dir}/scores')}/batch_id={epoch_id}"
             good = batch.where(F.col("reject_reason").isNull())
-            score_responses(good).write.mode("overwrite").parquet(f"{self.out_dir}/scores/{at}")
+            if self.peers is not None:
+                good = with_peer_stats(good, self.peers())
+            score_responses(good, self.model_loaded).write.mode("overwrite").parquet(f"{self.out_dir}/scores/{at}")
             flag_events(good, self.flag_date, self.ts).select("value").write.mode("overwrite") \
                 .text(f"{self.events_dir}/{at}")
             batch.where(F.col("reject_reason").isNotNull()).select("claim_id", "reject_reason") \
@@ -80,13 +90,20 @@ class ScoringSink:
             batch.unpersist()
 
 
-def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataFrame, out_dir: str,
+def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataFrame | Callable[[], DataFrame], out_dir: str,
                        events_dir: str, checkpoint: str, threshold: Column | float = 0.5,
                        flag_date: Column | None = None, ts: Column | None = None,
-                       available_now: bool = True):
-    reqs = validate_requests(parse_requests(spark.readStream.text(requests_dir)))
-    scored = with_peer_stats(score_claims(reqs, threshold), peer_table)
-    sink = ScoringSink(out_dir, events_dir, flag_date, ts)
+                       available_now: bool = True, scorer: Scorer | None = None, files_per_batch: int | None = None):
+    """X1 with any scorer (F4; the heuristic by default). ``peer_table`` is a frame
+    or a function that gives the current one."""
+    scorer = scorer or heuristic_scorer()
+    source = spark.readStream
+    if files_per_batch:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    reqs = validate_requests(parse_requests(source.text(requests_dir)))
+    scored = score_with(scorer, reqs, threshold)
+    peers = peer_table if callable(peer_table) else lambda: peer_table
+    sink = ScoringSink(out_dir, events_dir, flag_date, ts, peers, scorer.model_loaded)
     w = scored.writeStream.foreachBatch(sink.write_batch).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
     if available_now:
@@ -94,9 +111,17 @@ def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataF
     return q
 
 
+SCORES_SCHEMA = ("claim_id string, score double, flagged boolean, threshold double, provider_peer_stats struct<provider_specialty: string, "
+                 "provider_id: string, claim_type: string, n_claims: int, avg_reimbursement: double, reimbursement_stddev: double, "
+                 "avg_length_of_stay: double, los_stddev: double, avg_visit_freq_per_bene: double, peer_avg_visit_freq: double, "
+                 "peer_visit_freq_stddev: double>, message string")
+
+
 def read_scores(spark: SparkSession, out_dir: str) -> DataFrame:
-    path = f"{out_dir.rstrip('/')}/scores"
-    return spark.read.parquet(path).drop("run", "batch_id")
+    """K9: the last response of each claim: of the latest run that scored it, and
+    in it of the latest batch. Empty if nothing was scored."""
+    rows = read_folder(spark, f"{out_dir.rstrip('/')}/scores", SCORES_SCHEMA)
+    return last_write_wins(rows, ["claim_id"], [F.col("run").desc(), F.col("batch_id").desc(), F.col("score").desc()]).drop("run", "batch_id")
 
 
 def read_request_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
