@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +15,17 @@ from ..session import scratch_path, ship_package
 from ..sources.tables import table
 
 __all__ = ["table", "store", "ship_package", "scratch_path", "WordHash", "mix", "shingles",
-           "lower_words", "key64", "remainder", "slices", "U64"]
+           "lower_words", "key64", "remainder", "slices", "U64", "tidy"]
 
 U64 = np.uint64
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back:
     lineage ends there, so a lost executor costs a re-read and not a recompute."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished steps
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -43,6 +47,17 @@ def slices(batches, rows: int):
             yield batch.slice(s, rows)
 
 
+def tidy(run):
+    """``run`` (a function of Arrow batches) that gives its memory back when a task
+    ends: Spark keeps Python workers for later tasks, with all that they hold."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # no glibc
+            ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash (wrap-around arithmetic)."""
     h = h ^ (h >> U64(31))
