@@ -888,10 +888,9 @@ def q_smote_enn_resample(spark, sf_dir):
     ENN cleaning (3 neighbours, all classes) with the exact distributed kNN;
     rows per (stage, label)."""
     from ..operators import resample
-    from ..session import materialize
-    s = materialize(ml.stratified_split(_labeled(spark, sf_dir)))
+    s = write_table(ml.stratified_split(_labeled(spark, sf_dir)), "split")
     train = s.where(F.col("split") == "train")
-    sm_df = materialize(resample.smote(train))
+    sm_df = write_table(resample.smote(train), "smote")
     cleaned = resample.enn(sm_df)
     stage = lambda df, name: df.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(F.lit(name).alias("stage"), "label", "n_rows")

@@ -23,9 +23,10 @@ from ..storage.versions import VersionedTable
 from ..streaming import audit as au
 from ..streaming import scoring as ss
 from ..streaming.progress import ProgressTable
+from . import batch
 from . import oracle as O
-from .catalog import (FEATURE_CHAIN, PEER_OUT, SERVING_LABELED, _audit_view, _claims,
-                      _featured, _labeled, _peer_view, _serving_claim_view, _write_messages, register)
+from .catalog import (CHRONIC_CONDITIONS, DRIVER_HIGH_SEV_CUT, FEATURE_CHAIN, PEER_OUT, SERVING_LABELED, _audit_view, _claims,
+                      _featured, _labeled, _peer_view, _serving_claim_view, _write_messages, register, write_raw_csvs)
 from .views import list_text, r6
 
 # --- K7, X3: writes of two streams, in the order of their commits -------------------
@@ -259,3 +260,43 @@ def q_ingest_broken_lines(spark, sf_dir):
     for df, outcome in side:
         claims = claims.unionByName(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("beneficiary").alias("file"), F.lit(outcome).alias("outcome"), "n_rows"))
     return claims
+
+
+# --- S10: one day's queue; K1: files of a batch run read back -----------------------------------
+
+@register("audit_queue_one_day", O.with_ctes(O.EVENT_ROWS) + """
+SELECT strftime(flag_date, '%Y-%m-%d') AS flag_date, claim_id, round(score, 6) AS score, provider_id FROM audit
+WHERE flag_date = (SELECT min(flag_date) FROM audit) ORDER BY score DESC, claim_id LIMIT 10""")
+def q_audit_queue_one_day(spark, sf_dir):
+    """The first day's ten highest flags; of the stored table that day's
+    folder alone is read."""
+    table = scratch_path(spark, "audit_table")
+    au.run_audit_stream(spark, _write_messages(spark, sf_dir, resent=True), table, scratch_path(spark, "audit_ckpt"))
+    day = str(au.read_audit_table(spark, table).agg(F.min("flag_date")).first()[0])
+    top = sv.audit_queue(au.read_audit_table(spark, table, [day]), 10, day)
+    return top.select(F.date_format("flag_date", "yyyy-MM-dd").alias("flag_date"), "claim_id", r6("score"), "provider_id")
+
+
+def _batch_run(spark, sf_dir):
+    return batch.build_dataset(spark, write_raw_csvs(spark, sf_dir), scratch_path(spark, "batch_out"), feat.FeatureParams(high_sev_cut=DRIVER_HIGH_SEV_CUT))
+
+
+@register("batch_peer_stats_file", O.with_ctes(O.INGEST, O.INGEST_CLAIMS, O.peer_stats("claims")) + f"SELECT {PEER_OUT} FROM peer_stats")
+def q_batch_peer_stats_file(spark, sf_dir):
+    """K1: the peer statistics that a batch run over raw files wrote."""
+    return _peer_view(spark.read.parquet(_batch_run(spark, sf_dir).peer_stats))
+
+
+@register("batch_profiles_file", O.with_ctes(O.INGEST, O.INGEST_CLAIMS, O.beneficiaries(CHRONIC_CONDITIONS)) +
+          "SELECT beneficiary_id, birth_year, chronic_conditions, claim_count_ytd FROM bene_profile")
+def q_batch_profiles_file(spark, sf_dir):
+    """K1: the beneficiary profiles that a batch run over raw files wrote."""
+    p = spark.read.parquet(_batch_run(spark, sf_dir).profiles)
+    return p.select("beneficiary_id", "birth_year", list_text("chronic_conditions"), "claim_count_ytd")
+
+
+@register("batch_rejects_file", O.with_ctes(O.INGEST) +
+          "SELECT claim_id, provider_id, claim_type, reject_reason FROM normalized WHERE reject_reason IS NOT NULL")
+def q_batch_rejects_file(spark, sf_dir):
+    """The rejects that a batch run over raw files wrote."""
+    return spark.read.parquet(_batch_run(spark, sf_dir).rejects).select("claim_id", "provider_id", "claim_type", "reject_reason")

@@ -53,11 +53,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/peerguard/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables
-    (streaming sources/sinks, CSV files derived from the driver tables)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/peerguard/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the application's scratch folder, in the shared
+    checkpoint folder (written tables, streaming sources and sinks, CSV files
+    derived from the driver tables)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def close_scratch(spark: SparkSession) -> bool:
+    """Remove all scratch of this application. Frames that read from it are of no
+    use afterwards; tables that were given a path of their own stay."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -76,7 +87,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "materialize",
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "close_scratch", "materialize",
            "path_exists", "os"]
 
 

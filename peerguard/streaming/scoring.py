@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..operators.scoring import Scorer, flag_events, heuristic_scorer, score_responses, score_with, with_peer_stats
 from ..operators.serving import last_write_wins
 from ..schemas import REQUEST_SCHEMA, REQUIRED_REQUEST_FIELDS
+from .audit import flag_event_source
 from .runs import read_folder, run_folder
 
 NUMERIC_DEFAULTS = {"reimbursement_amt": 0.0, "length_of_stay_days": 0, "reimbursement_zscore": 0.0,
@@ -70,9 +71,20 @@ class ScoringSink:
     (S8, J9): a table that was replaced meanwhile serves the next batch."""
 
     def __init__(self, out_dir: str, events_dir: str, flag_date: Column | None = None, ts: Column | None = None,
-                 peers: Callable[[], DataFrame] | None = None, model_loaded: bool = False):
+                 peers: Callable[[], DataFrame] | None = None, model_loaded: bool = False,
+                 events_fmt: str = "text", events_options: dict[str, str] | None = None):
         self.out_dir, self.events_dir = out_dir.rstrip("/"), events_dir.rstrip("/")
         self.flag_date, self.ts, self.peers, self.model_loaded = flag_date, ts, peers, model_loaded
+        self.events_fmt, self.events_options = events_fmt, events_options or {}
+
+    def publish(self, events: DataFrame, at: str) -> None:
+        """K8: the (key, value) messages to a folder of the epoch, or with another
+        ``events_fmt`` to what its options name (``kafka``: a topic, at least once;
+        not exercised here, as no connector is installed)."""
+        if self.events_fmt == "text":
+            events.select("value").write.mode("overwrite").text(f"{self.events_dir}/{at}")
+        else:
+            events.write.format(self.events_fmt).options(**self.events_options).mode("append").save()
 
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
@@ -82,8 +94,7 @@ class ScoringSink:
             if self.peers is not None:
                 good = with_peer_stats(good, self.peers())
             score_responses(good, self.model_loaded).write.mode("overwrite").parquet(f"{self.out_dir}/scores/{at}")
-            flag_events(good, self.flag_date, self.ts).select("value").write.mode("overwrite") \
-                .text(f"{self.events_dir}/{at}")
+            self.publish(flag_events(good, self.flag_date, self.ts), at)
             batch.where(F.col("reject_reason").isNotNull()).select("claim_id", "reject_reason") \
                 .write.mode("overwrite").parquet(f"{self.out_dir}/rejects/{at}")
         finally:
@@ -93,17 +104,18 @@ class ScoringSink:
 def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataFrame | Callable[[], DataFrame], out_dir: str,
                        events_dir: str, checkpoint: str, threshold: Column | float = 0.5,
                        flag_date: Column | None = None, ts: Column | None = None,
-                       available_now: bool = True, scorer: Scorer | None = None, files_per_batch: int | None = None):
+                       available_now: bool = True, scorer: Scorer | None = None, files_per_batch: int | None = None,
+                       fmt: str = "text", options: dict[str, str] | None = None,
+                       events_fmt: str = "text", events_options: dict[str, str] | None = None):
     """X1 with any scorer (F4; the heuristic by default). ``peer_table`` is a frame
-    or a function that gives the current one."""
+    or a function that gives the current one; ``fmt`` and ``options`` are those of
+    the request source (S4's), ``events_fmt`` and its options of the events (K8)."""
     scorer = scorer or heuristic_scorer()
-    source = spark.readStream
-    if files_per_batch:
-        source = source.option("maxFilesPerTrigger", files_per_batch)
-    reqs = validate_requests(parse_requests(source.text(requests_dir)))
+    options = dict(options or {}) | ({"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {})
+    reqs = validate_requests(parse_requests(flag_event_source(spark, requests_dir, fmt, options)))
     scored = score_with(scorer, reqs, threshold)
     peers = peer_table if callable(peer_table) else lambda: peer_table
-    sink = ScoringSink(out_dir, events_dir, flag_date, ts, peers, scorer.model_loaded)
+    sink = ScoringSink(out_dir, events_dir, flag_date, ts, peers, scorer.model_loaded, events_fmt, events_options)
     w = scored.writeStream.foreachBatch(sink.write_batch).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
     if available_now:

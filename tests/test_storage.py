@@ -204,3 +204,12 @@ def test_update_reads_new_claims_only(spark):
     os.rename(gone, gone + "-away")                     # the older claims can't be read any more
     store.update(spark.read.parquet(paths[1]), "two")
     assert store.stats().agg(F.sum("n_claims")).first()[0] == c.count()
+
+
+def test_scratch_can_be_closed(spark, monkeypatch):
+    from peerguard import session
+    monkeypatch.setattr(session, "_scratch_root", lambda s, root=session._scratch_root(spark): f"{root}-closed")
+    path, own = session.scratch_path(spark, "x"), session.ensure_checkpoint_dir(spark) + "/kept"
+    spark.range(3).write.parquet(path)
+    spark.range(3).write.mode("overwrite").parquet(own)
+    assert session.close_scratch(spark) and not session.path_exists(spark, path) and session.path_exists(spark, own)
