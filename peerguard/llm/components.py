@@ -61,3 +61,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = now
     raise RuntimeError("components did not settle")
+
+
+def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``components`` after further links between them (pairs of
+    component names; a node without a link is its own): only the links' graph is
+    solved, which is small where few components meet."""
+    links = store(links, "cc-links")
+    if links.isEmpty():
+        return comp
+    top = components(links)
+    new = comp.join(top.select(F.col("node").alias("component"), F.col("component").alias("_top")), "component", "left")
+    return store(new.select("node", F.coalesce("_top", "component").alias("component")).unionByName(top), "cc")
