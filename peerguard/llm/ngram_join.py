@@ -6,49 +6,50 @@ join.
   enumerated. Sets that share a subset of size c overlap in c shingles or more,
   so the pair is decided by the two sizes alone, and within a list the smallest
   set links to every set that any member links to: linear output.
-* Heavy (large sets): inverted lists are scanned. A list is kept for a block of
-  shingles (those of one hash range), not for a single shingle, which a third
-  of all documents may hold: two sets that link differ in at most D shingles,
-  so with D + 1 + E blocks at least E + 1 are the same in both (D follows from
-  the document's size and that of the largest partner in a class). In the order
-  (blocks of fewer than two shingles last, before them the longest lists) each
-  document therefore leaves its last E blocks out, and a common one remains: no
-  link is lost, and what many documents share seldom makes a candidate.
-* The boundary is the largest size whose subsets cost less than its blocks
+* Heavy (large sets): inverted lists of single shingles are scanned. In any one
+  order of all shingles, two sets that link share t of the first
+  s - ceil(0.85 s) + t of each, so a set stands in the lists of these alone (t: a
+  tenth of the smaller set). The order has the shingles that a sample finds in many
+  documents last; it decides the work, not the result. In a short list all pairs
+  are counted; a pair is compared if its count, and what it can share in long
+  lists, comes to t.
+* The boundary is the largest size whose subsets cost less than its lists: rows,
+  and comparisons at the rate at which the sample's documents share shingles
   (``boundary``). A small set that can reach a large one goes to both.
 
-Equal sets are joined by a digest first. Then each document is compared with one
-document of its lists, the first of the list it meets most often. Lists whose
-documents are not in one component by then are scanned in one task each (in
-blocks of bounded size): each document brings the keys of its other lists, and
-the scan counts how many lists it shares with each document of another
-component. Pairs with fewer than their two sizes ask for can't link. Each
-document is compared with the one that it shares most lists with. In a last
-round the pairs that are then still apart make families (only a spanning forest
-leaves a task), each family meets in one task (in blocks, if it is large) with
-each set sent once, and two sets are compared if they share one of the rarest
-shingles of each that a link must share. The Jaccard test runs on the whole shingle sets.
-"""
+Equal sets are joined by a digest first. In long lists each document is compared
+with the first document of the lists that it meets most often, once by size and
+once by a hash. Long lists whose documents are not in one component by then make
+families; each family meets in one task (a large one is dealt out by its open lists) with each set
+sent once, and all pairs of different components are compared that share one of the
+family's rarest shingles. The Jaccard test runs on the whole shingle sets."""
 
 from __future__ import annotations
 
 from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHash, key64, lower_words, mix, ship_package, shingles, slices, store
-from .components import components
+from .common import U64, WordHash, key64, lower_words, mix, ship_package, shingles, slices, store, tidy
+from .components import components, joined
 
-DIGEST, SUBSET, BLOCK, TINY = 0, 1, 2, 3
-#: Documents and shingles that a task takes of a list or family at once.
-SCAN_DOCS, SCAN_SHINGLES = 3_000, 4_000_000
+DIGEST, SUBSET, LIST, PAIR = 0, 1, 2, 3
+#: Members of a list up to which it is short.
+SHORT = 16
+#: Of so many documents one is in the sample that orders the shingles; the shingles
+#: that the order tells apart (those in most documents), and their least number.
+SAMPLE, FREQUENT, OFTEN = 8, 200_000, 2
+#: Cost of a comparison, in rows.
+COMPARE = 8
+#: Documents and shingles that a task takes of a family.
+FAMILY_DOCS, FAMILY_SHINGLES = 2_000, 1_500_000
 
 
 def needed(a: int, b: int, pct: int) -> int:
@@ -66,72 +67,60 @@ def subset_sizes(s: int, pct: int) -> tuple[int, ...]:
     return tuple(sorted({c for p in partner_sizes(s, pct) if (c := needed(s, p, pct)) <= min(s, p)}))
 
 
-@lru_cache(None)
-def layout(pct: int, ratio: float = 1.3) -> list[tuple[int, int]]:
-    """(largest size, blocks) of each size class."""
-    out, hi = [], 8
-    while hi < 1 << 40:
-        differ = 2 * hi * (100 - pct) // (100 + pct)
-        out.append((hi, differ + 1 + max(1, differ // 8)))
-        hi = int(hi * ratio) + 1
-    return out
+def shared_least(s):
+    """t: how many of their first shingles two sets must share, the smaller of s."""
+    return 1 + s // 10
 
 
-@lru_cache(None)
-def classes(s: int, pct: int) -> tuple[int, ...]:
-    """The size classes in which a set of s meets its partners: the class of the
-    larger of the two."""
-    tops = [x[0] for x in layout(pct)]
-    return tuple(range(int(np.searchsorted(tops, s)), int(np.searchsorted(tops, 100 * s // pct)) + 1))
+def front(s: int, pct: int) -> int:
+    """How many of a set's first shingles stand in lists."""
+    return min(s, s - -(-pct * s // 100) + shared_least(s))
 
 
-@lru_cache(None)
-def boundary(pct: int, verify_cost: int = 8) -> int:
-    """Largest size at which the enumerated subsets cost less than the blocks of
-    the lists (each subset or block is one row; a list candidate also costs a
-    comparison, counted as ``verify_cost`` rows)."""
-    from math import comb
+def boundary(pct: int, shared: float) -> int:
+    """Largest size at which the enumerated subsets cost less than the lists.
+    ``shared``: other documents in the list of an average shingle."""
     x = 0
     for s in range(1, 400):
-        light = sum(comb(s, c) for c in subset_sizes(s, pct))
-        heavy = sum(layout(pct)[j][1] for j in classes(s, pct)) + verify_cost
-        if light > heavy:
+        if sum(comb(s, c) for c in subset_sizes(s, pct)) > front(s, pct) * (1 + COMPARE * shared):
             break
         x = s
     return x
 
 
-def keys_of(sh: np.ndarray, pct: int):
-    """(kind, size or class, keys, tiny, spare) of a document's sorted distinct
-    shingles: subset keys of a small set, block keys of a large one (and of a
-    small one that can reach a large one). tiny: its blocks of fewer than two
-    shingles; the first of them by key, up to the spare ones, are left out here.
-    By the same order in every document, so that the last common block of two
-    documents that link is left out by neither."""
-    s, x, out = len(sh), boundary(pct), []
-    w = mix(sh + U64(0x51ED270B))
+class Order:
+    """The shingles that many documents hold, by how many; all others come first,
+    in the order of their hashes."""
+
+    def __init__(self, keys: np.ndarray, many: np.ndarray):
+        at = np.argsort(keys)
+        self.keys, self.many = keys[at], many[at]
+
+    def first(self, sh: np.ndarray, n: int) -> np.ndarray:
+        """The first n of a set's sorted shingles."""
+        if not len(self.keys):
+            return sh[:n]
+        at = np.minimum(np.searchsorted(self.keys, sh), len(self.keys) - 1)
+        often = self.keys[at] == sh
+        rare = sh[~often][:n]
+        if len(rare) == n:
+            return rare
+        rest = sh[often]
+        return np.concatenate([rare, rest[np.lexsort((rest, self.many[at[often]]))][:n - len(rare)]])
+
+
+def keys_of(sh: np.ndarray, pct: int, x: int, order: Order):
+    """(kind, subset size, keys) of a document's sorted distinct shingles: subsets of
+    a small set, lists of a large one (and of a small one that can reach a large)."""
+    s, out = len(sh), []
     if s <= x:
+        w = mix(sh + U64(0x51ED270B))
+        total = w.sum(dtype=U64)
         for c in subset_sizes(s, pct):
-            drop = s - c
-            total = w.sum(dtype=U64)
-            ks = np.array([total - sum((w[i] for i in left), U64(0)) for left in combinations(range(s), drop)], U64)
-            out.append((SUBSET, c, mix(ks ^ U64(c * 0x9E3779B1)), 0, 0))
+            ks = np.array([total - sum((w[i] for i in left), U64(0)) for left in combinations(range(s), s - c)], U64)
+            out.append((SUBSET, c, mix(ks ^ U64(c * 0x9E3779B1))))
     if s > x or 100 * s >= pct * (x + 1):
-        acc = np.concatenate([np.zeros(1, U64), np.cumsum(w, dtype=U64)])
-        top = (sh >> U64(32))
-        for j in classes(s, pct):
-            hi, m = layout(pct)[j]
-            if hi <= x:
-                continue
-            spare = m - 1 - (100 - pct) * (s + min(hi, 100 * s // pct)) // (100 + pct)
-            cut = np.searchsorted((top * U64(m)) >> U64(32), np.arange(m + 1, dtype=U64))
-            n = np.diff(cut)
-            ks = mix((acc[cut[1:]] - acc[cut[:-1]]) ^ mix(np.arange(m, dtype=U64) + U64(j << 32)) ^ n.astype(U64))
-            tiny = n < 2
-            few = int(tiny.sum())
-            out.append((BLOCK, j, ks[~tiny], few, spare))
-            if few > spare:
-                out.append((TINY, j, np.sort(ks[tiny])[max(spare, 0):], few, spare))
+        out.append((LIST, 0, order.first(sh, front(s, pct))))
     return out
 
 
@@ -139,37 +128,70 @@ def doc_shingles(text, hashes: WordHash, k: int) -> np.ndarray:
     return np.unique(shingles(hashes.of(lower_words(text)), k))
 
 
-def _rows(k: int, pct: int):
-    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("c", pa.int32()), ("doc", pa.int64()),
-                        ("s", pa.int32()), ("few", pa.int32()), ("spare", pa.int32())])
+def _often(k: int):
+    """(shingle, n) of the shingles that several documents of a task hold, and one
+    row (null, ...) with all shingles of the task."""
+    def run(batches):
+        hashes = WordHash(100_000)
+
+        def counted(sets):
+            h, n = np.unique(np.concatenate(sets), return_counts=True)
+            more = n > 1
+            return pa.RecordBatch.from_arrays([pa.array([*key64(h[more]).tolist(), None], pa.int64()), pa.array([*n[more].tolist(), int(n.sum())], pa.int64())],
+                                              names=["key", "n"])
+
+        sets, size = [], 0
+        for batch in slices(batches, 500):
+            for text in batch.column(0).to_pylist():
+                sets.append(doc_shingles(text, hashes, k))
+                size += len(sets[-1])
+                if size >= 2_000_000:
+                    yield counted(sets)
+                    sets, size = [], 0
+        if sets:
+            yield counted(sets)
+    return run
+
+
+def ordered(base: DataFrame, k: int) -> tuple[Order, float]:
+    """The order of the shingles, and how many other documents hold an average one,
+    from every SAMPLE-th document (by a hash of its id)."""
+    part = base.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).select("text")
+    n = store(part.mapInArrow(tidy(_often(k)), "key long, n long"), "shingles").groupBy("key").agg(F.sum("n").alias("n"))
+    n = store(n, "shingles")
+    total, = n.where("key is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()
+    twice, = n.where("key is not null").agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0))).first()
+    top = n.where(f"key is not null and n >= {OFTEN}").orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
+    keys = np.array([r["key"] for r in top], np.int64).view(U64)
+    # heads of lists make pairs, not lists squared: what an average shingle shares counts up to one
+    return Order(keys, np.array([r["n"] for r in top], np.int64)), min(1.0, SAMPLE * float(twice) / max(1, total))
+
+
+def _rows(k: int, pct: int, x: int, shared):
+    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("c", pa.int32()), ("doc", pa.int64()), ("s", pa.int32())])
 
     def run(batches):
-        hashes = WordHash(200_000)
-        leaders: dict[bytes, int] = {}  # equal sets in this partition: only one goes into the lists
+        hashes, order = WordHash(200_000), shared.value
+        leaders: set[bytes] = set()  # equal sets in this partition: only one goes into the lists
         for batch in slices(batches, 500):
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in range(5)]
 
-            def add(kind, keys, c, doc, s, few=0, spare=0):
+            def add(kind, keys, c, doc, s):
                 n = len(keys)
-                for x, y in zip(cols, (np.full(n, kind, "int8"), key64(keys), np.full(n, c, "int32"), np.full(n, doc, "int64"),
-                                       np.full(n, s, "int32"), np.full(n, few, "int32"), np.full(n, spare, "int32"))):
-                    x.append(y)
+                for col, y in zip(cols, (np.full(n, kind, "int8"), key64(keys), np.full(n, c, "int32"), np.full(n, doc, "int64"), np.full(n, s, "int32"))):
+                    col.append(y)
 
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if doc is None:
-                    continue
                 sh = doc_shingles(text, hashes, k)
                 d = xxhash.xxh3_128_digest(sh.tobytes())
                 add(DIGEST, np.frombuffer(d[:8], U64), int.from_bytes(d[8:12], "little", signed=True), doc, len(sh))
-                if not len(sh):
-                    continue
-                if d in leaders:
+                if not len(sh) or d in leaders:
                     continue
                 if len(leaders) >= 50_000:
                     leaders.clear()
-                leaders[d] = doc
-                for kind, c, ks, few, spare in keys_of(sh, pct):
-                    add(kind, ks, c, doc, len(sh), few, spare)
+                leaders.add(d)
+                for kind, c, ks in keys_of(sh, pct, x, order):
+                    add(kind, ks, c, doc, len(sh))
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in cols], schema=schema)
     return run
@@ -177,34 +199,62 @@ def _rows(k: int, pct: int):
 
 def _lists(pct: int):
     """Streams the lists (rows sorted by kind, key, c, size, document) and puts
-    out: each document with its digest, links that subsets decide, and the
-    members of block lists that have more than one."""
+    out: each document with its digest; links that subsets decide; of short lists
+    of shingles the pairs whose sizes may link, of long ones the members with the
+    list's first."""
+    names = ("kind", "key", "c", "doc", "s")
+
+    def put(kind, key, c, a, doc, s):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in ((np.full(len(doc), kind), pa.int8()), (key, pa.int64()), (c, pa.int32()), (a, pa.int64()),
+                                                                       (doc, pa.int64()), (s, pa.int32()))], names=["kind", "key", "c", "a", "doc", "s"])
 
     def run(batches):
-        last = None  # the list that the batch before ended in, its first row, whether that was the last row
-        for pdf in batches:
-            kind, key, c, doc, s, few, spare = (pdf[x].to_numpy() for x in ("kind", "key", "c", "doc", "s", "few", "spare"))
+        held = [np.zeros(0, np.int64)] * 5  # the last list, while it may go on
+        long_ = None  # (kind, key, c, first, its size) of a list known to be long that may go on
+        for batch in _and_end(batches):
+            own = [np.zeros(0, np.int64)] * 5 if batch is None else [batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in names]
+            kind, key, c, doc, s = (np.concatenate(x) for x in zip(held, own))
             n = len(kind)
             if not n:
                 continue
             new = np.ones(n, bool)
             new[1:] = (kind[1:] != kind[:-1]) | (key[1:] != key[:-1]) | (c[1:] != c[:-1])
-            if last is not None and last[0] == (kind[0], key[0], c[0]):
-                new[0] = False
-            at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-            own = at >= 0
-            lead, ls, lfew, lspare = (np.where(own, x[at], 0 if last is None else y) for x, y in zip((doc, s, few, spare), last[1] if last else (0, 0, 0, 0)))
-            second = ~new & np.append(last is not None and last[2], new[:-1])
-            last = ((kind[-1], key[-1], c[-1]), (lead[-1], ls[-1], lfew[-1], lspare[-1]), bool(new[-1]))
-            linked = (lead != doc) & (kind == SUBSET) & (c.astype("int64") * (100 + pct) >= pct * (ls.astype("int64") + s))
-            block = ~new & (kind >= BLOCK)
-            second &= kind >= BLOCK
-            for sel, d, f, e, size in ((kind == DIGEST, doc, few, spare, s), (linked, doc, few, spare, s), (block, doc, few, spare, s), (second, lead, lfew, lspare, ls)):
-                if sel.any():
-                    yield pd.DataFrame({"kind": kind[sel], "key": key[sel], "c": c[sel], "a": lead[sel], "doc": d[sel], "few": f[sel], "spare": e[sel], "s": size[sel]})
+            begin = np.flatnonzero(new)
+            size = np.diff(np.append(begin, n))
+            of = np.cumsum(new) - 1
+            lead, ls = doc[begin][of], s[begin][of]
+            many = size[of] > SHORT
+            if long_ is not None and long_[:3] == (kind[0], key[0], c[0]):
+                lead[of == 0], ls[of == 0], many[of == 0] = long_[3], long_[4], True
+            done = np.ones(n, bool)
+            if batch is not None:  # the last list may go on: wait, unless it is long
+                last = of == of[-1]
+                if many[-1]:
+                    long_ = (kind[-1], key[-1], c[-1], lead[-1], ls[-1])
+                    held = [np.zeros(0, np.int64)] * 5
+                else:
+                    done, held = ~last, [x[last] for x in (kind, key, c, doc, s)]
+            one = done & (kind == DIGEST)
+            yield put(DIGEST, key[one], c[one], lead[one], doc[one], s[one])
+            one = done & (kind == SUBSET) & (lead != doc) & (c * (100 + pct) >= pct * (ls + s))
+            yield put(SUBSET, key[one], c[one], lead[one], doc[one], s[one])
+            one = done & (kind == LIST) & many
+            yield put(LIST, key[one], c[one], lead[one], doc[one], s[one])
+            short = np.flatnonzero(done & (kind == LIST) & ~many)
+            for d in range(1, SHORT):
+                x, y = short[:-d], short[d:]
+                x, y = (z[(of[x] == of[y]) & (doc[x] != doc[y]) & (100 * s[x] >= pct * s[y])] for z in (x, y))  # sizes ascend in a list
+                if not len(x):
+                    continue
+                yield put(PAIR, key[x], c[x], np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y]), s[x])
     return run
 
 
+def _and_end(batches):
+    yield from batches
+    yield None
+
+
 def _packed(batches):
     z = zstandard.ZstdCompressor(level=1)
     for batch in slices(batches, 1000):
@@ -213,38 +263,37 @@ def _packed(batches):
                                          names=["doc", "z"])
 
 
-def _sets(k: int):
+def _verify(k: int, pct: int):
+    """Streams (a, salt, doc, z) with the list's own document first."""
     def run(batches):
         hashes, z = WordHash(200_000), zstandard.ZstdDecompressor()
-        for pdf in (big.iloc[s:s + 500] for big in batches for s in range(0, len(big), 500)):
-            memo: tuple = (None, b"")
-            out = []
-            for doc, blob in zip(pdf["doc"], pdf["z"]):
-                if memo[0] != doc:
-                    memo = (doc, b"" if blob is None else doc_shingles(z.decompress(blob).decode("utf-8", "surrogatepass"), hashes, k).tobytes())
-                out.append(memo[1])
-            yield pd.DataFrame({"a": pdf["a"], "salt": pdf["salt"], "doc": pdf["doc"], "set": out})
+        lead, own, last = None, [], None
+        for batch in slices(batches, 1000):
+            us, vs = [], []
+            for a, salt, doc, blob in zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "doc", "z"))):
+                if (a, salt, doc, blob) == last:
+                    continue
+                last = (a, salt, doc, blob)
+                x = unpacked(z, blob, hashes, k)
+                if doc == a:  # a repeated id may have several texts
+                    own = [*own, x] if lead == (a, salt) else [x]
+                    lead = (a, salt)
+                elif lead == (a, salt) and any(linked(x, y, pct) for y in own):
+                    us.append(a)
+                    vs.append(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
     return run
 
 
-def _verify(pct: int):
-    def run(batches):
-        lead, own = None, None
-        for pdf in batches:
-            us, vs = [], []
-            for a, salt, doc, blob in zip(pdf["a"], pdf["salt"], pdf["doc"], pdf["set"]):
-                x = np.frombuffer(blob, U64)
-                if doc == a:
-                    lead, own = (a, salt), x
-                elif lead == (a, salt):
-                    if 100 * min(len(x), len(own)) < pct * max(len(x), len(own)):
-                        continue
-                    both = len(np.intersect1d(x, own, assume_unique=True))
-                    if 100 * both >= pct * (len(x) + len(own) - both):
-                        us.append(a)
-                        vs.append(doc)
-            yield pd.DataFrame({"u": np.array(us, "int64"), "v": np.array(vs, "int64")})
-    return run
+def unpacked(z, blob, hashes: WordHash, k: int) -> np.ndarray:
+    return doc_shingles(None if blob is None else z.decompress(blob).decode("utf-8", "surrogatepass"), hashes, k)
+
+
+def linked(x: np.ndarray, y: np.ndarray, pct: int) -> bool:
+    if 100 * min(len(x), len(y)) < pct * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= pct * (len(x) + len(y) - both)
 
 
 class Forest(dict):
@@ -262,71 +311,6 @@ class Forest(dict):
         return a != b
 
 
-def scan_list(docs, comps, keys, fews, blocks, sizes, pct: int, first: bool):
-    """Pairs of documents of different components that share enough lists: of
-    each document the one with most lists (first), or a spanning forest."""
-    lens = np.array([len(x) for x in keys])
-    _, inv = np.unique(np.concatenate(keys), return_inverse=True)
-    begin = np.cumsum(lens) - lens
-    comp, few, size = np.array(comps), np.array(fews), np.array(sizes, "int64")
-    # members of each key in order (rows of one array), and how many of them are before y
-    member = np.repeat(np.arange(len(docs)), lens)[np.argsort(inv, kind="stable")]
-    start = np.concatenate([[0], np.cumsum(np.bincount(inv))])
-    before = np.zeros(len(start) - 1, int)
-    out, root = [], Forest()
-    for y in range(len(docs)):
-        own = inv[begin[y]:begin[y] + lens[y]]
-        met = [member[start[t]:start[t] + before[t]] for t in own[before[own] > 0].tolist()]
-        before[own] += 1
-        if met:
-            n = np.bincount(np.concatenate(met), minlength=y)
-            differ = (100 - pct) * (size[:y] + size[y]) // (100 + pct)
-            need = np.maximum(1, blocks[y] - differ - np.minimum(few[:y], few[y]))
-            ok = (n >= need) & (comp[:y] != comp[y]) & (100 * np.minimum(size[:y], size[y]) >= pct * np.maximum(size[:y], size[y]))
-            found = np.flatnonzero(ok)
-            if first and len(found):
-                found = found[[int(np.argmax((n - need)[found]))]]
-            elif len(found):
-                found = np.array([x for x in found.tolist() if root.join(x, y)], int)
-            out += [(min(docs[x], docs[y]), max(docs[x], docs[y])) for x in found.tolist()]
-    return out
-
-
-def _scan(pct: int, first: bool):
-    names = ("doc", "comp", "keys", "few", "blocks", "s")
-
-    def run(batches):
-        at, rows = None, [[] for _ in names]
-        for pdf in batches:
-            out = []
-            for key, i, j, *row in zip(*(pdf[c] for c in ("key", "i", "j", *names))):
-                if at != (key, i, j):
-                    if len(rows[0]) > 1:
-                        out += scan_list(*rows, pct, first)
-                    at, rows = (key, i, j), [[] for _ in names]
-                if not rows[0] or rows[0][-1] != row[0]:  # a document that is there twice
-                    for x, y in zip(rows, row):
-                        x.append(y)
-            yield pd.DataFrame(out, columns=["a", "doc"]).astype("int64")
-        if len(rows[0]) > 1:
-            yield pd.DataFrame(scan_list(*rows, pct, first), columns=["a", "doc"]).astype("int64")
-    return run
-
-
-def _open_sets(k: int):
-    def run(batches):
-        hashes, z = WordHash(200_000), zstandard.ZstdDecompressor()
-        for pdf in (big.iloc[s:s + 500] for big in batches for s in range(0, len(big), 500)):
-            memo: tuple = (None, b"")
-            out = []
-            for doc, blob in zip(pdf["doc"], pdf["z"]):
-                if memo[0] != doc:
-                    memo = (doc, b"" if blob is None else doc_shingles(z.decompress(blob).decode("utf-8", "surrogatepass"), hashes, k).tobytes())
-                out.append(memo[1])
-            yield pdf[["key", "i", "j", "doc", "comp"]].assign(set=out)
-    return run
-
-
 def scan_family(docs: list[int], comps: list[int], sets: list[np.ndarray], pct: int):
     """Links between documents of different components, a spanning forest of
     them: an inverted list for each shingle of the documents' rarest ones."""
@@ -356,22 +340,29 @@ def scan_family(docs: list[int], comps: list[int], sets: list[np.ndarray], pct:
     return out
 
 
-def _families(pct: int):
+def _families(k: int, pct: int):
+    """Links between the components of the documents of one (family, part)."""
     def run(batches):
-        at, rows = None, ([], [], [])
-        for pdf in batches:
+        hashes, z = WordHash(200_000), zstandard.ZstdDecompressor()
+        at, rows, last = None, ([], [], []), None
+
+        def links(out):
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["u", "v"])
+
+        for batch in slices(batches, 1000):
             out = []
-            for key, i, j, doc, comp, blob in zip(pdf["key"], pdf["i"], pdf["j"], pdf["doc"], pdf["comp"], pdf["set"]):
-                if at != (key, i, j):
+            for key, part, doc, comp, blob in zip(*(batch.column(c).to_pylist() for c in ("family", "part", "doc", "comp", "z"))):
+                if at != (key, part):
                     if len(rows[0]) > 1:
-                        out += scan_family(*rows, pct)
-                    at, rows = (key, i, j), ([], [], [])
-                if not rows[0] or rows[0][-1] != doc:  # a document that is there twice
-                    for x, y in zip(rows, (doc, comp, np.frombuffer(blob, U64))):
+                        out += scan_family(rows[1], *rows[1:], pct)
+                    at, rows = (key, part), ([], [], [])
+                if last != (key, part, doc, blob):  # equal rows
+                    for x, y in zip(rows, (doc, comp, unpacked(z, blob, hashes, k))):
                         x.append(y)
-            yield pd.DataFrame(out, columns=["a", "doc"]).astype("int64")
+                last = (key, part, doc, blob)
+            yield links(out)
         if len(rows[0]) > 1:
-            yield pd.DataFrame(scan_family(*rows, pct), columns=["a", "doc"]).astype("int64")
+            yield links(scan_family(rows[1], *rows[1:], pct))
     return run
 
 
@@ -381,95 +372,108 @@ def verified(pairs: DataFrame, packed: DataFrame, k: int, pct: int) -> DataFrame
     salts = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / 2000).cast("int").alias("n"))
     members = pairs.join(salts, "a").select("a", "doc", F.pmod(F.xxhash64("doc"), F.col("n")).cast("int").alias("salt"))
     heads = salts.select("a", F.col("a").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"))
-    rows = members.unionByName(heads)
-    sets = packed.join(rows, "doc").select("a", "salt", "doc", "z").mapInPandas(_sets(k), "a long, salt int, doc long, set binary")
-    at = (F.col("doc") != F.col("a"))
-    return (sets.repartition("a", "salt").sortWithinPartitions("a", "salt", at, "doc")
-            .mapInPandas(_verify(pct), "u long, v long"))
-
-
-def open_pairs(member: DataFrame, comp: DataFrame, own: DataFrame, pct: int, first: bool) -> DataFrame:
-    """Candidates (a, doc) from the lists that still hold several components."""
-    named = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-             .select("key", "c", "doc", "few", "s", F.coalesce("component", "doc").alias("comp")))
-    several = (named.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-               .where("lo <> hi").select("key", F.ceil(F.col("n") / SCAN_DOCS).cast("int").alias("parts")))
-    tasks = F.expr("transform(sequence(0, parts - 1), q -> struct(least(p, q) as i, greatest(p, q) as j))")
-    blocks = F.element_at(F.array(*(F.lit(m) for _, m in layout(pct))), F.col("c") + 1)
-    hard = (named.join(several, "key").withColumn("p", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
-            .withColumn("t", F.explode(tasks)).join(own, ["doc", "c"])
-            .select("key", "t.i", "t.j", "doc", "comp", "keys", "few", blocks.alias("blocks"), "s"))
-    return (hard.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
-            .mapInPandas(_scan(pct, first), "a long, doc long").distinct())
-
-
-def family_links(family: DataFrame, comp: DataFrame, digests: DataFrame, packed: DataFrame, k: int, pct: int) -> DataFrame:
-    """Links between different components within families (node, component)."""
-    rows = (family.select(F.col("component").alias("key"), F.explode(F.array("node", "component")).alias("doc")).distinct()
-            .join(comp.select(F.col("node").alias("doc"), F.col("component").alias("comp")), "doc", "left")
-            .join(digests.select("doc", F.col("n_shingles").alias("s")), "doc").withColumn("comp", F.coalesce("comp", "doc")))
-    sizes = rows.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / SCAN_DOCS), F.ceil(F.sum("s") / SCAN_SHINGLES)).cast("int").alias("parts"))
-    tasks = F.expr("transform(sequence(0, parts - 1), q -> struct(least(p, q) as i, greatest(p, q) as j))")
-    rows = (rows.join(sizes, "key").withColumn("p", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
-            .select("key", "doc", "comp", F.explode(tasks).alias("t")).select("key", "t.i", "t.j", "doc", "comp"))
-    sets = packed.join(rows, "doc").select("key", "i", "j", "doc", "comp", "z").mapInPandas(_open_sets(k), "key long, i int, j int, doc long, comp long, set binary")
-    return sets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc").mapInPandas(_families(pct), "a long, doc long")
+    rows = packed.join(members.unionByName(heads), "doc").select("a", "salt", "doc", "z")
+    return (rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("doc") != F.col("a"), "doc")
+            .mapInArrow(tidy(_verify(k, pct)), "u long, v long"))
+
+
+def counted_pairs(lists: DataFrame, long_: DataFrame) -> DataFrame:
+    """(a, doc): the pairs that share enough lists. Those that a pair may share in
+    long lists (``long_``: doc, m) are no more than either has."""
+    pairs = lists.where(f"kind = {PAIR}").groupBy("a", "doc").agg(F.count("*").alias("n"), F.min("s").alias("s"))  # s: the smaller size
+    sides = (pairs.join(long_.select(F.col("doc").alias("a"), F.col("m").alias("_a")), "a", "left")
+             .join(long_.select("doc", F.col("m").alias("_d")), "doc", "left"))
+    least = F.least(F.coalesce("_a", F.lit(0)), F.coalesce("_d", F.lit(0)))
+    return sides.where(F.col("n") + least >= 1 + F.floor(F.col("s") / 10)).select("a", "doc")
+
+
+def long_members(lists: DataFrame, long_: DataFrame, pct: int) -> DataFrame:
+    """(key, doc, s, a, b) of the long lists' documents that could link over long
+    lists alone: those that stand in at least t of them (t for the smallest partner).
+    A pair that also shares a short list is counted. a, b: the list's heads, its
+    smallest set and the document with the least hash."""
+    least = 1 + F.floor(F.ceil(F.col("s") * pct / 100) / 10)
+    member = lists.where(f"kind = {LIST}").select("key", "doc", "s").join(long_.where(F.col("m") >= least).select("doc"), "doc", "left_semi")
+    member = store(member, "members")
+    heads = member.groupBy("key").agg(F.min(F.struct("s", "doc")).alias("a"), F.min(F.struct(F.xxhash64("doc").alias("h"), "doc")).alias("b"), F.count("*").alias("n"))
+    return member.join(heads.where("n > 1").select("key", F.col("a.doc").alias("a"), F.col("b.doc").alias("b")), "key")
+
+
+def best_heads(member: DataFrame) -> DataFrame:
+    """(a, doc): of each document the head that it meets in most lists, one of
+    either kind."""
+    met = member.select("doc", F.explode(F.array(F.struct(F.lit(0).alias("kind"), "a"), F.struct(F.lit(1).alias("kind"), F.col("b").alias("a")))).alias("x"))
+    met = met.select("doc", "x.kind", "x.a").where("a <> doc").groupBy("doc", "kind", "a").agg(F.count("*").alias("n"))
+    best = met.groupBy("doc", "kind").agg(F.max(F.struct("n", (-F.col("a")).alias("na"))).alias("m")).select((-F.col("m.na")).alias("x"), "doc")
+    return best.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("doc")).distinct()
+
+
+def open_links(member: DataFrame, comp: DataFrame, packed: DataFrame, k: int, pct: int) -> DataFrame | None:
+    """Links between components, within lists that still hold several of them; None
+    if none does."""
+    named = member.join(comp.withColumnRenamed("node", "doc"), "doc", "left").select("key", "a", "doc", "s", F.coalesce("component", "doc").alias("comp"))
+    several = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    rows = store(named.join(several, "key"), "open")
+    if rows.isEmpty():
+        return None
+    family = components(rows.select("a", "doc").distinct())
+    rows = rows.join(family.select(F.col("node").alias("doc"), F.col("component").alias("family")), "doc", "left").withColumn("family", F.coalesce("family", "doc"))
+    sizes = rows.select("family", "doc", "s").distinct().groupBy("family").agg(F.count("*").alias("n"), F.sum("s").alias("s"))
+    sizes = sizes.select("family", F.greatest(F.ceil(F.col("n") / FAMILY_DOCS), F.ceil(F.col("s") / FAMILY_SHINGLES)).cast("int").alias("parts"))
+    rows = rows.drop("s").join(sizes, "family").select("family", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "doc", "comp").distinct()
+    rows = packed.join(rows, "doc").select("family", "part", "doc", "comp", "z")
+    return (rows.repartition("family", "part").sortWithinPartitions("family", "part", "doc").mapInArrow(tidy(_families(k, pct)), "u long, v long"))
+
+
+def _count(k: int):
+    def run(batches):
+        hashes = WordHash(100_000)
+        for batch in slices(batches, 500):
+            n = [len(doc_shingles(t, hashes, k)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n_shingles"])
+    return run
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, component_size) of every row with an id.
+    """(doc_id, n_shingles, component_id) of every row.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; documents link when
     100 * intersection >= pct * union of their distinct k-word shingles. A null
-    or empty text has no shingle and links with nothing (component: itself).
-    Rows with a null id are left out; repeated ids with equal rows count as one.
-    Other columns are ignored."""
+    or empty text has no shingle and links with nothing (component: itself). A row
+    with a null id links with nothing and has no component (null). Repeated ids are
+    one document: equal rows give one row, different texts a row each, and links of
+    any of them count. Other columns are ignored; an empty table gives no row."""
     spark = docs.sparkSession
     ship_package(spark)
-    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    rows = base.mapInArrow(_rows(k, pct), "kind byte, key long, c int, doc long, s int, few int, spare int")
-    order = ("kind", "key", "c", "s", "doc")
-    lists = store(rows.repartition("kind", "key").sortWithinPartitions(*order)
-                  .mapInPandas(_lists(pct), "kind byte, key long, c int, a long, doc long, few int, spare int, s int"), "lists")
+    every = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    base = every.where("doc is not null")
+    order, rate = ordered(base, k)
+    shared = spark.sparkContext.broadcast(order)  # FREQUENT shingles at most
+    rows = base.mapInArrow(tidy(_rows(k, pct, boundary(pct, rate), shared)), "kind byte, key long, c int, doc long, s int")
+    lists = store(rows.repartition("kind", "key").sortWithinPartitions("kind", "key", "c", "s", "doc")
+                  .mapInArrow(tidy(_lists(pct)), "kind byte, key long, c int, a long, doc long, s int"), "lists")
     digests = lists.where(f"kind = {DIGEST}").select("doc", F.col("s").alias("n_shingles"), "key", "c").distinct()
     equal = digests.where("n_shingles > 0").groupBy("key", "c", "n_shingles").agg(F.min("doc").alias("a"))
     same = digests.where("n_shingles > 0").join(equal, ["key", "c", "n_shingles"]).where("a <> doc").select("a", "doc")
     sure = same.unionByName(lists.where(f"kind = {SUBSET}").select("a", "doc"))
 
-    # each document leaves its last blocks out: tiny ones (keys_of has done so), then those of the longest lists
-    block = lists.where(f"kind >= {BLOCK}").select("kind", "key", "c", "doc", "few", "spare", "s").distinct()
-    sizes = block.groupBy("key").agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy("doc", "c").orderBy(F.desc("kind"), F.desc("n"), "key"))
-    left_out = F.greatest(F.col("spare") - F.col("few"), F.lit(0))  # of the others; no tiny one is listed where it isn't 0
-    shared = store(block.join(sizes, "key").withColumn("kept", place > left_out).select("key", "c", "doc", "few", "spare", "s", "kept"), "shared")
-    kept = shared.where("kept").drop("kept")
-    heads = kept.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    member = kept.join(heads, "key")
-
-    packed = base.where("doc is not null").mapInArrow(_packed, "doc long, z binary")
-    # each document against the head that it meets in most lists
-    best = (member.where("a <> doc").groupBy("doc", "a").agg(F.count("*").alias("n")).groupBy("doc")
-            .agg(F.max(F.struct("n", (-F.col("a")).alias("na"))).alias("m")).select((-F.col("m.na")).alias("a"), "doc"))
-    edges = store(sure.unionByName(verified(best, packed, k, pct).toDF("a", "doc")), "edges")
-    comp = components(edges)
-
-    # lists that still hold several components
-    own = shared.groupBy("doc", "c").agg(F.collect_list("key").alias("keys"))  # no more than the document's blocks
-    pairs = store(open_pairs(member, comp, own, pct, True).join(best, ["a", "doc"], "left_anti"), "pairs")
-    more = store(verified(pairs, packed, k, pct).toDF("a", "doc"), "edges")
-    edges = edges.unionByName(more)
-    comp = components(edges)
-    family = components(store(open_pairs(member, comp, own, pct, False), "candidates"))
-    links = store(family_links(family, comp, digests, packed, k, pct), "edges")
-    if not links.isEmpty():
-        comp = components(edges.unionByName(links))
+    long_ = store(lists.where(f"kind = {LIST}").groupBy("doc", "s").agg(F.count("*").alias("m")), "long")
+    member = store(long_members(lists, long_, pct), "long-members")
+    packed = base.mapInArrow(tidy(_packed), "doc long, z binary")
+    pairs = store(counted_pairs(lists, long_).unionByName(best_heads(member)).distinct(), "pairs")
+    comp = components(sure.unionByName(verified(pairs, packed, k, pct).toDF("a", "doc")))
+    links = open_links(member, comp, packed, k, pct)
+    if links is not None:
+        comp = joined(comp, links)
     out = (digests.select("doc", "n_shingles").join(comp, digests["doc"] == comp["node"], "left")
            .select(F.col("doc").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
                    F.coalesce("component", "doc").alias("component_id")))
-    return out
+    none = every.where("doc is null").select("text").mapInArrow(tidy(_count(k)), "n_shingles long")
+    return out.unionByName(none.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The documents whose id is the component id (the smallest of its group)."""
-    keep = groups.where("doc_id = component_id").select("doc_id")
-    return docs.join(keep, "doc_id", "left_semi")
+    """The documents whose id is the component id (the smallest of its group), and
+    those without an id."""
+    drop = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(drop, "doc_id", "left_anti")
