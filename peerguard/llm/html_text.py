@@ -1,28 +1,36 @@
-"""HTML extraction: the main text of pages by differencing with the page of the
-nearest URL.
+"""HTML extraction: the main text of pages by differencing with the pages of the
+nearest URLs.
 
 A page is cut into lines (the text between two block tags), each with the place
 it has in the page's structure. Lines of menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, told by element,
-role or class name, are left out. Pages of a host are put in the order of their
-URL paths, and each is aligned with the page before and the page after it by the
-longest common subsequence of lines: lines that both have belong to the site and
-are deleted. What a page itself declares to be its article (``article`` or
-``main``) is its main text as a whole: there, a line that the neighbour has too
-is text that two articles share, and stays. So the differencing decides the
-lines of pages that declare nothing."""
+role or class name, are left out. All pages are put in the order of host, URL path
+and URL, and each is aligned with the NEAREST pages before and after it on its host
+by the longest common subsequence of lines. Lines that most of the alignments share
+belong to the site and are deleted (one neighbour alone may quote the page, or
+have another template). A neighbour with the very same lines is a copy and says
+nothing about the site.
+
+What a page itself declares to be its article (``article`` or ``main``) is then
+restored as a whole, since a line in it that a neighbour has too is text that two
+articles share, and is all of its main text."""
 
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, slices, store
+
+#: Pages on either side that a page is aligned with, and pages of a window of the order.
+NEAREST, CHUNK = 5, 5_000
 
 # HTML's elements by what they mean here.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "xmp", "iframe", "noembed", "noframes")
@@ -159,86 +167,102 @@ def common_lines(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-def main_lines(lines: list[str], places: list[int], before: list[int] | None, after: list[int] | None) -> list[str]:
-    """The main text's lines: those of the article, else of main, else of the
-    body without what a neighbouring page has too. A neighbour with nearly the
-    same lines is a copy of the page and says nothing about the site."""
-    top = max(places, default=-1)
-    chosen = [i for i, p in enumerate(places) if p == top] if top > 0 else [i for i, p in enumerate(places) if p >= 0]
-    if top <= 0 and chosen:
-        own = [line_hash(lines[i]) for i in chosen]
-        drop: set[int] = set()
-        for other in (before, after):
-            if other:
-                same = common_lines(own, other)
-                if len(same) * 10 <= len(own) * 8:
-                    drop |= same
-        chosen = [i for k, i in enumerate(chosen) if k not in drop]
-    return [lines[i] for i in chosen]
-
-
 def line_hash(x: str) -> int:
     return xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _declared(batches):
-    """Text of the pages that declare an article or main part, null for others."""
-    for big in batches:
-        for s in range(0, big.num_rows, 500):
-            batch = big.slice(s, 500)
-            text = []
-            for x in batch.column(2).to_pylist():
-                found = lines_of(x)
-                top = max((p for _, p in found), default=0)
-                text.append(" ".join(t for t, p in found if p == top) if top > 0 else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(t or "") for t in text], pa.int64())],
-                                             names=["page_id", "url", "text", "n_chars"])
+def site_lines(own: list[int], near: list[list[int]]) -> list[int]:
+    """Places of the lines that most alignments with the near pages share."""
+    near = [x for x in near if x != own]
+    votes: dict[int, int] = {}
+    for other in near:
+        for k in common_lines(own, other):
+            votes[k] = votes.get(k, 0) + 1
+    return sorted(k for k, n in votes.items() if 2 * n > len(near))
+
+
+def main_lines(lines: list[tuple[str, int]], drop: list[int], declared: bool = True) -> list[str]:
+    """The main text's lines: those that aren't the site's, or with ``declared``,
+    where the page has one, those of its article, else of its main part."""
+    top = max((p for _, p in lines), default=0)
+    if declared and top > 0:
+        return [t for t, p in lines if p == top]
+    gone = set(drop)
+    return [t for k, (t, _) in enumerate(lines) if k not in gone]
 
 
 def _lines(batches):
-    """Lines of the pages that declare nothing (null for others), and for each
-    page the hashes of its lines outside of an article."""
-    names = ["page_id", "url", "lines", "places", "body"]
-    for big in batches:
-        for s in range(0, big.num_rows, 500):
-            batch = big.slice(s, 500)
-            found = [lines_of(x) for x in batch.column(2).to_pylist()]
-            open_ = [max((p for _, p in f), default=0) <= 0 for f in found]
-            kept = [[(t, p) for t, p in f if p >= 0] if o else None for f, o in zip(found, open_)]
-            body = [[line_hash(t) for t, p in f if p == 0] for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f and [t for t, _ in f] if f is None or f else [] for f in kept], pa.list_(pa.string())),
-                                              pa.array([f and [p for _, p in f] if f is None or f else [] for f in kept], pa.list_(pa.int32())), pa.array(body, pa.list_(pa.int64()))], names=names)
-
-
-def _join(batches):
-    for big in batches:
-        for s in range(0, big.num_rows, 500):
-            b = big.slice(s, 500)
-            text = [" ".join(main_lines(*x)) for x in zip(*(b.column(i).to_pylist() for i in range(2, 6)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
+    """(page_id, url, r, lines, body): the lines that aren't noise with their places,
+    packed, and their hashes."""
+    z = zstandard.ZstdCompressor(level=12)
+    for batch in slices(batches, 500):
+        found = [[x for x in lines_of(x) if x[1] >= 0] for x in batch.column("html").to_pylist()]
+        packed = [z.compress(json.dumps([[t for t, _ in f], [p for _, p in f]], ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")) for f in found]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "r")), pa.array(packed, pa.binary()),
+                                          pa.array([[line_hash(t) for t, _ in f] for f in found], pa.list_(pa.int64()))],
+                                         names=["page_id", "url", "r", "lines", "body"])
+
+
+def _site(batches):
+    for b in slices(batches, 500):
+        drop = [site_lines(own, near) for own, near in zip(b.column("body").to_pylist(), b.column("near").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("r"), pa.array(drop, pa.list_(pa.int32()))], names=["r", "drop"])
+
+
+def _join(declared: bool):
+    def run(batches):
+        z = zstandard.ZstdDecompressor()
+        for b in slices(batches, 500):
+            text = []
+            for blob, drop in zip(b.column("lines").to_pylist(), b.column("drop").to_pylist()):
+                lines, places = json.loads(z.decompress(blob).decode("utf-8", "surrogatepass"))
+                text.append(" ".join(main_lines(list(zip(lines, places)), drop or [], declared)))
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
+    return run
+
+
+def neighbours(rows: DataFrame, chunk: int = CHUNK, nearest: int = NEAREST) -> DataFrame:
+    """(r, body, near) of the ``rows`` (host, path, url, page_id, r, body); near: the
+    bodies of the ``nearest`` pages before and after in that order, as far as they
+    are on the page's host.
+
+    One range exchange puts all pages in order, so a host may span any number of
+    ranges. With the ranges' sizes each page knows its place in the whole order;
+    ``chunk`` places are a window, which also gets the pages that lie next to it."""
+    order = ["host", "path", "url", "page_id", "r"]
+    at = F.col("_at")
+    laid = store(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+                 .select("r", "host", "body", F.shiftright(at, 33).alias("_range"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")), "pages")
+    starts, before = [], 0
+    for r in sorted(laid.groupBy("_range").agg(F.count("*").alias("n")).collect()):  # a row for each range
+        starts.append((r[0], before))
+        before += r[1]
+    start = rows.sparkSession.createDataFrame(starts, "_range long, _start long")
+    placed = laid.join(start, "_range").withColumn("_place", F.col("_start") + F.col("_place")).drop("_range", "_start")
+    own = F.floor(F.col("_place") / chunk)
+    windows = F.array_distinct(F.transform(F.array(F.lit(0), F.lit(-nearest), F.lit(nearest)), lambda d: F.floor((F.col("_place") + d) / chunk)))
+    dealt = placed.withColumn("_own", own).withColumn("_chunk", F.explode(windows))
+    w, side = Window.partitionBy("_chunk").orderBy("_place"), F.struct("host", "body")
+    dealt = dealt.withColumn("_b", F.collect_list(side).over(w.rowsBetween(-nearest, -1))).withColumn("_a", F.collect_list(side).over(w.rowsBetween(1, nearest)))
+    near = F.transform(F.filter(F.concat("_b", "_a"), lambda x: x["host"] == F.col("host")), lambda x: x["body"])
+    return dealt.where("_chunk = _own").select("r", "body", near.alias("near"))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
+def main_text(pages: DataFrame, declared: bool = True, chunk: int = CHUNK) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of pages (page_id, url, html).
 
-    Null or empty html gives an empty text. A page without a URL has no
-    neighbour. Neighbours are looked for among the pages of a host whose paths
-    agree but for their last two characters (a host may hold a third of all
-    pages; its pages are dealt out by that prefix), in the order of path and page
-    id; equal rows are neighbours of each other and count as copies. Other
-    columns are ignored."""
+    Null or empty html gives an empty text. A page whose URL is null or has no host
+    has no neighbour. Ties in the order (equal URLs) go by page id; of repeated
+    rows each gives a row, and they are copies of each other. Other columns are
+    ignored; an empty table gives no row. ``declared=False`` leaves the verdict to
+    the differencing alone."""
     ship_package(pages.sparkSession)
-    base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    whole = base.mapInArrow(_declared, "page_id long, url string, text string, n_chars long").where("text is not null")
-    rows = base.mapInArrow(_lines, "page_id long, url string, lines array<string>, places array<int>, body array<bigint>")
+    base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("r", F.monotonically_increasing_id())
+    rows = store(base.mapInArrow(_lines, "page_id long, url string, r long, lines binary, body array<bigint>"), "lines")  # r stays what it is
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     path = F.regexp_replace(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), r"(\.html?|/)$", "")
-    near = F.concat_ws("|", host, F.expr("left(path, greatest(length(path) - 2, 0))"))
-    alone = F.concat(F.lit("?"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    dealt = rows.withColumn("path", path).withColumn("near", F.when(F.col("url").isNull(), alone).otherwise(near))
-    w = Window.partitionBy("near").orderBy("path", "url", "page_id")
-    body = F.when(F.col("url").isNotNull(), F.col("body"))
-    paired = (dealt.withColumn("before", F.lag(body).over(w)).withColumn("after", F.lead(body).over(w)).where("lines is not null")
-              .select("page_id", "url", "lines", "places", "before", "after"))
-    return whole.unionByName(paired.mapInArrow(_join, "page_id long, url string, text string, n_chars long"))
+    placed = rows.select("page_id", "url", "r", "body", F.when(host != "", host).alias("host"), path.alias("path"))
+    drop = neighbours(placed, chunk).mapInArrow(_site, "r long, drop array<int>").where(F.size("drop") > 0)
+    return (rows.select("page_id", "url", "r", "lines").join(drop, "r", "left").select("page_id", "url", "lines", "drop")
+            .mapInArrow(_join(declared), "page_id long, url string, text string, n_chars long"))
