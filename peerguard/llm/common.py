@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, ship_package
+from ..session import scratch_path
+from ..session import ship_package as _ship_package
 from ..sources.tables import table
 
 __all__ = ["table", "store", "ship_package", "scratch_path", "WordHash", "mix", "shingles",
@@ -21,6 +22,19 @@ U64 = np.uint64
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch, which a task holds in the JVM and in Python at once.
+ARROW_BYTES = 4 << 20
+
+
+def ship_package(spark: SparkSession) -> None:
+    """The package to the workers, and Arrow batches of bounded bytes: by their
+    number of rows alone (Spark's usual bound), whole texts make them large."""
+    _ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, "64m").rstrip("bB").replace("m", "000000")) > ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def store(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back:
     lineage ends there, so a lost executor costs a re-read and not a recompute."""

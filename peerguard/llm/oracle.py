@@ -66,7 +66,60 @@ SELECT doc_id, size, {crc32('t')} AS text_crc32, 'bytes' AS law, CAST(shard AS I
 FROM sharded, crc"""
 
 
+def warc() -> str:
+    """Op 2: digests and the response of each payload."""
+    quintet = "CAST('0x' || substr(h, {}, 5) AS INTEGER)"
+    letter = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({} // {}) % 32 AS INTEGER) + 1, 1)"
+    digest = " || ".join(letter.format(quintet.format(5 * g + 1), 32 ** k) for g in range(8) for k in (3, 2, 1, 0))
+    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, payload, sha1(payload) AS h, max(page_id) OVER (PARTITION BY payload) AS top FROM p)
+SELECT page_id, strlen(payload) AS payload_bytes, {digest} AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM d"""
+
+
+def ngram_join(k: int = 4, pct: int = 85) -> str:
+    """Op 3: all pairs that share a shingle, and what is reachable over the links."""
+    return rf"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= {k} THEN list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+x AS (SELECT doc_id, unnest(s) AS x FROM s),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * c >= {pct} * (p.n + q.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM n
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(other) AS component_id FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n"""
+
+
+def phrase_dedup(width: int = 100) -> str:
+    """Op 10: every string of ``width`` bytes of every document, in hexadecimal."""
+    return f"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+starts AS (SELECT doc_id, unnest(range(length(hx) // 2 - {width - 1})) AS i FROM d WHERE length(hx) >= {2 * width}),
+named AS (SELECT doc_id, i, md5(substr(hx, 2 * i + 1, {2 * width})) AS name FROM starts JOIN d USING (doc_id)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY name ORDER BY doc_id, i) AS k FROM named) WHERE k > 1),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + {width} AS z FROM (
+    SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+      SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {width} THEN 0 ELSE 1 END AS new FROM again))
+  GROUP BY doc_id, run),
+cuts AS (
+  SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, string_agg(piece, '' ORDER BY a) AS head, max(z) AS z FROM (
+    SELECT doc_id, a, z, substr(hx, 2 * coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1,
+                                2 * (a - coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS piece FROM runs JOIN d USING (doc_id))
+  GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN c.doc_id IS NULL THEN hx ELSE head || substr(hx, 2 * z + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cuts c ON d.doc_id = c.doc_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op2_warc": warc(),
+    "op3_ngram_jaccard_join": ngram_join(),
+    "op10_phrase_dedup": phrase_dedup(),
     "op11_simplex_clusters": simplex_clusters(),
     "op13_histogram_sort": histogram_sort(),
 }

@@ -74,6 +74,7 @@ def test_ngram_join(docs, rows, k, pct):
     top = groups(len(rows), jaccard_links(sets, pct))
     want = {rows[i][0]: (len(sets[i]), rows[top[i]][0]) for i in range(len(rows))}
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_jaccard_join(docs, k, pct).collect()}
+    assert got.pop(None) == (1, None)  # without an id: counted, not linked
     assert got == want
     assert want[906][1] == 905 and want[908][1] == 7 and want[904][1] == 903 and want[901][1] == 901
 
@@ -131,6 +132,7 @@ def test_phrase_dedup(docs, rows):
 
 
 def test_line_dedup(docs, rows):
+    rows = sorted({(r.doc_id, r.text) for r in docs.collect()}, key=lambda r: (r[0] is None, r[0]))
     occ = [(i, k, line_dedup.normal(x)) for i, t in rows for k, x in enumerate((t or "").split("\n")) if line_dedup.normal(x)]
     lines = list(dict.fromkeys(n for _, _, n in occ))
     sets = [{n[k:k + 8] for k in range(max(1, len(n) - 7))} for n in lines]
@@ -148,9 +150,69 @@ def test_line_dedup(docs, rows):
         want = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i])
         same += got[i].text == want and got[i].n_removed == len(gone[i])
     assert same >= 0.99 * len(rows)  # banding finds a pair at 0.8 with a chance of 99.8 %
+    counts = {i: sum(bool(line_dedup.normal(x)) for x in (t or "").split("\n")) for i, t in rows}
+    assert all(r.n_lines == counts[i] for i, r in got.items())
     assert got[908].n_removed == got[908].n_lines and got[900].text is None and got[902].text == " \n\t\n "
 
 
+def recall(spark, lines):
+    """Share of the similar pairs of lines that end in one component."""
+    lines = list(dict.fromkeys(map(line_dedup.normal, lines)))
+    links = jaccard_links([{n[k:k + 8] for k in range(max(1, len(n) - 7))} for n in lines], 80)
+    occ = spark.createDataFrame([(i, 0, 0, line_dedup.line_key(n), n) for i, n in enumerate(lines)], "doc long, h long, place int, line long, norm string")
+    comp = {r.node: r.component for r in line_dedup.line_components(occ).collect()}
+    at = [comp.get(line_dedup.line_key(n), line_dedup.line_key(n)) for n in lines]
+    top = groups(len(lines), links)
+    want = collections.defaultdict(set)
+    for i, x in enumerate(at):
+        want[x].add(top[i])
+    assert all(len(x) == 1 for x in want.values())  # nothing is joined that isn't similar
+    return np.mean([at[a] == at[b] for a, b in links]), len(links)
+
+
+def edited(rng, line, share):
+    """The line with a run of characters replaced, for about this share of its shingles."""
+    n = max(1, int(len(line) * share) - 7)
+    at = int(rng.integers(0, len(line) - n + 1))
+    return line[:at] + "".join(rng.choice(list("qxzjkv"), n)) + line[at + n:]
+
+
+@pytest.mark.parametrize("length", [110, 170, 230, 400])
+def test_line_recall_in_templated_families(spark, monkeypatch, length):
+    """Pairs at 0.85 that share a template with hundreds of other lines (at 0.7)."""
+    monkeypatch.setattr(line_dedup, "FAMILY_LINES", 300)  # so that families are dealt out
+    rng = np.random.default_rng(length)
+    word = lambda n: "".join(rng.choice(list("abcdefghilmnoprstu "), n))
+    template, lines = word(int(length * 0.83)), []
+    for _ in range(350):
+        at = int(rng.integers(0, len(template)))
+        one = template[:at] + word(length - len(template)) + template[at:]
+        lines += [one, edited(rng, one, 0.08)]
+    share, n = recall(spark, lines)
+    assert n >= 300 and share >= 0.998, (share, n)
+
+
+def test_line_recall_of_isolated_pairs(spark):
+    rng = np.random.default_rng(7)
+    word = lambda n: "".join(rng.choice(list("abcdefghilmnoprstu "), n))
+    lines = []
+    for _ in range(1500):
+        one = word(int(rng.integers(12, 700)))
+        lines += [one, edited(rng, one, float(rng.uniform(0.02, 0.12)))]
+    share, n = recall(spark, lines)
+    assert n >= 900 and share >= 0.996, (share, n)
+
+
+def test_line_rows_with_one_id_or_none(spark):
+    rows = [(1, "the first line of this document\nand a second line of it"), (1, "another text under the same id altogether"),
+            (1, "another text under the same id altogether"), (None, "the first line of this document\nonly here is this line"), (None, None), (2, "")]
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, line string, h int, _drop string")
+    got = sorted(((r.doc_id, r.text, r.n_removed) for r in line_dedup.line_dedup(df).collect()), key=str)
+    assert got == sorted([(1, rows[0][1], 0), (1, rows[1][1], 0), (1, rows[1][1], 0), (None, "only here is this line", 1), (None, None, 0), (2, "", 0)], key=str)
+    full = line_dedup.with_texts(df)
+    assert full.columns == df.columns and full.count() == 6 and {r.h for r in full.collect()} == {1}
+
+
 def test_decontaminate(spark, docs):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()] + [(9001, None), (9002, ""), (None, "x y z")]
     it = next(t for i, t in items if t and len(t.split()) > 25)
@@ -185,11 +247,55 @@ def test_decontaminate_shards(spark, monkeypatch):
     d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     for n in (2_000, 3):
         monkeypatch.setattr(decontaminate, "SHARD_ITEMS", n)
+        monkeypatch.setattr(decontaminate, "CELLS", 7 * n)  # bounds of a few strides at once
         got = decontaminate.decontaminate(d, b)
         assert got.columns == ["doc_id", "n_passages", "item_ids", "share", "contaminated"]
         assert sorted(((r.doc_id, r.item_ids) for r in got.collect()), key=str) == want
 
 
+def test_decontaminate_index():
+    """Posting lists and pivots against scores of all pairs of a passage and an item."""
+    rng = np.random.default_rng(3)
+    word = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(word, int(rng.integers(2, 30))))) for i in range(45)]
+    df = collections.Counter(t for _, x in items for t in set(x.split()))
+    index = decontaminate.Index(items, df, 45, 15.0, 30, 80, 5)
+    assert index.top.max() >= 1 / 30 and all(np.diff(index.item[index.begin[a]:index.begin[z]]).min(initial=1) > 0 for a, z in zip(index.of, index.of[1:]))
+    docs = [list(rng.choice(word, int(n))) for n in (0, 1, 29, 30, 31, 200, 61)] + [items[7][1].split() + ["x"] * 80 + items[9][1].split()]
+    impact = np.zeros((len(index.vocab), 48))
+    for t, i in index.vocab.items():
+        for e in range(index.of[i], index.of[i + 1]):
+            impact[i, index.item[index.begin[e]:index.begin[e + 1]]] = index.impact[index.begin[e]:index.begin[e + 1]]
+    stride, words, first = index.strides([np.array([index.vocab.get(t, len(index.vocab)) for t in d], np.int64) for d in docs])
+    got = {(p, j) for p, b in index.pivots(stride, words, first) for j in index.scored(np.unique(words[(stride >= p) & (stride <= p + 1) & (stride < first[np.searchsorted(first, p, side="right")])]), b).tolist()}
+    want = set()
+    for d, doc in enumerate(docs):
+        for p in range(first[d], first[d + 1]):
+            lo = (p - first[d]) * 30
+            ids = sorted({index.vocab[t] for t in doc[lo:lo + 60] if t in index.vocab})
+            want |= {(p, j) for j in np.flatnonzero(impact[ids].sum(axis=0) >= 1 - 1e-12).tolist()}
+    assert got == want and len(got) > 10
+    found = index.matches(docs)
+    assert {7, 9} <= set(found[-1]) and not found[0]
+
+
+def test_decontaminate_short_items_and_long_texts(spark):
+    import tracemalloc
+    rows = [(1, "here are four little words only in a sentence"), (2, "four little words"), (3, "only words little four"), (4, "yes")]
+    bench = [(10, "four little words only"), (11, "yes"), (12, " ".join(f"q{i}" for i in range(40)))]
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    assert {r.doc_id: r.item_ids for r in decontaminate.decontaminate(d, b).collect()} == {1: [10], 2: [], 3: [], 4: [11]}
+    assert decontaminate.decontaminate(d.where("false"), b).count() == 0
+    items = [(i, " ".join(f"v{(7 * i + j) % 900}" for j in range(30))) for i in range(2_000)]
+    df = collections.Counter(t for _, x in items for t in set(x.split()))
+    index = decontaminate.Index(items, df, 2_000, 30.0, 30, 80, 5)
+    text = [f"v{x}" for x in np.random.default_rng(0).integers(0, 900, 300_000)]
+    tracemalloc.start()
+    index.matches([text])
+    assert tracemalloc.get_traced_memory()[1] < 150e6  # not (words x blocks) numbers
+    tracemalloc.stop()
+
+
 def test_quality(docs, labels, rows):
     import xxhash
     got = {r.doc_id: r for r in quality.quality_rules(docs, labels).collect() if r.doc_id is not None}
@@ -203,6 +309,12 @@ def test_quality(docs, labels, rows):
             raw[b] += 1
             target[b] += r.doc_id in trusted
     llr = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    passed = [grams(WORD.findall(r.text or "")) for r in docs.collect() if r.doc_id in trusted and not got[r.doc_id].base_failed]
+    own = []
+    for g in passed:  # the threshold: each document of the target judged without its own grams
+        alone = target - np.bincount(g, minlength=quality.BUCKETS)
+        own.append((np.log(alone / alone.sum()) - np.log(raw / raw.sum()))[g].mean())
+    threshold = sorted(own)[max(0, int(np.ceil(quality.QUANTILE * len(own))) - 1)]
     for i, t in rows:
         w = WORD.findall(t or "")
         at = collections.defaultdict(list)
@@ -216,12 +328,15 @@ def test_quality(docs, labels, rows):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (*base, failed), i
         if w:
             mean = llr[grams(w)].mean()
-            assert abs(r.ratio - mean) < 1e-9 and (abs(mean - quality.THRESHOLD) < 1e-6 or r.kept == (not failed and mean >= quality.THRESHOLD))
+            assert abs(r.ratio - mean) < 1e-9 and (abs(mean - threshold) < 1e-9 or r.kept == (not failed and mean >= threshold))
         else:
             assert r.ratio is None and not r.kept
     kept = quality.quality_filter(docs, labels)  # no slower than the rules
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
-    assert quality.quality_rules(docs, labels.where("false")).count() == docs.count()
+    flat = quality.quality_rules(docs, labels.where("false")).collect()
+    assert len(flat) == docs.count() and all(r.kept != r.base_failed for r in flat)
+    wordy = docs.sparkSession.createDataFrame([(1, "a b c " * 40_000), (2, "x y z a b c x y z " + " ".join(map(str, range(90)))), (3, "a b")], "doc_id long, text string")
+    assert {r.doc_id: r.n_repeat_words for r in quality.quality_rules(wordy, labels).collect()} == {1: 120_000, 2: 6, 3: 0}
 
 
 def test_quality_against_labels(spark):
@@ -308,13 +423,16 @@ def test_toxicity(spark):
 
 def test_language(spark, docs):
     d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
-    extra = spark.createDataFrame([(9001, None, "en"), (9002, "12 34 !", None), (None, "the and of", None)], "doc_id long, text string, lang string")
+    extra = spark.createDataFrame([(9001, None, "en"), (9002, "12 34 !", None), (None, "the and of", None), (9003, "½ ² ① 3", None),
+                                   (9004, " ".join(["the and of that with this"] * 9000), "en"), (9005, "the and of that", "en"), (9005, "the and of that", "en")], "doc_id long, text string, lang string")
     out = {r.doc_id: r for r in language.language_id(d.unionByName(extra, allowMissingColumns=True)).collect()}
     truth = {r.doc_id: r.lang for r in d.collect()}
     held = [i for i in truth if out[i].held_out]
     assert held and all(zlib.crc32(str(i).encode()) % 3 == 1 for i in held)
     assert np.mean([out[i].lang_pred == truth[i] for i in held]) > 0.95
-    assert out[9001].lang_pred == out[9002].lang_pred == "und" and out[9001].score == 0 and len(out) == d.count() + 3
+    assert out[9001].lang_pred == out[9002].lang_pred == out[9003].lang_pred == "und" and out[9001].score == 0 and len(out) == d.count() + 6
+    assert language.words_of("Ab½c é_x1 ²") == ["ab", "c", "é", "x"]
+    assert language.language_id(docs).count() == docs.count()  # nulls, repeats and long texts, clashing columns
     assert {r.lang_pred for r in language.language_id(extra.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
@@ -366,12 +484,13 @@ def test_html(spark):
     page = """<!doctype html><html><head><title>t</title><style>p{x}</style></head><body class="ad-free"><header>site</header><nav><a>menu</a></nav>
       <div class="cookie-notice">we use</div><article><header><h1>Head &amp; &lt;tail&gt;</h1></header><p>One<b>two</b>  three<br>four<p>five &eacute;&#8364;
       <aside>side</aside><!-- <p>no --><script>var x="</p><p>no";</script><div id="comments"><p>first!</p></div><form><input value="a>b">send</form><ul><li>x<li>y</ul></article><footer>f</footer>"""
-    assert " ".join(html_text.main_lines(*map(list, zip(*html_text.lines_of(page))), None, None)) == "Head & <tail> Onetwo three four five é€ x y"
+    assert " ".join(html_text.main_lines(html_text.lines_of(page), [])) == "Head & <tail> Onetwo three four five é€ x y"
     site = lambda x: f"<body><div>Site name</div><div>Home News</div><div>{x}</div><div>{x} more</div><div>All rights</div></body>"
     rows = [(1, "http://h/a/11", site("alpha")), (2, "http://h/a/12", site("beta")), (3, "http://h/a/13?q", site("gamma")), (4, None, site("g")), (5, "http://k/1", None),
             (6, "http://k/2", ""), (7, "http://k/3", "plain &amp; text"), (8, "http://h/a/14", page), (None, "http://k/4", "<p>n")]
     out = {r.page_id: r for r in html_text.main_text(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")).collect()}
     assert [out[i].text for i in (1, 2, 3)] == [f"{x} {x} more" for x in ("alpha", "beta", "gamma")]
+    assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert out[4].text == "Site name Home News g g more All rights" and out[5].text == out[6].text == "" and out[7].text == "plain & text"
     assert out[8].text.startswith("Head") and all(r.n_chars == len(r.text) for r in out.values()) and len(out) == 9
     for a, b in (([1, 2, 3, 4], [1, 3, 4, 9]), ([5, 1, 2], [1, 2, 5]), ([], [1]), ([7, 7, 8], [7, 8, 8])):
@@ -380,6 +499,39 @@ def test_html(spark):
         assert n == best
 
 
+def test_html_neighbours(spark):
+    """Each page of a host meets the pages next to it, over any borders of ranges and windows."""
+    rows = [(i, f"http://{'hot' if i % 3 else f'h{i % 7}'}/{'view' if i % 2 else f'p{i // 4}'}?id={i:04d}", [i]) for i in range(300)] + [(1000, None, [1]), (1001, "mailto:x", [2]), (7, rows_url(7), [7])]
+    df = spark.createDataFrame(rows, "page_id long, url string, body array<bigint>").repartition(9)
+    df = df.withColumn("r", F.monotonically_increasing_id()).withColumn("host", F.regexp_extract("url", "//([^/]+)/", 1)).withColumn("path", F.regexp_extract("url", "//[^/]+([^?]*)", 1))
+    df = df.withColumn("host", F.when(F.col("host") != "", F.col("host"))).cache()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((r.host or "", r.path or "", r.url or "", r.page_id, r.body, r.near) for r in html_text.neighbours(df, chunk=7, nearest=2).drop("body").join(df, "r").collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(rows)
+    for i, x in enumerate(got):
+        assert x[5] == [y[4] for y in got[max(0, i - 2):i] + got[i + 1:i + 3] if x[0] and y[0] == x[0]]
+
+
+def rows_url(i):
+    return f"http://hot/view?id={i:04d}"
+
+
+def test_html_against_rules(spark):
+    """Differencing alone gives the declared article's text, also on long pages and copies."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("html", F.regexp_replace("html", "(</?)article", "$1div"))
+    want = {r.page_id: r.text for r in html_text.main_text(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()}
+    got = {r.page_id: r.text for r in html_text.main_text(pages, chunk=40).collect()}
+    assert sum(got[i] == t for i, t in want.items()) >= 0.998 * len(want)
+    site = lambda k, x: f"<body><div>Name of the site</div><div>Imprint {k}</div>{x}<div>All rights</div></body>"
+    long = "".join(f"<p>line {i}</p>" for i in range(3000))
+    rows = [(1, "http://h/a", site(1, "<p>one</p>")), (2, "http://h/b", site(1, "<p>two</p>")), (2, "http://h/b", site(1, "<p>two</p>")), (3, "http://h/c", site(1, long)), (4, "http://h/d", site(1, "<p>four</p>"))]
+    out = [r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert out == ["one", "two", "two", " ".join(f"line {i}" for i in range(3000)), "four"]
+
+
 def is_sub(x, y):
     y = iter(y)
     return all(v in y for v in x)
