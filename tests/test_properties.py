@@ -24,11 +24,11 @@ def test_running_totals_exact(spark):
     rng = np.random.default_rng(3)
     vals = rng.normal(size=5000).round(3)
     df = spark.createDataFrame([(float(v), 1) for v in vals], "x double, c long").groupBy("x").agg(F.sum("c").alias("c"))
-    got = {r.x: r.c_cum for r in running_totals(df, "x", ["c"], n_buckets=16).collect()}
+    got = {r.x: r.c_cum for r in running_totals(df, "x", ["c"], window_rows=5, fan=16).collect()}
     u, cnt = np.unique(vals, return_counts=True)
     exp = dict(zip(u.tolist(), np.cumsum(cnt).tolist()))
     assert got == exp
-    got_d = {r.x: r.c_cum for r in running_totals(df, "x", ["c"], descending=True, n_buckets=16).collect()}
+    got_d = {r.x: r.c_cum for r in running_totals(df, "x", ["c"], descending=True, window_rows=5, fan=16).collect()}
     exp_d = dict(zip(u.tolist(), np.cumsum(cnt[::-1])[::-1].tolist()))
     assert got_d == exp_d
 
