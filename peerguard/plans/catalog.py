@@ -372,8 +372,8 @@ def q_scored_claims_peer_lookup(spark, sf_dir):
                     F.round("provider_peer_stats.avg_reimbursement", 6).alias("peer_avg_reimbursement"))
 
 
-#: The clock of the checked flag events, and a threshold that part of the claims reach.
-FLAG_DAY, FLAG_TIME, FLAG_AT = "2024-05-06", "2024-05-06 07:08:09.000010", 0.95
+#: The clock of the checked flag events, and the threshold that every scored claim is held to.
+FLAG_DAY, FLAG_TIME, FLAG_AT = "2024-05-06", "2024-05-06 07:08:09.000010", 0.5
 FLAG_CHAIN = FEATURE_CHAIN + "," + O.scored(threshold=str(FLAG_AT)).strip("\n")
 
 

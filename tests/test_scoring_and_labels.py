@@ -95,3 +95,13 @@ def test_choose_threshold_falls_back_to_nearest():
     rates[(2, 2.0)] = 0.012
     c = lab.choose_threshold(rates)
     assert (c.threshold, c.min_signals, c.in_band) == (2.0, 2, False)
+
+
+def test_checked_flag_events_take_every_claim_from_the_default_threshold_on(spark, monkeypatch):
+    from peerguard.plans import catalog
+    z = {"los_zscore": 0.0, "visit_frequency_zscore": 0.0, "code_severity_percentile": 0.0, "high_severity_code_pct": 0.0, "code_severity_outlier": 0}
+    rows = [{"claim_id": c, "provider_id": "p", "reimbursement_zscore": v, **z} for c, v in (("low", 1.0), ("mid", 2.0), ("high", 9.0))]
+    monkeypatch.setattr(catalog, "_featured", lambda *a, **k: spark.createDataFrame(rows))
+    assert {r.claim_id for r in catalog.q_flag_event_messages(spark, "").collect()} == {"mid", "high"}
+    for name in ("flag_event_messages", "scoring_to_audit_stream"):
+        assert ">= 0.5 AS flagged" in catalog.ORACLE[name] and "0.95" not in catalog.ORACLE[name]
