@@ -13,9 +13,6 @@ from .common import WORDS, store
 
 #: Buckets of the hashed 1- and 2-grams: the size of both multinomials.
 BUCKETS = 10_000
-#: Trusted documents that the target multinomial is fitted on, at most; those
-#: with the smallest hash of their id. The raw multinomial counts every document.
-TARGET_DOCS = 20_000
 #: Documents with a mean log-likelihood ratio a gram below this quantile of the
 #: target's own documents (each judged without its own counts) are rejected.
 QUANTILE = 0.001
@@ -77,15 +74,16 @@ def repeated_words(w: Column, places: Column) -> Column:
     return F.when(places.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(F.flatten(F.transform(runs, covered))))).cast("long")
 
 
-def target_ids(labels: DataFrame, target_docs: int = TARGET_DOCS) -> DataFrame:
-    return (labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs).withColumn("_t", F.lit(1)))
+def target_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all trusted documents: the target multinomial and the threshold
+    are fitted on every one of them."""
+    return store(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("_t", F.lit(1)), "trusted")
 
 
 def counts(tokens: DataFrame, trusted: DataFrame) -> tuple[list[int], list[int]]:
     """Grams of each bucket in the target and in the corpus, add-one smoothed: each
     task sums its own first, and the result has BUCKETS numbers."""
-    g = (tokens.join(F.broadcast(trusted), "doc_id", "left")  # at most target_docs ids
+    g = (tokens.join(trusted, "doc_id", "left")  # broadcast while the stored ids are few bytes
          .select(F.coalesce("_t", F.lit(0)).alias("t"), F.explode("_grams").alias("b")))
     n = g.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
     raw, target = [1] * BUCKETS, [1] * BUCKETS
@@ -105,7 +103,7 @@ def fitted_threshold(tokens: DataFrame, trusted: DataFrame, target: list[int], r
     by the target without its own grams, so that its ratio is like that of a
     clean document outside of the target. A target without such a document
     rejects none."""
-    own = tokens.where("not base_failed").join(F.broadcast(trusted.select("doc_id")), "doc_id", "left_semi")
+    own = tokens.where("not base_failed").join(trusted.select("doc_id"), "doc_id", "left_semi")
     d = own.select(F.sort_array("_grams").alias("_g"))
     g = F.col("_g")
     d = d.select("_g", F.filter(F.transform(g, lambda b, i: F.when((i == 0) | (b != F.get(g, i - 1)), i)), lambda i: i.isNotNull()).alias("_runs"))

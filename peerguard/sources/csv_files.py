@@ -67,7 +67,7 @@ def write_text_csv(df: DataFrame, path: str) -> None:
     """Write an all-text frame as a CSV folder with a header (test fixtures,
     round trips)."""
     df.select([F.col(c).cast("string") for c in df.columns]).write.mode("overwrite") \
-      .option("header", True).option("escape", '"').csv(path)
+      .option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
 
 
 def write_raw_lines(df: DataFrame, line: Column, path: str) -> None:

@@ -62,7 +62,8 @@ class KeyedTable:
         from ..operators.serving import last_write_wins
         rows = last_write_wins(batch.select(*self.schema.names, *[c for c in batch.columns if c not in self.schema.names]), self.key, self.order())
         rows = rows.select(*self.schema.names)
-        touched = [r[0] for r in rows.select(F.col(self.partition).cast("string")).distinct().collect()]
+        seen = batch if self.partition in self.key else rows  # no partition loses all of its keys
+        touched = [r[0] for r in seen.select(F.col(self.partition).cast("string")).distinct().collect()]
         folder, base = None, None
         for _ in range(self.attempts):
             number, state = self.log.last()

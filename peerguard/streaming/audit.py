@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import temporary_table
 from ..storage.keyed import KeyedTable
 from .runs import read_folder, run_folder
 
@@ -84,9 +85,10 @@ class AuditTableSink:
         self.path = path.rstrip("/")
 
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            run = run_folder(batch, f"{self.path}/counts")
+        run = run_folder(batch, f"{self.path}/counts")
+        # the messages are parsed once, into a compressed table that lasts as long as the call; the text of a good one isn't read again
+        raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_value")).alias("raw_value")
+        with temporary_table(batch.select(*AUDIT_COLUMNS, "event_time", "reject_reason", raw), "audit_batch") as batch:
             at = f"{run}/batch_id={epoch_id}"
             # Per-epoch totals, rewritten with the epoch on a replay; first, so that a replay finds its run
             batch.agg(F.count(F.lit(1)).alias("processed"),
@@ -95,8 +97,6 @@ class AuditTableSink:
             rejected_rows(batch).write.mode("overwrite").parquet(f"{self.path}/rejects/{at}")
             good = batch.where(F.col("reject_reason").isNull()).select(*AUDIT_COLUMNS, "event_time")
             audit_table(batch.sparkSession, self.path).merge(good, run, epoch_id)
-        finally:
-            batch.unpersist()
 
 
 def read_audit_table(spark: SparkSession, path: str, days: list | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scoring import Scorer, flag_events, heuristic_scorer, score_responses, score_with, with_peer_stats
+from ..operators.joins import temporary_table
 from ..operators.serving import last_write_wins
 from ..schemas import REQUEST_SCHEMA, REQUIRED_REQUEST_FIELDS
 from .audit import flag_event_source
@@ -64,6 +65,10 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     return requests.select(*cols, reason.alias("reject_reason"))
 
 
+#: What the sink's outputs read of a scored request.
+SCORED_COLUMNS = ["claim_id", "provider_id", "provider_specialty", "claim_type", "score", "flagged", "threshold", "driver_features", "reject_reason"]
+
+
 class ScoringSink:
     """foreachBatch target: responses and flag events per epoch folder.
 
@@ -82,23 +87,21 @@ class ScoringSink:
         ``events_fmt`` to what its options name (``kafka``: a topic, at least once;
         not exercised here, as no connector is installed)."""
         if self.events_fmt == "text":
-            events.select("value").write.mode("overwrite").text(f"{self.events_dir}/{at}")
+            events.select("value").write.mode("overwrite").option("compression", "gzip").text(f"{self.events_dir}/{at}")
         else:
             events.write.format(self.events_fmt).options(**self.events_options).mode("append").save()
 
     def write_batch(self, batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            at = f"{run_folder(batch, f'{self.out_dir}/scores')}/batch_id={epoch_id}"
+        """The batch is scored once, into a compressed table that lasts as long as
+        the call and has the columns that the outputs read."""
+        at = f"{run_folder(batch, f'{self.out_dir}/scores')}/batch_id={epoch_id}"
+        with temporary_table(batch.select(*SCORED_COLUMNS), "scored_batch") as batch:
             good = batch.where(F.col("reject_reason").isNull())
-            if self.peers is not None:
-                good = with_peer_stats(good, self.peers())
-            score_responses(good, self.model_loaded).write.mode("overwrite").parquet(f"{self.out_dir}/scores/{at}")
+            joined = with_peer_stats(good, self.peers()) if self.peers is not None else good
+            score_responses(joined, self.model_loaded).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.out_dir}/scores/{at}")
             self.publish(flag_events(good, self.flag_date, self.ts), at)
             batch.where(F.col("reject_reason").isNotNull()).select("claim_id", "reject_reason") \
                 .write.mode("overwrite").parquet(f"{self.out_dir}/rejects/{at}")
-        finally:
-            batch.unpersist()
 
 
 def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataFrame | Callable[[], DataFrame], out_dir: str,
@@ -129,11 +132,16 @@ SCORES_SCHEMA = ("claim_id string, score double, flagged boolean, threshold doub
                  "peer_visit_freq_stddev: double>, message string")
 
 
-def read_scores(spark: SparkSession, out_dir: str) -> DataFrame:
+def read_scores(spark: SparkSession, out_dir: str, columns: list | None = None) -> DataFrame:
     """K9: the last response of each claim: of the latest run that scored it, and
-    in it of the latest batch. Empty if nothing was scored."""
+    in it of the latest batch. Empty if nothing was scored. With ``columns``
+    (claim_id among them), only those are moved and given."""
     rows = read_folder(spark, f"{out_dir.rstrip('/')}/scores", SCORES_SCHEMA)
-    return last_write_wins(rows, ["claim_id"], [F.col("run").desc(), F.col("batch_id").desc(), F.col("score").desc()]).drop("run", "batch_id")
+    if columns:
+        rows = rows.select(*columns, F.struct("run", "batch_id", "score").alias("_at"))
+    else:
+        rows = rows.withColumn("_at", F.struct("run", "batch_id", "score")).drop("run", "batch_id")
+    return last_write_wins(rows, ["claim_id"], [F.col("_at").desc()]).drop("_at")
 
 
 def read_request_rejects(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -551,3 +551,9 @@ def test_empty_tables(spark, docs, labels):
     for out in (ngram_join.ngram_jaccard_join(none), phrase_dedup.phrase_dedup(none), line_dedup.line_dedup(none), packing.pack(none), toxicity.toxicity(none, labels),
                 language.language_id(none), quality.quality_rules(none, labels), html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string"))):
         assert out.count() == 0
+
+
+def test_every_trusted_document_counts(spark):
+    from peerguard.llm import quality
+    labels = spark.range(20_500).selectExpr("id as doc_id", "1 as quality")
+    assert quality.target_ids(labels).count() == 20_500

@@ -3,6 +3,7 @@ no single-partition exchange in the feature plan."""
 
 from conftest import SF001
 from peerguard.operators import features as feat
+from peerguard.schemas import CLAIMS_SCHEMA
 from peerguard.sources.adapters import claims_from_tpch
 
 
@@ -40,3 +41,44 @@ def test_per_day_top_k_limits_before_shuffle(spark):
                                   (F.col("id") / 1000.0).alias("score"), F.col("id").cast("string").alias("claim_id"))
     p = audit_queue(df, 10)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_whole_claims_stay_in_their_buckets(spark):
+    """The features' plan reads the claims in buckets of claim_id and moves narrow
+    rows only: no exchange holds the code lists."""
+    claims = feat.prepare_claims(claims_from_tpch(spark, SF001))
+    p = _plan(feat.compute_all_features(claims, prepared=True))
+    assert "Bucketed: true" in p
+    lines = p.splitlines()
+    assert not any("Exchange hashpartitioning" in x and "diagnosis_codes" in x for x in lines) and p.count("Exchange hashpartitioning") <= 5
+
+
+def test_features_of_a_claim_without_an_id(spark):
+    """It keeps its z-scores; visits and severity have no id to come by."""
+    rows = claims_from_tpch(spark, SF001).select(*[f.name for f in CLAIMS_SCHEMA.fields]).limit(50).collect()
+    df = spark.createDataFrame([r if i else tuple([None, *r[1:]]) for i, r in enumerate(rows)], CLAIMS_SCHEMA)
+    got = feat.compute_all_features(df).where("claim_id is null").collect()
+    assert len(got) == 1 and got[0].code_severity_percentile == 0.0 and got[0].reimbursement_zscore is not None
+
+
+def test_quantiles_look_into_the_asked_ranges_only(spark, monkeypatch):
+    from peerguard.operators import cumulative, joins
+    seen, write = {}, joins.write_table
+    monkeypatch.setattr(joins, "write_table", lambda df, name, *a: seen.setdefault(name, write(df, name, *a)))
+    df = spark.range(20000).selectExpr("cast(id as double) as v")
+    r = cumulative.exact_quantiles(df, "v", [0.95]).first()
+    assert abs(r["value"] - 0.95 * 19999) < 1e-9 and seen["quantile_found"].count() < 1000
+
+
+def test_supplier_and_specialty_sides_are_broadcast_while_small(spark, tmp_path):
+    from peerguard.operators import ingest as ing
+    from peerguard.sources import csv_files
+    from peerguard.sources import adapters as ad
+    lines = _plan(ad._lines(spark, SF001))
+    assert "l_suppkey" not in "".join(x for x in lines.splitlines() if "Exchange hashpartitioning(l_suppkey" in x)
+    raw = ad.raw_claims_from_tpch(spark, SF001)["carrier"].limit(20)
+    from peerguard.schemas import CLAIM_FILES
+    csv_files.write_text_csv(raw, f"{tmp_path}/{CLAIM_FILES['carrier'][0]}")
+    assert list((tmp_path / CLAIM_FILES["carrier"][0]).glob("*.csv.gz"))
+    n = ing.normalize_claims(csv_files.read_claim_files(spark, str(tmp_path)))
+    assert "SortMergeJoin" not in _plan(n) and n.count() == 20

@@ -1,6 +1,9 @@
 """Audit stream: rejects, replay safety, polling trigger."""
 
 import json
+import os
+
+from pyspark.sql import functions as F
 
 from peerguard.session import scratch_path
 from peerguard.streaming import audit as au
@@ -75,3 +78,24 @@ def test_same_checkpoint_rewrites_its_own_batches(spark):
     au.run_audit_stream(spark, src, table, ck)
     counts = au.read_audit_counts(spark, table).collect()
     assert len({r.run for r in counts}) == 1 and len({r.batch_id for r in counts}) == len(counts) == 2
+
+
+def test_sinks_keep_no_copy_of_a_batch(spark, tmp_path):
+    """Requests are compressed; a batch's table is gone when its outputs are there;
+    scores can be read by some of their columns."""
+    from peerguard.operators.joins import temporary_table
+    from peerguard.plans.catalog import write_requests
+    from peerguard.streaming import scoring as ss
+    rows = spark.createDataFrame([{"claim_id": c, "beneficiary_id": "b", "provider_id": "p", "provider_specialty": "s", "claim_type": "carrier",
+                                   "reimbursement_zscore": z} for c, z in (("a", 9.0), ("b", 0.1))])
+    with temporary_table(rows, "some") as t:
+        at = t.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert os.path.exists(at) and t.count() == 2
+    assert not os.path.exists(at)
+    src = str(tmp_path / "req")
+    write_requests(rows.withColumns({c: F.current_date() for c in ("claim_start_date", "claim_end_date")}), src)
+    assert all(f.endswith((".gz", ".crc", "_SUCCESS")) for f in os.listdir(src))
+    peers = spark.createDataFrame([], ss.T.StructType.fromDDL(ss.SCORES_SCHEMA)["provider_peer_stats"].dataType)
+    ss.run_scoring_stream(spark, src, peers, str(tmp_path / "out"), str(tmp_path / "ev"), str(tmp_path / "ck"))
+    assert {(r.claim_id, r.flagged) for r in ss.read_scores(spark, str(tmp_path / "out"), ["claim_id", "flagged"]).collect()} == {("a", True), ("b", False)}
+    assert ss.read_scores(spark, str(tmp_path / "out")).columns[-1] == "message" and spark.read.text(str(tmp_path / "ev")).count() == 1
