@@ -77,7 +77,8 @@ def leading(a: np.ndarray, components: int) -> list[tuple[float, np.ndarray]]:
             break
         while True:
             value, v, good = rayleigh(a, low, high, [x for _, x in found], tiny)
-            if good or high - low <= 2 * tiny:
+            ranked = not alone or above(a, value + 8 * tiny) < number <= above(a, value - 8 * tiny)
+            if good and ranked or high - low <= 2 * tiny:
                 break
             mid = (low + high) / 2  # it went to another eigenvalue: a narrower interval
             low, high = (mid, high) if above(a, mid) >= number else (low, mid)
