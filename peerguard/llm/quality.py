@@ -16,14 +16,17 @@ BUCKETS = 10_000
 #: Documents with a mean log-likelihood ratio a gram below this quantile of the
 #: target's own documents (each judged without its own counts) are rejected.
 QUANTILE = 0.001
+#: Row numbers of a block, a bit each: what Spark's bitmap functions hold.
+BLOCK = 32_768
 RULES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The one pass over the texts: (doc_id, _h, the base counts, base_failed, _grams)
-    of every row, written as a table. _h: the text's hash, which with the id is the
+    """The one pass over the texts: (doc_id, _h, the base counts, base_failed, _grams,
+    _row) of every row, written as a table. _h: the text's hash, which with the id is the
     row's name (rows that share both are equal to the rules). _grams: the buckets of its words, then those of its word pairs (the last word
-    has no follower and gives its own bucket again).
+    has no follower and gives its own bucket again). _row: the row's number, which
+    :func:`trusted_rows` marks it by.
 
     Each step is a projection whose columns the next one uses twice or more, which
     keeps Spark from putting a step's expressions inside the lambdas of the next."""
@@ -45,7 +48,8 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     d = d.select(*keep, "n_symbols", "n_words", "word_chars", "n_dup_lines", "_words", grams.alias("_grams"),
                  F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), places).alias("_places"))
     return store(d.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated_words(w, F.col("_places")).alias("n_repeat_words"), "_grams")
-                 .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "tokenized")
+                 .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+                 .withColumn("_row", F.monotonically_increasing_id()), "tokenized")
 
 
 def name(text_col: str) -> Column:
@@ -80,11 +84,33 @@ def target_ids(labels: DataFrame) -> DataFrame:
     return store(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("_t", F.lit(1)), "trusted")
 
 
-def counts(tokens: DataFrame, trusted: DataFrame) -> tuple[list[int], list[int]]:
+def trusted_rows(tokens: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(_block, _bits): a bit for each of the BLOCK row numbers of a block, set where
+    the row's document is trusted. Ids and row numbers alone are moved for it."""
+    rows = tokens.select("doc_id", "_row").join(trusted, "doc_id")
+    return store(rows.groupBy(block().alias("_block")).agg(F.bitmap_construct_agg(place()).alias("_bits")), "trusted-rows")
+
+
+def block() -> Column:
+    return F.floor(F.col("_row") / BLOCK)
+
+
+def place() -> Column:
+    return F.pmod("_row", F.lit(BLOCK))
+
+
+def marked(tokens: DataFrame, rows: DataFrame) -> DataFrame:
+    """(_grams, base_failed, _t) of every row, _t: 1 if its document is trusted. With
+    a bit a document the blocks are few bytes, and the grams stay where they are."""
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place() / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (place() % 8).cast("int")).cast("int")
+    return tokens.join(rows, block() == F.col("_block"), "left").select("_grams", "base_failed", F.coalesce(bit, F.lit(0)).alias("_t"))
+
+
+def counts(tokens: DataFrame, rows: DataFrame) -> tuple[list[int], list[int]]:
     """Grams of each bucket in the target and in the corpus, add-one smoothed: each
     task sums its own first, and the result has BUCKETS numbers."""
-    g = (tokens.join(trusted, "doc_id", "left")  # broadcast while the stored ids are few bytes
-         .select(F.coalesce("_t", F.lit(0)).alias("t"), F.explode("_grams").alias("b")))
+    g = marked(tokens, rows).select(F.col("_t").alias("t"), F.explode("_grams").alias("b"))
     n = g.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
     raw, target = [1] * BUCKETS, [1] * BUCKETS
     for x in n:
@@ -97,13 +123,13 @@ def literal(values: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
 
 
-def fitted_threshold(tokens: DataFrame, trusted: DataFrame, target: list[int], raw: list[int]) -> float:
+def fitted_threshold(tokens: DataFrame, rows: DataFrame, target: list[int], raw: list[int]) -> float:
     """The QUANTILE of the ratios of the target's documents that pass the base
     rules. The target has counted these documents, no other one: each is judged
     by the target without its own grams, so that its ratio is like that of a
     clean document outside of the target. A target without such a document
     rejects none."""
-    own = tokens.where("not base_failed").join(trusted.select("doc_id"), "doc_id", "left_semi")
+    own = marked(tokens.where("not base_failed"), rows).where("_t = 1")
     d = own.select(F.sort_array("_grams").alias("_g"))
     g = F.col("_g")
     d = d.select("_g", F.filter(F.transform(g, lambda b, i: F.when((i == 0) | (b != F.get(g, i - 1)), i)), lambda i: i.isNotNull()).alias("_runs"))
@@ -145,10 +171,10 @@ def quality_filter(docs: DataFrame, labels: DataFrame, threshold: float | None =
 
 def judged(tokens: DataFrame, labels: DataFrame, threshold: float | None) -> DataFrame:
     """The tokenized table with ``ratio`` and ``kept``."""
-    trusted = target_ids(labels)
-    target, raw = counts(tokens, trusted)
+    rows = trusted_rows(tokens, target_ids(labels))
+    target, raw = counts(tokens, rows)
     if threshold is None:
-        threshold = fitted_threshold(tokens, trusted, target, raw)
+        threshold = fitted_threshold(tokens, rows, target, raw)
     t, r = sum(target), sum(raw)
     table = literal([log(a / t) - log(b / r) for a, b in zip(target, raw)], "double")
     total = F.aggregate("_grams", F.lit(0.0), lambda a, b: a + F.get(table, b))

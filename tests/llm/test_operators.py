@@ -557,3 +557,23 @@ def test_every_trusted_document_counts(spark):
     from peerguard.llm import quality
     labels = spark.range(20_500).selectExpr("id as doc_id", "1 as quality")
     assert quality.target_ids(labels).count() == 20_500
+
+
+def test_quality_leaves_the_grams_in_place(spark):
+    """The trusted documents' rows are marked without a move of the grams, though the
+    list of ids is too large to be broadcast."""
+    from peerguard.llm.common import store
+    tokens = spark.range(100_000, numPartitions=3).selectExpr("if(id % 11 = 0, null, id % 70000) as doc_id", "array(cast(id as int)) as _grams", "id % 2 = 0 as base_failed")
+    tokens = store(tokens.withColumn("_row", F.monotonically_increasing_id()), "tokens")
+    trusted = quality.target_ids(spark.range(0, 90_000, 3).selectExpr("id as doc_id", "1 as quality"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    try:
+        out = quality.marked(tokens, quality.trusted_rows(tokens, trusted))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        got = {r["_grams"][0]: (r["_t"], r.base_failed) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(got) == 100_000
+    assert all(got[i] == (int(i % 11 > 0 and i % 70_000 % 3 == 0), i % 2 == 0) for i in range(100_000))
