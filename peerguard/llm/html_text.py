@@ -263,6 +263,7 @@ def main_text(pages: DataFrame, declared: bool = True, chunk: int = CHUNK) -> Da
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     path = F.regexp_replace(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), r"(\.html?|/)$", "")
     placed = rows.select("page_id", "url", "r", "body", F.when(host != "", host).alias("host"), path.alias("path"))
-    drop = neighbours(placed, chunk).mapInArrow(_site, "r long, drop array<int>").where(F.size("drop") > 0)
+    # written, so that its size tells Spark whether the packed lines can stay where they are
+    drop = store(neighbours(placed, chunk).mapInArrow(_site, "r long, drop array<int>").where(F.size("drop") > 0), "site-lines")
     return (rows.select("page_id", "url", "r", "lines").join(drop, "r", "left").select("page_id", "url", "lines", "drop")
             .mapInArrow(_join(declared), "page_id long, url string, text string, n_chars long"))

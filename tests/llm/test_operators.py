@@ -577,3 +577,10 @@ def test_quality_leaves_the_grams_in_place(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert len(got) == 100_000
     assert all(got[i] == (int(i % 11 > 0 and i % 70_000 % 3 == 0), i % 2 == 0) for i in range(100_000))
+
+
+def test_html_lines_stay_in_place(spark):
+    """Few site lines: they are sent to the pages' packed lines, which aren't moved."""
+    out = html_text.main_text(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
