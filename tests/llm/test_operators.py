@@ -584,3 +584,12 @@ def test_html_lines_stay_in_place(spark):
     out = html_text.main_text(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_quality_filter_moves_no_document(spark, docs, labels):
+    """The kept rows come from where they were judged, whatever the columns' names are."""
+    named = docs.select(F.col("doc_id").alias("n_words"), F.col("text").alias("a.b"), F.col("text").alias("kept"), F.col("doc_id").alias("doc_id"))
+    out = quality.quality_filter(named, labels, id_col="n_words", text_col="a.b")
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString() and out.columns == named.columns
+    want = sorted((r.doc_id or -1) for r in quality.quality_rules(docs, labels).where("kept").collect())
+    assert sorted((r["doc_id"] or -1) for r in out.collect()) == want and want
