@@ -587,9 +587,17 @@ def test_html_lines_stay_in_place(spark):
 
 
 def test_quality_filter_moves_no_document(spark, docs, labels):
-    """The kept rows come from where they were judged, whatever the columns' names are."""
+    """The kept rows come from where they were judged, whatever the columns' names
+    are, and the table with the grams goes."""
+    from pathlib import Path
+
+    from peerguard import session
+    from urllib.parse import urlparse
+    root = Path(urlparse(session._scratch_root(docs.sparkSession)).path)
+    before = set(root.glob("tokenized-*"))
     named = docs.select(F.col("doc_id").alias("n_words"), F.col("text").alias("a.b"), F.col("text").alias("kept"), F.col("doc_id").alias("doc_id"))
     out = quality.quality_filter(named, labels, id_col="n_words", text_col="a.b")
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString() and out.columns == named.columns
+    assert set(root.glob("tokenized-*")) == before
     want = sorted((r.doc_id or -1) for r in quality.quality_rules(docs, labels).where("kept").collect())
     assert sorted((r["doc_id"] or -1) for r in out.collect()) == want and want
