@@ -82,3 +82,42 @@ def test_supplier_and_specialty_sides_are_broadcast_while_small(spark, tmp_path)
     assert list((tmp_path / CLAIM_FILES["carrier"][0]).glob("*.csv.gz"))
     n = ing.normalize_claims(csv_files.read_claim_files(spark, str(tmp_path)))
     assert "SortMergeJoin" not in _plan(n) and n.count() == 20
+
+
+def test_prepared_claims_are_not_moved_to_their_statistics(spark):
+    """Even where no provider table is broadcast, no exchange holds a claim."""
+    claims = feat.prepare_claims(claims_from_tpch(spark, SF001))
+    peer, share = feat.compute_peer_group_stats(claims), claims.groupBy("provider_id").agg({"reimbursement_amt": "avg"}).toDF("provider_id", "high_severity_code_pct")
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(feat.with_claim_scores(claims, peer, share))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    moved = [x for x in p.splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and not any("claim_id" in x or "beneficiary_id" in x for x in moved)
+    assert "SortMergeJoin" in p
+
+
+def test_moved_lines_make_the_same_claims(spark):
+    from peerguard.sources import adapters as ad
+    whole = feat.prepare_claims(ad.with_stale_claims(claims_from_tpch(spark, SF001)))
+    lines = feat.prepare_claims(ad.stale_lines(ad.claim_lines(spark, SF001)), "l_orderkey", build=ad.claims_of_versions)
+    assert whole.columns == lines.columns and whole.count() == lines.count() > 0
+    assert whole.exceptAll(lines).isEmpty() and lines.exceptAll(whole).isEmpty()
+
+
+def test_visits_of_one_hot_provider(spark):
+    """Visits are counted over the year's claims of a beneficiary with a provider,
+    wherever the provider's claims lie; a key with a null has none."""
+    from pyspark.sql import functions as F
+    base = spark.createDataFrame(claims_from_tpch(spark, SF001).limit(300).collect(), CLAIMS_SCHEMA)
+    key = F.hash("claim_id")
+    df = base.withColumn("provider_id", F.when(F.pmod(key, F.lit(10)) > 1, "PRVhot").otherwise(F.col("provider_id"))) \
+             .withColumn("beneficiary_id", F.when(F.pmod(key, F.lit(7)) == 0, None).otherwise(F.concat(F.lit("B"), F.pmod(key, F.lit(13)))))
+    c = feat.prepare_claims(df)
+    assert c.where("provider_id = 'PRVhot'").select(feat.PLACE).distinct().count() > 1
+    peer, none = feat.compute_peer_group_stats(c), spark.createDataFrame([], "provider_id string, high_severity_code_pct double")
+    got = {r.claim_id: r.visit_count for r in feat.with_claim_scores(c, peer, none).collect()}
+    want = {r.claim_id: r.visit_count for r in feat.with_visits(df).collect()}
+    assert got == want and None in want.values() and max(x or 0 for x in want.values()) > 1

@@ -139,6 +139,24 @@ def test_bucketed_tables_join_without_exchange(spark):
     assert probe.count() == 400
 
 
+def test_stored_rows_move_once(spark):
+    """The exchange of the dedup makes the buckets, and a lookup moves the asked ids alone."""
+    from pyspark.sql import Window
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(4000).select(F.concat(F.lit("c"), F.col("id") % 3000).alias("claim_id"), F.col("id").cast("string").alias("payload"))
+        one = df.withColumn("_rn", F.row_number().over(Window.partitionBy("claim_id").orderBy("payload"))).where("_rn = 1").drop("_rn")
+        t = write_bucketed(one, "claim_id")
+        got = read_ids(t, "claim_id", df.where("payload like '%7'"))
+        assert not any("Exchange" in x and "payload" in x.split("Exchange")[1] for x in plan(got).splitlines() if "plan_id" in x)
+        assert "Bucketed: true" in plan(got) and t.count() == 3000 and got.count() == 300
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
 def test_bucket_counts_divide_each_other():
     assert [bucket_count(n, 100) for n in (0, 100, 900, 1700)] == [8, 8, 16, 32]
 
