@@ -12,6 +12,8 @@ pattern, and which copy of it, it goes to."""
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -24,15 +26,21 @@ from .common import ship_package, store
 
 CAPACITY, GRAIN, END_ID = 2048, 8, 1
 _TAIL = ".,!?:;%&$*#|"
+#: Words of ASCII and Western European letters, each one code point in any normal form of composed text.
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿŒœ]+")
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: byte -> the character that stands for it in a byte-level vocabulary.
+_BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 
 
 class Ids(dict):
     """chunk of a text (between blanks) -> its ids as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins over it, so a text's ids are
-    those of its chunks one after the other. A lower-cased ASCII word is one unit
-    of the tokenizer's model, as is a run of punctuation after it; all else goes
-    through the whole tokenizer. The memo is emptied when full."""
+    those of its chunks one after the other. A lower-cased word (``_WORD``) is one
+    unit of the tokenizer's model, given as the characters of its UTF-8 bytes, as is
+    a run of punctuation after it; all else goes through the whole tokenizer. The
+    memo is emptied when full."""
 
     def __init__(self, path: str, limit: int = 400_000):
         import os
@@ -42,22 +50,30 @@ class Ids(dict):
         self.tokenizer, self.limit, self.units = Tokenizer.from_file(path), limit, {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def unit(self, s: str, word: bool) -> bytes:
         v = self.units.get(s)
         if v is None:
             if len(self.units) >= self.limit:
                 self.units.clear()
-            ids = [x.id for x in self.tokenizer.model.tokenize(s)] if word else None
-            v = self.units[s] = self.whole(s) if ids is None else np.array(ids, "<u4").tobytes()
+            if word:
+                shown = s if s.isascii() else s.encode().decode("latin-1").translate(_BYTES)
+                v = self.packed([x.id for x in self.tokenizer.model.tokenize(shown)])
+            else:
+                v = self.whole(s)
+            self.units[s] = v
         return v
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
         core = chunk.rstrip(_TAIL)
-        if core.isascii() and core.isalpha():
+        if _WORD.fullmatch(core):
             v = self.unit(core.lower(), True) + (self.unit(chunk[len(core):], False) if len(core) < len(chunk) else b"")
         else:
             v = self.whole(chunk) if chunk else b""

@@ -382,6 +382,19 @@ def test_packing(docs):
     assert pad < 0.1 * total
 
 
+def test_packing_accented_words(monkeypatch):
+    """op4: words of Western European letters are units of the model; only what else there is meets the whole tokenizer."""
+    memo = packing.Ids(__import__("public_tokenizers").path("word_bpe_49k.json"))
+    words = ["Élève", "über", "Straße.", "cœur,", "naïve", "ÿ", "Ñandú!", "plain"]
+    want = [memo.whole(w) for w in words]
+    seen = []
+    monkeypatch.setattr(memo, "whole", lambda s, whole=memo.whole: seen.append(s) or whole(s))
+    assert [memo[w] for w in words] == want
+    assert sorted(seen) == ["!", ",", "."]
+    for w in ("e\u0301t", "İx", "ŉa", "l'été", "µm", "ﬁn"):  # not of that kind
+        assert memo[w] == memo.whole(w)
+
+
 def test_packing_plan():
     rng = np.random.default_rng(2)
     for n in (0, 1, 7, 3000):
