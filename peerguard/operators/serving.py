@@ -23,6 +23,10 @@ from ..schemas import PEER_STATS_COLUMNS
 from ..storage.bucketed import read_id, read_ids, write_bucketed
 
 
+#: Key and order of claims_by_provider.
+PROVIDER_ORDER = ["provider_id", "claim_start_date", "claim_id"]
+
+
 def last_write_wins(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by ``order``. The ``row_number() = 1``
     filter lets Spark apply a partial per-partition limit before the shuffle,
@@ -69,12 +73,15 @@ def claims_by_id(labeled: DataFrame) -> DataFrame:
     return last_write_wins(rows, ["claim_id"], _claim_order())
 
 
-def claims_by_provider(labeled: DataFrame) -> DataFrame:
-    """K4: the same rows keyed by (provider_id, claim_start_date, claim_id)."""
+def claims_by_provider(labeled: DataFrame, n_files: int | None = None) -> DataFrame:
+    """K4: the same rows keyed by (provider_id, claim_start_date, claim_id). They are
+    dealt out once, by ranges of the key: the rows of one key share a range, where the
+    last is chosen, and the ranges are the files to be written."""
     rows = labeled.select(text_or_empty("provider_id").alias("provider_id"),
                           safe_date("claim_start_date").alias("claim_start_date"),
                           text_or_empty("claim_id").alias("claim_id"), *_claim_values(labeled))
-    return last_write_wins(rows, ["provider_id", "claim_start_date", "claim_id"], _claim_order())
+    dealt = rows.repartitionByRange(n_files, *PROVIDER_ORDER) if n_files else rows.repartitionByRange(*PROVIDER_ORDER)
+    return last_write_wins(dealt, PROVIDER_ORDER, _claim_order())
 
 
 def peer_stats_table(peer: DataFrame) -> DataFrame:
@@ -116,10 +123,9 @@ def write_beneficiaries(table: DataFrame, path: str | None = None, buckets: int
     return write_bucketed(table, "beneficiary_id", buckets, path)
 
 
-def write_claims_by_provider(table: DataFrame, path: str, n_files: int | None = None) -> None:
-    keys = ["provider_id", "claim_start_date", "claim_id"]
-    df = table.repartitionByRange(n_files, *keys) if n_files else table.repartitionByRange(*keys)
-    df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+def write_claims_by_provider(table: DataFrame, path: str) -> None:
+    """The table of :func:`claims_by_provider`, each of its ranges sorted in a file."""
+    table.sortWithinPartitions(*PROVIDER_ORDER).write.mode("overwrite").parquet(path)
 
 
 # --- read paths ------------------------------------------------------------------
