@@ -592,6 +592,21 @@ def test_quality_leaves_the_grams_in_place(spark):
     assert all(got[i] == (int(i % 11 > 0 and i % 70_000 % 3 == 0), i % 2 == 0) for i in range(100_000))
 
 
+def test_line_dedup_removes_finished_tables(spark):
+    """op5: of the tables that it writes, only the one that the result reads is left."""
+    import os
+    from peerguard.session import _scratch_root
+    root = _scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    near = "the river of stones was wide and slow near the old mill"
+    rows = [(i, f"{near} {'abc'[i % 3]}\na line of its own {i * 7919}\nshort") for i in range(40)]
+    out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before}
+    assert left == {"line-repeats"}
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].n_removed == 0 and all(got[i].n_removed >= 2 for i in range(1, 40))
+
+
 def test_html_lines_stay_in_place(spark):
     """Few site lines: they are sent to the pages' packed lines, which aren't moved."""
     out = html_text.main_text(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
