@@ -192,6 +192,37 @@ def test_line_recall_in_templated_families(spark, monkeypatch, length):
     assert n >= 300 and share >= 0.998, (share, n)
 
 
+def test_line_family_tasks_are_bounded(spark):
+    """op5, the pipeline: a large family's tasks have its usual lines, and each two lines meet."""
+    rows = spark.range(1200).select(F.lit(1).alias("family"), F.col("id").alias("line"), F.col("id").alias("comp"), F.lit("x").alias("norm"), F.lit(4).alias("parts"))
+    tasks = collections.defaultdict(set)
+    for r in line_dedup.in_blocks(rows).collect():
+        tasks[r.part].add(r.line)
+    assert len(tasks) == 28 and max(map(len, tasks.values())) < 1.3 * 1200 / 4
+    assert len({(a, b) for t in tasks.values() for a in t for b in t}) == 1200 * 1200
+
+
+@pytest.mark.parametrize("pct", [50, 80, 85, 100])
+def test_family_scan_links(pct):
+    """op5, op3, the pipeline: of sets that share a template, the links join what all pairs join."""
+    rng = np.random.default_rng(pct)
+    template, sets = rng.integers(0, 1 << 60, 300, np.uint64), []
+    for i in range(240):
+        own = rng.integers(0, 1 << 60, int(rng.integers(40, 120)), np.uint64)
+        sets.append(np.unique(np.concatenate([rng.permutation(template)[:210], own])))
+        if i % 3 == 0:
+            sets.append(np.unique(np.concatenate([sets[-1][int(rng.integers(0, 30)):], own[:5] + np.uint64(1)])))
+    sets += [np.zeros(0, np.uint64), sets[0][:1]]
+    links = ngram_join.scan_family(list(range(len(sets))), list(range(len(sets))), sets, pct)
+    forest = ngram_join.Forest()
+    assert all(forest.join(a, b) for a, b in links)
+    all_pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i]) and 100 * len(np.intersect1d(sets[i], sets[j])) >= pct * len(np.union1d(sets[i], sets[j]))]
+    want = ngram_join.Forest()
+    for a, b in all_pairs:
+        want.join(a, b)
+    assert [forest.find(i) for i in range(len(sets))] == [want.find(i) for i in range(len(sets))]
+
+
 def test_line_recall_of_isolated_pairs(spark):
     rng = np.random.default_rng(7)
     word = lambda n: "".join(rng.choice(list("abcdefghilmnoprstu "), n))
