@@ -223,6 +223,28 @@ def test_family_scan_links(pct):
     assert [forest.find(i) for i in range(len(sets))] == [want.find(i) for i in range(len(sets))]
 
 
+def test_line_texts_that_are_moved(spark, monkeypatch):
+    """op5: a bitmap of the wanted lines decides which texts are moved; a full one costs no line."""
+    occ = spark.range(20000).select(F.xxhash64("id").alias("line"), F.when(F.col("id") % 4 > 0, F.col("id").cast("string")).alias("norm"))
+    occ = occ.unionByName(occ)
+    wanted = occ.where("line % 50 = 0").select("line")
+    want = {(r.line, r.norm) for r in occ.where("line % 50 = 0 and norm is not null").collect()}
+    for bits in (line_dedup.FILTER_BITS, line_dedup.FILTER_ROW):
+        monkeypatch.setattr(line_dedup, "FILTER_BITS", bits)
+        got = line_dedup.texts_of(occ, wanted)
+        rows = [(r.line, r.norm) for r in got.collect()]
+        assert len(rows) == len(want) and set(rows) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("row#") < plan.rindex("strategy=broadcast") and "LeftSemi" not in plan
+
+
+def test_line_bands_in_parts():
+    """op5: the bands of two halves are those of the whole."""
+    lines = ["a", "the river of stones", "words and words " * 40, "of some length, for both kinds of signature " * 2]
+    pairs = lambda *of: set(zip(*(x.tolist() for x in line_dedup.bands(lines, *of))))
+    assert pairs(0, 6) | pairs(6, 12) == pairs() and not pairs(0, 6) & pairs(6, 12)
+
+
 def test_line_recall_of_isolated_pairs(spark):
     rng = np.random.default_rng(7)
     word = lambda n: "".join(rng.choice(list("abcdefghilmnoprstu "), n))
