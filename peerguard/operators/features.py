@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,13 +82,21 @@ def running_visits(claims: DataFrame) -> DataFrame:
     return per_date.select(*VISIT_KEY, "claim_start_date", F.sum("n").over(w).alias("visit_count"))
 
 
-def with_visits(claims: DataFrame, running: bool = False) -> DataFrame:
+def with_visits(claims: DataFrame, running: bool = False, keep: list[str] | None = None, in_place: bool = False) -> DataFrame:
     """(claim_id, visit_count) of each claim with its visits: of the whole year (the
-    default) or up to the claim's date."""
-    claims = claims.drop(PLACE)  # callers may have given the claims another provider
+    default) or up to the claim's date; beside the columns ``keep``. ``in_place``:
+    prepared claims, under their own provider, whose visits are all found in their bucket."""
+    keep = keep or []
     key = [*VISIT_KEY, "claim_start_date"] if running else VISIT_KEY
+    if in_place:
+        whole = reduce(and_, [F.col(k).isNotNull() for k in key])
+        w = Window.partitionBy(PLACE, *VISIT_KEY)
+        if running:
+            w = w.orderBy("claim_start_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return claims.select("claim_id", *keep, F.when(whole, F.count(F.lit(1)).over(w)).alias("visit_count"))
+    claims = claims.drop(PLACE)  # callers may have given the claims another provider
     visits = running_visits(claims) if running else visit_counts(claims)
-    return claims.select("claim_id", *key).join(visits, key, "left").select("claim_id", "visit_count")
+    return claims.select("claim_id", *keep, *key).join(visits, key, "left").select("claim_id", *keep, "visit_count")
 
 
 def provider_visit_frequency(visits: DataFrame) -> DataFrame:

@@ -144,3 +144,29 @@ def test_claims_by_provider_are_moved_once(spark):
         k = (r.provider_id or "", r.claim_id or "")
         want[k] = max(want.get(k, 0.0), r.reimbursement_amt)
     assert got == want and spark.read.parquet(path).count() == len(want)
+
+
+def test_running_visits_move_claims_once(spark):
+    """claims_running_ytd: visits with the provider are counted in the claims' buckets, and the
+    counts aren't joined by claim_id."""
+    from peerguard.plans.catalog import QUERIES
+    out = QUERIES["claims_running_ytd"](spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(claim_id" not in plan and "hashpartitioning(provider_id" not in plan
+
+
+def test_running_visits_in_place(spark):
+    """Visits in the buckets of prepared claims are those of the join, also for keys and dates that are missing."""
+    import datetime
+    from peerguard.operators import features as feat
+    from peerguard.schemas import CLAIMS_SCHEMA
+    rows = []
+    for i in range(300):
+        r = {f.name: None for f in CLAIMS_SCHEMA.fields}
+        r |= {"claim_id": f"c{i}" if i else None, "provider_id": f"p{i % 3}", "beneficiary_id": f"b{i % 7}" if i % 50 else None, "claim_year": 2020 + i % 2,
+              "claim_start_date": datetime.date(2020, 1, 1 + i % 11) if i % 40 else None, "reimbursement_amt": 1.0, "length_of_stay_days": 0}
+        rows.append(tuple(r[f.name] for f in CLAIMS_SCHEMA.fields))
+    claims = feat.prepare_claims(spark.createDataFrame(rows, CLAIMS_SCHEMA))
+    for running in (False, True):
+        here, joined = ({(r.claim_id, r.visit_count) for r in feat.with_visits(claims, running, in_place=at).collect()} for at in (True, False))
+        assert here == joined and len(here) == 300
