@@ -37,4 +37,4 @@ def top_driver_features(n: int = 3, share_divisor: float = 100.0) -> Column:
     items = [F.struct(v.alias("v"), F.lit(-i).alias("p"), F.lit(FEATURE_DISPLAY_NAMES[f]).alias("name"))
              for i, (f, v) in enumerate(zip(FEATURE_COLS, driver_values(share_divisor)))]
     ranked = F.sort_array(F.array(*items), asc=False)
-    return F.transform(F.slice(ranked, 1, n), lambda x: x["name"])
+    return F.slice(ranked, 1, n)["name"]

@@ -25,22 +25,29 @@ NUMERIC_DEFAULTS = {"reimbursement_amt": 0.0, "length_of_stay_days": 0, "reimbur
 def parse_requests(messages: DataFrame) -> DataFrame:
     """JSON text (column ``value``) -> the request's typed fields and
     ``parse_reason``: bad_json, or bad_<field> for the first field whose value
-    isn't of its type (NULL = all are). Fields are read as text first, so that a
-    wrongly typed number is an error and not a missing value."""
+    isn't of its type (NULL = all are). A message is read with the fields' types; where
+    that leaves anything open, its fields are read as text, so that a wrongly typed
+    number is an error and not a missing value."""
+    corrupt = T.StructField("_corrupt", T.StringType())
+    read = lambda fields: F.from_json("value", T.StructType([*fields, corrupt]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    numbers = [f.name for f in REQUEST_SCHEMA.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    clean = F.col("t").isNotNull() & F.col("t._corrupt").isNull()
+    for c in numbers:  # neither NaN nor infinite
+        clean &= F.coalesce(F.abs(F.col(f"t.{c}")) < float("inf"), F.lit(True))
     text = [T.StructField(f.name, f.dataType if isinstance(f.dataType, T.ArrayType) else T.StringType()) for f in REQUEST_SCHEMA.fields]
-    schema = T.StructType([*text, T.StructField("_corrupt", T.StringType())])
-    m = messages.select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("m"))
-    reason = F.when(F.col("m").isNull() | F.col("m._corrupt").isNotNull(), F.lit("bad_json"))
+    m = messages.select("value", read(REQUEST_SCHEMA.fields).alias("t")).select("value", "t", clean.alias("clean"))
+    m = m.select("t", "clean", F.when(~F.col("clean"), read(text)).alias("m"))
+    reason = F.when(F.col("clean"), F.lit(None)).when(F.col("m").isNull() | F.col("m._corrupt").isNotNull(), F.lit("bad_json"))
     cols = []
     for f in REQUEST_SCHEMA.fields:
         c = F.col(f"m.{f.name}")
         if not isinstance(f.dataType, (T.StringType, T.ArrayType)):
             typed = c.try_cast(f.dataType)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            if f.name in numbers:
                 typed = F.nanvl(typed, F.lit(None).cast(f.dataType))
             reason = reason.when(c.isNotNull() & typed.isNull(), F.lit(f"bad_{f.name}"))
             c = typed
-        cols.append(c.alias(f.name))
+        cols.append(F.when(F.col("clean"), F.col(f"t.{f.name}")).otherwise(c).alias(f.name))
     return m.select(*cols, reason.alias("parse_reason"))
 
 
@@ -116,7 +123,7 @@ def run_scoring_stream(spark: SparkSession, requests_dir: str, peer_table: DataF
     scorer = scorer or heuristic_scorer()
     options = dict(options or {}) | ({"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {})
     reqs = validate_requests(parse_requests(flag_event_source(spark, requests_dir, fmt, options)))
-    scored = score_with(scorer, reqs, threshold)
+    scored = score_with(scorer, reqs, threshold).select(*SCORED_COLUMNS)  # what a batch doesn't read isn't worked out
     peers = peer_table if callable(peer_table) else lambda: peer_table
     sink = ScoringSink(out_dir, events_dir, flag_date, ts, peers, scorer.model_loaded, events_fmt, events_options)
     w = scored.writeStream.foreachBatch(sink.write_batch).option("checkpointLocation", checkpoint)

@@ -105,3 +105,28 @@ def test_checked_flag_events_take_every_claim_from_the_default_threshold_on(spar
     assert {r.claim_id for r in catalog.q_flag_event_messages(spark, "").collect()} == {"mid", "high"}
     for name in ("flag_event_messages", "scoring_to_audit_stream"):
         assert ">= 0.5 AS flagged" in catalog.ORACLE[name] and "0.95" not in catalog.ORACLE[name]
+
+
+def test_requests_are_read_with_their_types(spark):
+    """scoring_stream_plugin, scoring_stream_refreshed_peers: the fields are read as text only where
+    typed values leave something open; what is open is decided by the text."""
+    from peerguard.streaming.scoring import parse_requests
+    ids = '"claim_id":"a","beneficiary_id":"b"'
+    values = {"1": (1.0, None), "1.5": (1.5, None), '"1.5"': (1.5, None), '"x"': (None, "bad_los_zscore"), "NaN": (None, "bad_los_zscore"), '"NaN"': (None, "bad_los_zscore"),
+              "null": (None, None), "[1]": (None, "bad_los_zscore"), "1e400": (None, "bad_los_zscore")}
+    texts = [f'{{{ids},"los_zscore":{v}}}' for v in values] + ["{broken", "null", f'{{{ids},"length_of_stay_days":"2x"}}', f'{{{ids},"length_of_stay_days":3000000000}}', f'{{{ids},"diagnosis_codes":"d"}}']
+    want = list(values.values()) + [(None, "bad_json")] * 2 + [(None, "bad_length_of_stay_days")] * 2 + [(None, "bad_json")]
+    rows = parse_requests(spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1))
+    assert [(r.los_zscore, r.parse_reason) for r in rows.collect()] == want
+    assert "StructField(los_zscore,DoubleType,true)" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_driver_features_without_lambda(spark):
+    """The scored rows of a batch stay in generated code: the names of the drivers are taken without a lambda."""
+    from peerguard.functions.scoring import top_driver_features
+    from peerguard.schemas import FEATURE_COLS
+    df = spark.createDataFrame([(-3.0, 1.0, 3.0, 0.5, 900.0, 1), (None, 0.0, None, 0.0, 0.0, 0)], ", ".join(f"{c} {'int' if c == 'code_severity_outlier' else 'double'}" for c in FEATURE_COLS))
+    out = df.select(top_driver_features(3).alias("d"))
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.d for r in out.collect()] == [["High-severity code %", "Reimbursement z-score", "Visit-frequency z-score"],
+                                            ["Length-of-stay z-score", "Code severity percentile", "High-severity code %"]]
