@@ -341,6 +341,7 @@ from ..operators import serving as sv  # noqa: E402
 from ..sources.tables import table  # noqa: E402
 from ..streaming import audit as au  # noqa: E402
 from ..streaming import scoring as ss  # noqa: E402
+from ..streaming.scoring import FAST_GZIP  # noqa: E402
 
 SCORED_OUT = ("s.claim_id, round(s.score, 6) AS score, s.flagged, s.threshold, d.driver_features, "
               "'Model not compiled; using heuristic score.' AS message")
@@ -515,7 +516,7 @@ def write_requests(featured: DataFrame, path: str) -> str:
     """Score requests as compressed JSON-lines files under ``path``."""
     featured.drop("claim_end_date", "claim_year", "admit_diagnosis_cd") \
             .withColumn("claim_start_date", F.date_format("claim_start_date", "yyyy-MM-dd")) \
-            .write.mode("append").option("compression", "gzip").json(path)
+            .write.mode("append").option("compression", "gzip").option(*FAST_GZIP).json(path)
     return path
 
 
